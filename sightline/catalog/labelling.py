@@ -11,6 +11,7 @@ from sightline.functions import paths
 from sightline.functions.text import normalize_label
 from sightline.operators import hooks, labels
 from sightline.plans.label_map import build_label_map
+from sightline.session import materialize
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -144,8 +145,8 @@ def build_label_map_query(spark, d):
 
 
 def classifier_labels(spark, d):
-    """Resolved labels of the head's vocabulary, unmapped IDs left out."""
-    return resolve_labels(spark, d).filter("mapped").select("object_id", "label")
+    """Resolved labels of the head's vocabulary, unmapped IDs left out, as a written label map."""
+    return materialize(resolve_labels(spark, d).filter("mapped").select("object_id", "label"), "head_labels")
 
 
 @register(
@@ -199,7 +200,7 @@ def duplicate_ids(spark, d):
 
 @register("sorted_label_map", "SELECT object_id, label FROM fx_resolved WHERE mapped ORDER BY object_id")
 def sorted_label_map(spark, d):
-    return classifier_labels(spark, d).orderBy("object_id")
+    return resolve_labels(spark, d).filter("mapped").select("object_id", "label").orderBy("object_id")
 
 
 @register("batch_counts", "SELECT split_part(image_path, '/', 1) AS batch_id, count(*) AS n FROM fx_manifest GROUP BY 1")

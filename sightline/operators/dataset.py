@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.schemas import UNKNOWN
+from sightline.session import materialize
 
 VAL_SIZE = 0.1
 SEED = 42
@@ -83,11 +84,12 @@ def split_thresholds(df: DataFrame, label: str, key: str, val_size: float = VAL_
 
     Rows are ranked by a seeded hash. Instead of sorting a class, its rows are counted by leading
     hash digits; only the one cell that holds the quota's edge is ranked row by row, so a class with
-    a third of all rows costs a sort of 1/65,536 of it.
+    a third of all rows costs a sort of 1/65,536 of it. The three small tables on the way are
+    written, so the planner knows that neither pass over the data needs a shuffle of it.
     """
     hashed = df.select(label, key, F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))).alias("h"))
     hashed = hashed.withColumn("cell", F.substring("h", 1, HASH_DIGITS))
-    cells = hashed.groupBy(label, "cell").agg(F.count(F.lit(1)).alias("n"))
+    cells = materialize(hashed.groupBy(label, "cell").agg(F.count(F.lit(1)).alias("n")), "split_cells")
     counts = cells.groupBy(label).agg(F.sum("n").alias("n"))
     quotas = split_quotas(counts, label, val_size).select(label, "quota")
     running = Window.partitionBy(label).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -98,8 +100,9 @@ def split_thresholds(df: DataFrame, label: str, key: str, val_size: float = VAL_
         .select(label, "cell", (F.col("quota") - F.col("upto") + F.col("n")).alias("take"))
     )
     rank = F.row_number().over(Window.partitionBy(label, "cell").orderBy("h", key))
-    in_edge = hashed.join(edge, [label, "cell"]).withColumn("place", rank)
-    return in_edge.filter("place = take").select(label, F.col("h").alias("last_h"), F.col(key).alias("last_key"))
+    in_edge = hashed.join(materialize(edge, "split_edges"), [label, "cell"]).withColumn("place", rank)
+    last = in_edge.filter("place = take").select(label, F.col("h").alias("last_h"), F.col(key).alias("last_key"))
+    return materialize(last, "split_thresholds")
 
 
 def stratified_split(df: DataFrame, label: str = "label", key: str = "vec_id", val_size: float = VAL_SIZE, seed: int = SEED) -> DataFrame:

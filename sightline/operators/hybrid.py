@@ -81,8 +81,7 @@ def hybrid_predict(
                 errors[i] = failure
             good = np.array([e is None for e in errors], dtype=bool)
             unit = np.array([v for v in vectors if v is not None]).reshape(-1, held.width)
-            scores = numeric.best_prompt_scores(unit, held.prompts, held.owner, held.categories)
-            top, _ = numeric.stable_top_k(scores, 2)
+            top, _ = numeric.top_categories(unit, held.prompts, held.owner, held.categories, 2)
             matched = time.perf_counter()
             guess = forward(layers, unit, erf).argmax(axis=1) if len(unit) else np.empty(0, dtype=int)
             done = time.perf_counter()

@@ -131,18 +131,31 @@ def synonym_join(df: DataFrame, synonyms: DataFrame, label: str, out: str) -> Da
     return found.withColumn(out, normalize_label(value)).drop("__syn", "__syn_found")
 
 
+def truth_table(zero_shot_labels: DataFrame, head_labels: DataFrame, synonyms: DataFrame) -> DataFrame:
+    """Both truths per ID: (object_id, truth_a, truth_b, in_a, in_b), truth A in canonical form.
+
+    Made of label tables alone, so the data needs a single join.
+    """
+    canonical = synonym_join(zero_shot_labels.select("object_id", "label"), synonyms, "label", "label")
+    a = canonical.select("object_id", F.col("label").alias("truth_a"), F.lit(True).alias("in_a"))
+    b = head_labels.select("object_id", F.col("label").alias("truth_b"), F.lit(True).alias("in_b"))
+    return a.join(b, "object_id", "full")
+
+
 def dual_truth_join(df: DataFrame, zero_shot_labels: DataFrame, head_labels: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Add truth A (canonical, ``mobileclip_gt``) and truth B (raw, ``classifier_gt``) to each row.
 
-    The synonym table is applied to the label table, which has one row per ID, rather than to the
-    data; a miss gets the canonical form of the default label.
+    A miss gets the default label, for truth A in its canonical form.
     """
-    canonical = synonym_join(zero_shot_labels.select("object_id", "label"), synonyms, "label", "label")
-    fallback = canonical.sparkSession.range(1).select(F.lit(UNKNOWN).alias("u"))
-    default = synonym_join(fallback, synonyms, "u", "u").agg(F.first("u")).scalar()
-    truth_a = lookup(df, canonical, F.col("object_id"), "object_id", "label", "__a")
-    truth_a = truth_a.withColumn("mobileclip_gt", F.when(F.col("__a_found"), F.col("__a")).otherwise(default))
-    return label_lookup_default(truth_a.drop("__a", "__a_found"), head_labels, out="classifier_gt")
+    truths = truth_table(zero_shot_labels, head_labels, synonyms).withColumnRenamed("object_id", "__key")
+    word = synonyms.filter(F.col("category") == F.lower(F.lit(UNKNOWN)))
+    default = word.agg(F.coalesce(F.first("canonical"), F.lower(F.lit(UNKNOWN))).alias("u")).scalar()
+    joined = df.join(truths, F.col("object_id") == F.col("__key"), "left")
+    return (
+        joined.withColumn("mobileclip_gt", F.when(F.col("in_a"), F.col("truth_a")).otherwise(normalize_label(default)))
+        .withColumn("classifier_gt", F.when(F.col("in_b"), F.col("truth_b")).otherwise(F.lit(UNKNOWN)))
+        .drop("__key", "truth_a", "truth_b", "in_a", "in_b")
+    )
 
 
 def encode_labels(df: DataFrame, encoder: DataFrame, label: str, out: str) -> DataFrame:

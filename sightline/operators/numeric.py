@@ -47,16 +47,34 @@ def to_lists(matrix: np.ndarray, usable: np.ndarray, kind: pa.DataType) -> pa.Ar
     return pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
 
 
+SLICE_CELLS = 4 << 20  # similarities held at once: 32 MB
+
+
 def best_prompt_scores(unit: np.ndarray, prompts: np.ndarray, owner: np.ndarray, categories: int) -> np.ndarray:
-    """[rows, categories] best similarity of each row to any prompt of each category."""
-    similarity = unit @ prompts.T
-    firsts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    """[rows, categories] best similarity of each row to any prompt of each category.
+
+    ``owner`` gives each prompt's category in ascending order.
+    """
     best = np.full((len(unit), categories), -np.inf)
-    if len(owner):
-        best[:, owner[firsts]] = np.maximum.reduceat(similarity, firsts, axis=1)
+    firsts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    step = max(1, SLICE_CELLS // len(prompts))
+    for start in range(0, len(unit), step):
+        similarity = unit[start : start + step] @ prompts.T
+        best[start : start + step, owner[firsts]] = np.maximum.reduceat(similarity, firsts, axis=1)
     return best
 
 
+def top_categories(unit: np.ndarray, prompts: np.ndarray, owner: np.ndarray, categories: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and scores of the k best categories per row, a slice of rows at a time."""
+    step = max(1, SLICE_CELLS // max(len(prompts), categories))
+    width = min(k, categories)
+    idx, top = np.empty((len(unit), width), dtype=np.int64), np.empty((len(unit), width))
+    for start in range(0, len(unit), step):
+        part = slice(start, start + step)
+        idx[part], top[part] = stable_top_k(best_prompt_scores(unit[part], prompts, owner, categories), k)
+    return idx, top
+
+
 def stable_top_k(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values of the k best columns; equal scores (to nine places) go by index."""
     order = np.argsort(-np.round(scores, 9), axis=1, kind="stable")[:, :k]

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from sightline.functions.text import fill_template
 from sightline.operators import numeric
 
-MAX_BANK_BYTES = 256 << 20
+MAX_BANK_BYTES = 64 << 20
+CHUNK_BYTES = 256 << 20
 
 
 def expand_prompts(categories: DataFrame, templates: Sequence[str]) -> DataFrame:
@@ -111,8 +112,7 @@ def topk_arrays(df: DataFrame, bank: Bank, k: int = 2, vector: str = "embedding"
         for batch in batches:
             matrix, usable = numeric.to_matrix(batch, held.width)
             unit, has_norm = numeric.unit_rows(matrix)
-            scores = numeric.best_prompt_scores(unit, held.prompts, held.owner, held.categories)
-            idx, top = numeric.stable_top_k(scores, k)
+            idx, top = numeric.top_categories(unit, held.prompts, held.owner, held.categories, k)
             good = usable & has_norm
             yield pa.StructArray.from_arrays(
                 [numeric.to_lists(idx.astype(np.int32), good, pa.int32()), numeric.to_lists(top, good, pa.float64())],
@@ -123,16 +123,18 @@ def topk_arrays(df: DataFrame, bank: Bank, k: int = 2, vector: str = "embedding"
     return scored.withColumn(out, F.arrays_zip(F.col("__best.idx"), F.col("__best.score"))).drop("__best")
 
 
-def topk_blocked(df: DataFrame, bank: DataFrame, k: int, key: str, vector: str, block_bytes: int, chunk_rows: int = 20_000) -> DataFrame:
+def topk_blocked(df: DataFrame, bank: DataFrame, k: int, key: str, vector: str, block_bytes: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """As ``topk_categories`` for a bank of any size; no broadcast.
 
     Prompts are spread over blocks by hash, images over chunks by hash; a task holds one block and
-    one chunk. Prompts of one category may fall into several blocks, which the final maximum undoes.
+    one chunk, both of bounded size however few images or categories are hot. Images travel once per
+    block and prompts once per chunk. Prompts of one category may fall into several blocks, which the
+    final maximum undoes.
     """
     prompts, width, categories = bank_shape(bank)
     blocks = max(1, -(-prompts * width * 8 // block_bytes))
     images = df.select(F.col(key).alias("key"), F.col(vector).alias("img"))
-    chunks = max(1, -(-images.count() // chunk_rows))
+    chunks = max(1, -(-images.count() * width * 8 // chunk_bytes))
     left = images.select(
         "key",
         "img",
@@ -155,8 +157,7 @@ def topk_blocked(df: DataFrame, bank: DataFrame, k: int, key: str, vector: str,
         unit, has_norm = numeric.unit_rows(matrix)
         names, owner = np.unique(block["category_idx"].to_numpy(), return_inverse=True)
         bank_rows = np.stack(block["vec"].to_numpy()).astype(np.float64)
-        scores = numeric.best_prompt_scores(unit, bank_rows, owner, len(names))
-        idx, top = numeric.stable_top_k(scores, k)
+        idx, top = numeric.top_categories(unit, bank_rows, owner, len(names), k)
         good = usable & has_norm
         return pd.DataFrame(
             {

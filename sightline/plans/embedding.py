@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions import paths
-from sightline.operators.hooks import BATCH_SIZE, Encoder, embed_batches
+from sightline.operators.hooks import BATCH_SIZE, Encoder, embed_batches, failure_split
 from sightline.operators.labels import label_lookup_default
+from sightline.session import materialize
 
 
 def extract_embeddings(rows: DataFrame, labels: DataFrame, factory: Callable[[], Encoder], payload: tuple[str, ...] = (), batch_size: int = BATCH_SIZE, normalize: bool = False) -> DataFrame:
@@ -34,3 +35,8 @@ def extract_embeddings(rows: DataFrame, labels: DataFrame, factory: Callable[[],
         "embedding",
         "error",
     )
+
+
+def run_extraction(rows: DataFrame, labels: DataFrame, factory: Callable[[], Encoder], payload: tuple[str, ...] = (), batch_size: int = BATCH_SIZE) -> tuple[DataFrame, DataFrame]:
+    """(records, failures), with the encoder run once: both read the written results."""
+    return failure_split(materialize(extract_embeddings(rows, labels, factory, payload, batch_size), "extracted"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sightline.operators import dataset
 from sightline.operators.labels import encode_labels
+from sightline.session import materialize
 
 
 def prepare(records: DataFrame, key: str, label: str = "label", val_size: float = dataset.VAL_SIZE, seed: int = dataset.SEED, drop_unknown: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -15,7 +16,7 @@ def prepare(records: DataFrame, key: str, label: str = "label", val_size: float
     Rows labelled UNKNOWN are a class like any other unless ``drop_unknown``.
     """
     rows = dataset.drop_unknown(records, label) if drop_unknown else records
-    encoder = dataset.fit_label_encoder(rows, label)
+    encoder = materialize(dataset.fit_label_encoder(rows, label), "label_encoder")
     coded = encode_labels(rows, encoder, label, "label_idx")
     samples = dataset.stratified_split(coded, "label_idx", key, val_size, seed)
     weights = dataset.class_weights(samples.filter(F.col("split") == "train"), "label_idx")

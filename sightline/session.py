@@ -5,15 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on at scale: runtime re-planning, hot-key splitting in joins and in
-# rebalanced writes, and Arrow batches bounded by bytes so image payloads cannot fill a worker.
+# rebalanced writes, broadcast of sides measured below 64 MB, and Arrow batches bounded by bytes so
+# image payloads cannot fill a worker.
 SCALE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     "spark.sql.session.timeZone": "UTC",
 }
@@ -46,3 +48,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="sightline-")
     return f"{base.rstrip('/')}/sightline/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a table once in the shared folder and read it back.
+
+    Results that several steps use are computed once and survive lost executors, and the planner
+    knows the size of what was written: a small lookup is then broadcast, a large one is not.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
