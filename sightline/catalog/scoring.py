@@ -10,7 +10,7 @@ from sightline.functions import vectors
 from sightline.functions.boxes import crop_region
 from sightline.operators import detection, head, hooks, hybrid, zeroshot
 from sightline.operators.dataset import fit_label_encoder
-from sightline.session import shared_dir
+from sightline.session import shared_dir, spread
 from sightline.sources import sinks
 from sightline.sources.tables import read_prompt_bank
 
@@ -207,7 +207,7 @@ def zero_shot_accuracy(spark, d):
     "SELECT doc_id, " + ", ".join(f"v[{i + 1}] AS e{i}" for i in range(16)) + ", CAST(NULL AS VARCHAR) AS error FROM fx_letters",
 )
 def embed_batches(spark, d):
-    texts = fx.table(spark, d, "documents").select("doc_id", "text")
+    texts = spread(fx.table(spark, d, "documents").select("doc_id", "text"))
     embedded = hooks.embed_batches(texts, fx.letter_encoder, drop=("text",))
     return embedded.select("doc_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(16)], "error")
 
@@ -246,8 +246,8 @@ def build_prompt_bank(spark, d):
 
 
 def document_images(spark, d):
-    """Documents as images: their text is the picture, one box per day of the week of their key."""
-    return fx.table(spark, d, "documents").select(
+    """Documents as images: their text is the picture, up to three boxes by their key."""
+    return spread(fx.table(spark, d, "documents")).select(
         F.col("doc_id").alias("image_id"),
         "text",
         (F.col("doc_id") % 4).cast("int").alias("boxes"),

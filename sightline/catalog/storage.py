@@ -17,7 +17,7 @@ from sightline.operators.labels import resolve_labels
 from sightline.plans.embedding import extract_embeddings
 from sightline.plans.preparation import prepare
 from sightline.schemas import PREDICTION_FIELDS
-from sightline.session import shared_dir
+from sightline.session import shared_dir, spread
 from sightline.sources import documents, sinks, tables
 
 DOCUMENT_ROWS = 20_000  # entries per written document
@@ -142,7 +142,7 @@ def document_rows(spark, d) -> DataFrame:
     batch = F.concat(F.lit("D"), (F.col("doc_id") % 7).cast("string"))
     name = F.concat(batch, F.lit("_"), (F.col("doc_id") % 3000).cast("string"), F.lit("-B_IM"), F.col("doc_id").cast("string"), F.lit(".png"))
     path = F.when(F.col("doc_id") % 31 == 0, F.concat(batch, F.lit("/broken.png"))).otherwise(F.concat(batch, F.lit("/"), name))
-    return fx.table(spark, d, "documents").select("doc_id", "text", path.alias("image_path"))
+    return spread(fx.table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "text", path.alias("image_path"))
 
 
 def document_embeddings(spark, d) -> DataFrame:

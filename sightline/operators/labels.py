@@ -27,9 +27,13 @@ def lookup(df: DataFrame, table: DataFrame, key: Column, table_key: str, table_v
 
 
 def distinct_object_ids(manifest: DataFrame, path: str = "image_path") -> DataFrame:
-    """Distinct IDs of the well-formed paths."""
+    """Distinct IDs of the well-formed paths.
+
+    The test for a match is on the aggregate; as a row filter it would run the pattern twice per path.
+    """
     ids = manifest.select(paths.object_id_strict(F.col(path)).alias("object_id"))
-    return ids.filter("object_id IS NOT NULL").distinct()
+    counted = ids.groupBy("object_id").agg(F.count("object_id").alias("n"))
+    return counted.filter("n > 0").select("object_id")
 
 
 def unmatched_paths(manifest: DataFrame, order: Sequence[str], path: str = "image_path", sample: int = 10) -> DataFrame:
@@ -149,10 +153,10 @@ def dual_truth_join(df: DataFrame, zero_shot_labels: DataFrame, head_labels: Dat
     """
     truths = truth_table(zero_shot_labels, head_labels, synonyms).withColumnRenamed("object_id", "__key")
     word = synonyms.filter(F.col("category") == F.lower(F.lit(UNKNOWN)))
-    default = word.agg(F.coalesce(F.first("canonical"), F.lower(F.lit(UNKNOWN))).alias("u")).scalar()
+    default = word.agg(normalize_label(F.coalesce(F.first("canonical"), F.lit(UNKNOWN))).alias("u")).scalar()
     joined = df.join(truths, F.col("object_id") == F.col("__key"), "left")
     return (
-        joined.withColumn("mobileclip_gt", F.when(F.col("in_a"), F.col("truth_a")).otherwise(normalize_label(default)))
+        joined.withColumn("mobileclip_gt", F.when(F.col("in_a"), F.col("truth_a")).otherwise(default))
         .withColumn("classifier_gt", F.when(F.col("in_b"), F.col("truth_b")).otherwise(F.lit(UNKNOWN)))
         .drop("__key", "truth_a", "truth_b", "in_a", "in_b")
     )
