@@ -1,0 +1,210 @@
+"""Fitting the network head on embeddings by rounds of local steps and averaging.
+
+Each epoch is one Spark job: every partition starts from the same weights, takes optimiser steps on
+its own mini-batches, and returns its weights once; these are averaged by row count, up a tree of
+fixed fan-in on the executors. What travels depends on the size of the network, never on the data, and a lost
+executor only repeats its partitions of the current epoch.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sightline.operators import numeric
+from sightline.operators.head import HIDDEN, NORM_EPS, Head, forward, random_head
+from sightline.operators.hooks import rebatch
+from sightline.operators.training import LABEL_SMOOTHING, PATIENCE
+
+FAN_IN = 16  # states added up by one task, and at most collected
+
+
+@dataclass
+class Options:
+    """Training settings; the defaults are fixed values."""
+
+    epochs: int = 100
+    batch_size: int = 64
+    learning_rate: float = 1e-3
+    weight_decay: float = 1e-4
+    dropout: float = 0.3
+    smoothing: float = LABEL_SMOOTHING
+    patience: int = PATIENCE
+    seed: int = 42
+    hidden: tuple[int, ...] = HIDDEN
+
+
+def pack(head: Head) -> list[np.ndarray]:
+    return [*head.weights, *head.biases, *head.gains, *head.shifts]
+
+
+def unpack(params: Sequence[np.ndarray]) -> Head:
+    layers = (len(params) + 2) // 4
+    parts = np.cumsum([0, layers, layers, layers - 1, layers - 1])
+    return Head(*[list(params[a:b]) for a, b in zip(parts, parts[1:])])
+
+
+def batch_loss(logits: np.ndarray, y: np.ndarray, class_weights: np.ndarray, smoothing: float) -> tuple[float, np.ndarray]:
+    """Weighted cross-entropy with label smoothing of one batch, and its slope in the logits."""
+    shifted = logits - logits.max(axis=1, keepdims=True)
+    logp = shifted - np.log(np.exp(shifted).sum(axis=1, keepdims=True))
+    target = np.tile(class_weights * (smoothing / logits.shape[1]), (len(y), 1))
+    target[np.arange(len(y)), y] += (1 - smoothing) * class_weights[y]
+    target /= class_weights[y].sum()
+    return float(-(target * logp).sum()), np.exp(logp) * target.sum(axis=1, keepdims=True) - target
+
+
+def gradients(head: Head, x: np.ndarray, y: np.ndarray, class_weights: np.ndarray, options: Options, erf: numeric.Erf, rng: np.random.Generator | None) -> tuple[float, np.ndarray, list[np.ndarray]]:
+    """Loss, predicted classes and slopes in ``pack`` order; dropout only with a generator."""
+    steps = []
+    for weight, bias, gain, shift in zip(head.weights, head.biases, head.gains, head.shifts):
+        z = x @ weight + bias
+        z = z - z.mean(axis=1, keepdims=True)
+        spread = np.sqrt((z * z).mean(axis=1, keepdims=True) + NORM_EPS)
+        unit = z / spread
+        inner = unit * gain + shift
+        below = 0.5 * (1 + erf(inner / math.sqrt(2)))
+        keep = np.ones_like(inner) if rng is None else (rng.random(inner.shape) >= options.dropout) / (1 - options.dropout)
+        steps.append((x, unit, spread, inner, below, keep))
+        x = inner * below * keep
+    logits = x @ head.weights[-1] + head.biases[-1]
+    loss, slope = batch_loss(logits, y, class_weights, options.smoothing)
+
+    weights, biases, gains, shifts = [x.T @ slope], [slope.sum(axis=0)], [], []
+    slope = slope @ head.weights[-1].T
+    for i in reversed(range(len(steps))):
+        source, unit, spread, inner, below, keep = steps[i]
+        density = np.exp(-inner * inner / 2) / math.sqrt(2 * math.pi)
+        slope = slope * keep * (below + inner * density)
+        gains.insert(0, (slope * unit).sum(axis=0))
+        shifts.insert(0, slope.sum(axis=0))
+        slope = slope * head.gains[i]
+        slope = (slope - slope.mean(axis=1, keepdims=True) - unit * (slope * unit).mean(axis=1, keepdims=True)) / spread
+        weights.insert(0, source.T @ slope)
+        biases.insert(0, slope.sum(axis=0))
+        slope = slope @ head.weights[i].T
+    return loss, logits.argmax(axis=1), [*weights, *biases, *gains, *shifts]
+
+
+def adam_step(state: list[list[np.ndarray]], grads: list[np.ndarray], step: int, options: Options) -> None:
+    """One decoupled-weight-decay Adam step on (values, means, squares), in place."""
+    for value, mean, square, grad in zip(*state, grads):
+        value *= 1 - options.learning_rate * options.weight_decay
+        mean += 0.1 * (grad - mean)
+        square += 0.001 * (grad * grad - square)
+        size = np.sqrt(square / (1 - 0.999**step)) + 1e-8
+        value -= options.learning_rate * mean / (1 - 0.9**step) / size
+
+
+def matrices(frames: Iterator[pd.DataFrame], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for frame in rebatch(frames, rows):
+        yield np.stack(frame["embedding"].to_numpy()).astype(np.float64), frame["label_idx"].to_numpy()
+
+
+def run_epoch(df: DataFrame, state: list, steps_done: int, class_weights: np.ndarray, options: Options, epoch: int, partitions: int) -> tuple[list, int, dict]:
+    """All partitions' steps of one epoch: the averaged state, steps taken, and loss and accuracy."""
+    shared = df.sparkSession.sparkContext.broadcast((state, class_weights))
+
+    def train(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        start, weights = shared.value
+        local = [[a.copy() for a in part] for part in start]
+        erf, part_id = numeric.Erf(), TaskContext.get().partitionId()
+        rng = np.random.default_rng([options.seed, epoch, part_id])
+        seen = batches = hits = 0
+        total = 0.0
+        for x, y in matrices(frames, options.batch_size * 64):
+            order = rng.permutation(len(y))
+            for at in range(0, len(y), options.batch_size):
+                rows = order[at : at + options.batch_size]
+                loss, guess, grads = gradients(unpack(local[0]), x[rows], y[rows], weights, options, erf, rng)
+                batches += 1
+                adam_step(local, grads, steps_done + batches, options)
+                total, seen, hits = total + loss, seen + len(rows), hits + int((guess == y[rows]).sum())
+        if seen:
+            flat = np.concatenate([a.ravel() for part in local for a in part]) * seen
+            yield pd.DataFrame(
+                {"slot": [part_id], "n": [seen], "b": [batches], "widest": [batches], "hits": [hits], "loss": [total], "state": [flat]}
+            )
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        sums = part[["n", "b", "hits", "loss"]].sum().to_frame().T
+        return sums.assign(slot=part["slot"].iloc[0], widest=part["widest"].max(), state=[sum(part["state"])])
+
+    schema = "slot int, n bigint, b bigint, widest bigint, hits bigint, loss double, state array<double>"
+    parts = df.select("embedding", "label_idx").mapInPandas(train, schema)
+    while partitions > FAN_IN:
+        partitions = math.ceil(partitions / FAN_IN)
+        parts = parts.withColumn("slot", F.floor(F.col("slot") / FAN_IN).cast("int"))
+        parts = parts.groupBy("slot").applyInPandas(add, schema)
+    merged = parts.collect()
+    shared.unpersist()
+    n, b = sum(r["n"] for r in merged), sum(r["b"] for r in merged)
+    flat = sum(np.asarray(r["state"]) for r in merged) / n
+    out, at = [], 0
+    for part in state:
+        out.append([])
+        for a in part:
+            out[-1].append(flat[at : at + a.size].reshape(a.shape))
+            at += a.size
+    result = {"loss": sum(r["loss"] for r in merged) / b, "accuracy": sum(r["hits"] for r in merged) / n}
+    return out, max(r["widest"] for r in merged), result
+
+
+def validate(df: DataFrame, head: Head, class_weights: np.ndarray, options: Options) -> dict:
+    """Mean of the batch losses, and accuracy, without dropout."""
+    shared = df.sparkSession.sparkContext.broadcast((head, class_weights))
+
+    def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, weights = shared.value
+        erf = numeric.Erf()
+        for x, y in matrices(frames, options.batch_size):
+            logits = forward(held, x, erf)
+            loss, _ = batch_loss(logits, y, weights, options.smoothing)
+            yield pd.DataFrame({"loss": [loss], "hits": [int((logits.argmax(axis=1) == y).sum())], "n": [len(y)]})
+
+    batches = df.select("embedding", "label_idx").mapInPandas(measure, "loss double, hits bigint, n bigint")
+    row = batches.agg(F.avg("loss").alias("loss"), (F.sum("hits") / F.sum("n")).alias("accuracy")).first()
+    return row.asDict()
+
+
+def train_network_head(train: DataFrame, val: DataFrame, weights: DataFrame, options: Options = Options()) -> tuple[Head | None, list[dict]]:
+    """(best head, one history entry per epoch) from prepared (embedding, label_idx) rows.
+
+    Training stops when validation accuracy has not risen strictly above the best, which starts at
+    0, for ``patience`` epochs; without any rise there is no best head. ``weights`` has one row per
+    class.
+    """
+    ordered = weights.orderBy("label_idx").select("weight").collect()
+    class_weights = np.array([r["weight"] for r in ordered])
+    width = train.select(F.size("embedding").alias("d")).first()["d"]
+    partitions = train.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0] + 1
+    values = pack(random_head(width, len(class_weights), options.seed, options.hidden))
+    state = [values, [np.zeros_like(a) for a in values], [np.zeros_like(a) for a in values]]
+    best, best_accuracy, waited, steps, history = None, 0.0, 0, 0, []
+    for epoch in range(1, options.epochs + 1):
+        state, taken, fitted = run_epoch(train, state, steps, class_weights, options, epoch, partitions)
+        steps += taken
+        head = unpack(state[0])
+        checked = validate(val, head, class_weights, options)
+        history.append(
+            {
+                "epoch": epoch,
+                "train_loss": fitted["loss"],
+                "train_accuracy": fitted["accuracy"],
+                "val_loss": checked["loss"],
+                "val_accuracy": checked["accuracy"],
+            }
+        )
+        waited += 1
+        if checked["accuracy"] > best_accuracy:
+            best, best_accuracy, waited = head, checked["accuracy"], 0
+        if waited >= options.patience:
+            break
+    return best, history

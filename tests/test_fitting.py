@@ -1,0 +1,88 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sightline.functions import vectors
+from sightline.operators import dataset, fitting, head, numeric, training
+
+SMALL = fitting.Options(epochs=30, batch_size=16, hidden=(12, 8), learning_rate=5e-3, patience=5)
+
+
+def test_pack_round_trip():
+    net = head.random_head(6, 4, 1, (5, 3))
+    again = fitting.unpack(fitting.pack(net))
+    for name in ("weights", "biases", "gains", "shifts"):
+        assert all(np.array_equal(a, b) for a, b in zip(getattr(net, name), getattr(again, name)))
+
+
+def test_gradients_equal_finite_differences():
+    rng = np.random.default_rng(0)
+    net = head.random_head(5, 3, 2, (6, 4))
+    x, y, weights, erf = rng.normal(size=(7, 5)), rng.integers(0, 3, 7), np.array([0.5, 2.0, 1.0]), numeric.Erf()
+    loss, guess, grads = fitting.gradients(net, x, y, weights, SMALL, erf, None)
+    assert np.array_equal(guess, head.forward(net, x, erf).argmax(axis=1))
+    for array, grad in zip(fitting.pack(net), grads):
+        for at in list(np.ndindex(array.shape))[:6]:
+            kept, step = array[at], 1e-5
+            array[at] = kept + step
+            high = fitting.gradients(net, x, y, weights, SMALL, erf, None)[0]
+            array[at] = kept - step
+            low = fitting.gradients(net, x, y, weights, SMALL, erf, None)[0]
+            array[at] = kept
+            assert grad[at] == pytest.approx((high - low) / (2 * step), abs=1e-7)
+
+
+@pytest.fixture(scope="module")
+def samples(spark):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(3, 6)) * 2
+    rows = [(int(c), (centers[c] + rng.normal(size=6) * 0.4).tolist(), "val" if i % 5 == 0 else "train") for i, c in enumerate(rng.integers(0, 3, 300))]
+    return spark.createDataFrame(rows, "label_idx int, embedding array<float>, split string").repartition(3)
+
+
+def test_validation_loss_equals_the_column_form(samples, spark):
+    net = head.random_head(6, 3, 4, (5, 4))
+    weights = spark.createDataFrame([(0, 0.5), (1, 1.0), (2, 2.0)], "label_idx int, weight double")
+    one = samples.coalesce(1)
+    got = fitting.validate(one, net, np.array([0.5, 1.0, 2.0]), fitting.Options(batch_size=1000))
+    scored = head.score_head(one, net, normalize=False).withColumn("batch", F.lit(0))
+    loss = training.weighted_ce_loss(scored, training.weight_vector(weights), "batch").first().loss
+    hits = scored.filter(vectors.argmax(F.col("logits")) == F.col("label_idx")).count()
+    assert got["loss"] == pytest.approx(loss) and got["accuracy"] == pytest.approx(hits / 300)
+
+
+def test_training_learns_and_stops(samples):
+    train, val = samples.filter("split = 'train'"), samples.filter("split = 'val'")
+    best, history = fitting.train_network_head(train, val, dataset.class_weights(train, "label_idx"), SMALL)
+    scores = [h["val_accuracy"] for h in history]
+    assert max(scores) > 0.95 and history[-1]["train_loss"] < history[0]["train_loss"]
+    assert [h["epoch"] for h in history] == list(range(1, len(history) + 1))
+    assert len(history) - 1 - int(np.argmax(scores)) == 5 or len(history) == 30
+    again = fitting.validate(val, best, np.ones(3), SMALL)
+    assert again["accuracy"] == max(scores)
+
+
+def test_no_rise_means_no_head(samples):
+    train = samples.filter("split = 'train'")
+    wrong = samples.filter("split = 'val'").withColumn("label_idx", F.lit(2))
+    hopeless = train.filter("label_idx < 2")
+    weights = dataset.class_weights(train, "label_idx")
+    best, history = fitting.train_network_head(hopeless, wrong, weights, fitting.Options(epochs=9, hidden=(4, 4), patience=2, learning_rate=0.05, batch_size=8))
+    if all(h["val_accuracy"] == 0 for h in history):
+        assert best is None and len(history) == 2
+    else:
+        assert best is not None
+
+
+def test_tree_average_equals_flat_average(samples, monkeypatch):
+    """Twelve partitions added up in one round, or through two levels of a tree."""
+    train = samples.filter("split = 'train'").repartition(12, "embedding")
+    weights, options = np.ones(3), SMALL
+    values = fitting.pack(head.random_head(6, 3, 1, options.hidden))
+    state = [values, [np.zeros_like(a) for a in values], [np.zeros_like(a) for a in values]]
+    flat = fitting.run_epoch(train, state, 0, weights, options, 1, 12)
+    monkeypatch.setattr(fitting, "FAN_IN", 3)
+    tree = fitting.run_epoch(train, state, 0, weights, options, 1, 12)
+    assert flat[1] == tree[1] and flat[2] == pytest.approx(tree[2])
+    for a, b in zip(flat[0], tree[0]):
+        assert all(np.allclose(x, y) for x, y in zip(a, b))
