@@ -10,7 +10,7 @@ from sightline.functions import vectors
 from sightline.functions.boxes import crop_region
 from sightline.operators import detection, head, hooks, hybrid, zeroshot
 from sightline.operators.dataset import fit_label_encoder
-from sightline.session import shared_dir, spread
+from sightline.session import materialize, shared_dir, spread
 from sightline.sources import sinks
 from sightline.sources.tables import read_prompt_bank
 
@@ -37,9 +37,14 @@ def l2_normalize(spark, d):
     )
 
 
+def stored_bank(spark, d):
+    """The bank as a written table, so that joins know its size."""
+    return materialize(fx.bank(spark, d), "bank")
+
+
 def first_prompts(spark, d):
     """Each vector with the first prompt of its own label."""
-    prompts = fx.bank(spark, d).filter("template_idx = 0").select(F.col("category_idx").alias("label"), "vec")
+    prompts = stored_bank(spark, d).filter("template_idx = 0").select(F.col("category_idx").alias("label"), "vec")
     return fx.embeddings(spark, d).join(prompts, "label")
 
 
@@ -138,11 +143,22 @@ def expand_prompts(spark, d):
     return zeroshot.expand_prompts(categories(spark, d), fx.TEMPLATES)
 
 
-@register("score_prompts", "SELECT vec_id, CAST(category_idx AS INTEGER) AS category_idx, round(score, 6) AS score FROM fx_scores")
+@register(
+    "score_prompts",
+    """SELECT vec_id, CAST(count(*) AS INTEGER) AS categories, round(max(score), 6) AS best, round(min(score), 6) AS worst,
+  round(sum(score * (category_idx + 1)), 6) AS checksum FROM fx_scores GROUP BY vec_id""",
+)
 def score_prompts(spark, d):
+    """All category scores of each vector stay one array; the check weighs each by its category."""
     bank = zeroshot.load_bank(fx.bank(spark, d))
     scored = zeroshot.score_prompts(fx.embeddings(spark, d), bank)
-    return scored.select("vec_id", F.posexplode("scores").alias("category_idx", "score")).withColumn("score", r6("score"))
+    return scored.select(
+        "vec_id",
+        F.size("scores").alias("categories"),
+        r6(F.array_max("scores")).alias("best"),
+        r6(F.array_min("scores")).alias("worst"),
+        r6(vectors.total(F.transform("scores", lambda x, i: x * (i + 1)))).alias("checksum"),
+    )
 
 
 @register(
@@ -152,7 +168,7 @@ FROM fx_vectors JOIN fx_bank ON category_idx = label WHERE norm > 0 GROUP BY vec
 )
 def best_template(spark, d):
     """Best of the eight templates of each vector's own category, from prompt-level scores."""
-    prompts = fx.bank(spark, d).withColumnRenamed("category_idx", "label")
+    prompts = stored_bank(spark, d).withColumnRenamed("category_idx", "label")
     pairs = fx.embeddings(spark, d).join(prompts, "label")
     unit = vectors.l2_normalize(F.col("embedding"))
     scored = pairs.select(

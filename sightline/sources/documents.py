@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sightline.defaults import CATEGORIES, TEMPLATES
 from sightline.functions.text import normalize_label, strip
 
 
@@ -118,22 +119,30 @@ def read_synonyms(spark: SparkSession, path: str, whole_files: bool = True) -> D
     return last_per_key(named, "category", "canonical", F.struct("doc_id", "pos"))
 
 
-def read_prompts(spark: SparkSession, path: str, whole_files: bool = True) -> tuple[DataFrame, DataFrame]:
-    """``{"categories": [...], "templates": [...]}`` as (category_idx, category) and (template_idx, template)."""
+def _prompt_config(spark: SparkSession, path: str | None, whole_files: bool) -> DataFrame:
+    """One row with the two lists of a prompt file, or of the default configuration."""
+    if path is None:
+        lists = [F.array(*[F.lit(v) for v in values]) for values in (CATEGORIES, TEMPLATES)]
+        return spark.range(1).select(lists[0].alias("categories"), lists[1].alias("templates"))
     schema = "categories array<string>, templates array<string>"
     docs = _documents(spark, path, whole_files).select(F.from_json("value", schema).alias("doc"))
-    categories = docs.select(F.posexplode("doc.categories").alias("category_idx", "category"))
-    templates = docs.select(F.posexplode("doc.templates").alias("template_idx", "template"))
+    return docs.select("doc.categories", "doc.templates")
+
+
+def read_prompts(spark: SparkSession, path: str | None = None, whole_files: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``{"categories": [...], "templates": [...]}`` as (category_idx, category) and (template_idx, template)."""
+    config = _prompt_config(spark, path, whole_files)
+    categories = config.select(F.posexplode("categories").alias("category_idx", "category"))
+    templates = config.select(F.posexplode("templates").alias("template_idx", "template"))
     return categories, templates
 
 
-def read_prompt_pairs(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+def read_prompt_pairs(spark: SparkSession, path: str | None = None, whole_files: bool = True) -> DataFrame:
     """All (category, template) pairs of a prompt file, from its own two lists."""
-    schema = "categories array<string>, templates array<string>"
-    docs = _documents(spark, path, whole_files).select(F.from_json("value", schema).alias("doc"))
-    with_category = docs.select("doc", F.posexplode("doc.categories").alias("category_idx", "category"))
+    config = _prompt_config(spark, path, whole_files)
+    with_category = config.select("templates", F.posexplode("categories").alias("category_idx", "category"))
     return with_category.select(
-        "category_idx", "category", F.posexplode("doc.templates").alias("template_idx", "template")
+        "category_idx", "category", F.posexplode("templates").alias("template_idx", "template")
     )
 
 

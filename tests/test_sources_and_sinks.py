@@ -71,6 +71,9 @@ def test_prompts(spark, tmp_path):
     assert pairs(categories, "category_idx", "category") == {0: "Bolt", 1: "Nut"}
     assert pairs(templates, "template_idx", "template") == {0: "a {}", 1: "the {}", 2: "{}"}
     assert documents.read_prompt_pairs(spark, path).count() == 6
+    categories, templates = documents.read_prompts(spark)
+    assert (categories.count(), templates.count(), documents.read_prompt_pairs(spark).count()) == (82, 8, 656)
+    assert categories.first().category == "Allen key"
 
 
 def test_label_encoder(spark, tmp_path):
