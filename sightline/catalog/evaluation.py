@@ -69,7 +69,8 @@ def as_text(df):
 )
 def parse_prediction_types_query(spark, d):
     typed = parse_prediction_types(as_text(fx.predictions(spark, d)))
-    return typed.withColumn("classifier_ms", r6("classifier_ms")).withColumn("pipeline_ms", r6("pipeline_ms"))
+    kept = typed.select("image", "object_id", "classifier_gt", "classifier_pred", "yolo_detected", "mobileclip_ms", "classifier_ms", "pipeline_ms")
+    return rounded(kept, ["classifier_ms", "pipeline_ms"])
 
 
 MOBILECLIP = """round(avg(CASE WHEN top1_correct THEN 1.0::DOUBLE ELSE 0 END), 6) AS top1_accuracy, round(avg(CASE WHEN {hit} THEN 1.0::DOUBLE ELSE 0 END), 6) AS top2_accuracy,

@@ -10,7 +10,7 @@ from sightline.session import materialize
 
 VAL_SIZE = 0.1
 SEED = 42
-HASH_DIGITS = 4  # leading hex digits of the row hash: 65,536 cells per class
+HASH_DIGITS = 3  # leading hex digits of the row hash: 4,096 cells per class
 
 
 def concat_samples(*sources: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def split_thresholds(df: DataFrame, label: str, key: str, val_size: float = VAL_
 
     Rows are ranked by a seeded hash. Instead of sorting a class, its rows are counted by leading
     hash digits; only the one cell that holds the quota's edge is ranked row by row, so a class with
-    a third of all rows costs a sort of 1/65,536 of it. The three small tables on the way are
+    a third of all rows costs a sort of 1/4,096 of it. The three small tables on the way are
     written, so the planner knows that neither pass over the data needs a shuffle of it.
     """
     hashed = df.select(label, key, F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))).alias("h"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.functions.outcomes import parse_flag, parse_timing
-from sightline.schemas import EMBEDDING_RECORD, PREDICTION_FIELDS, PREDICTION_FLAGS, PREDICTION_TIMINGS
+from sightline.schemas import EMBEDDING_RECORD, PREDICTION_FLAGS, PREDICTION_RECORD, PREDICTION_TIMINGS
 
 
 def read_embeddings(spark: SparkSession, path: str, pattern: str = "*_embeddings.json", documents: bool = True) -> DataFrame:
@@ -20,27 +20,28 @@ def read_embeddings(spark: SparkSession, path: str, pattern: str = "*_embeddings
 
 
 def parse_prediction_types(text: DataFrame) -> DataFrame:
-    """Typed prediction records from text columns; empty flags and timings are NULL, empty labels stay."""
+    """Typed prediction records from text columns, in the fixed order.
+
+    Empty flags and timings are NULL, empty labels stay; a column the table lacks is NULL.
+    """
     out = []
-    for name in PREDICTION_FIELDS:
-        if name not in text.columns:
-            continue
-        column = F.col(name)
-        if name in PREDICTION_FLAGS:
+    for field in PREDICTION_RECORD:
+        column = F.col(field.name)
+        if field.name not in text.columns:
+            column = F.lit(None).cast(field.dataType)
+        elif field.name in PREDICTION_FLAGS:
             column = parse_flag(column)
-        elif name in PREDICTION_TIMINGS:
+        elif field.name in PREDICTION_TIMINGS:
             column = parse_timing(column)
         else:
             column = F.coalesce(column, F.lit(""))
-        out.append(column.alias(name))
+        out.append(column.alias(field.name))
     return text.select(*out)
 
 
 def read_predictions(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A saved prediction table in its fixed column order."""
-    schema = ", ".join(f"{name} string" for name in PREDICTION_FIELDS)
-    rows = spark.read.schema(schema).csv(path, header=True, escape='"', multiLine=multi_line, enforceSchema=False)
-    return parse_prediction_types(rows)
+    """A saved prediction table; columns are found by the header's names."""
+    return parse_prediction_types(spark.read.csv(path, header=True, escape='"', multiLine=multi_line))
 
 
 def read_prepared(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:

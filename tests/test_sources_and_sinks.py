@@ -128,6 +128,15 @@ def test_reference_style_predictions_file(spark, tmp_path):
     assert (rows[1].classifier_gt, rows[1].yolo_detected, rows[1].classifier_ms, rows[1].hybrid_correct) == ("", None, 0.5, None)
 
 
+def test_prediction_columns_go_by_name(spark, tmp_path):
+    text = "classifier_pred,image,mobileclip_ms\nA,i.png,2.5\n,j.png,\n"
+    rows = tables.read_predictions(spark, put(tmp_path, "p.csv", text)).orderBy("image").collect()
+    assert [(r.image, r.classifier_pred, r.mobileclip_ms, r.hybrid_correct) for r in rows] == [("i.png", "A", 2.5, None), ("j.png", "", None, None)]
+    assert rows[0].__fields__ == PREDICTION_FIELDS
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tables.read_predictions(spark, put(tmp_path, "bad.csv", "image,mobileclip_ms\ni,fast\n")).collect()
+
+
 def test_label_map_sinks(frame, spark, tmp_path):
     df = frame([("B", "x"), ("A", None), ("C", "z")], "object_id string, label string")
     sinks.write_label_map(df, str(tmp_path / "lines"))
