@@ -105,9 +105,7 @@ HYBRID_RATES = ["hybrid_accuracy", "hybrid_balanced_accuracy", "average_pipeline
 
 
 def rounded(df, names):
-    for name in names:
-        df = df.withColumn(name, r6(name))
-    return df
+    return df.withColumns({name: r6(name) for name in names})
 
 
 @register(

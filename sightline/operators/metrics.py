@@ -22,12 +22,15 @@ def ratio0(part: Column, whole: Column) -> Column:
 
 
 def mark_outcomes(df: DataFrame, fallback: bool = False) -> DataFrame:
-    return (
-        df.withColumn("top1_correct", outcomes.top1_correct())
-        .withColumn("mobileclip_correct", outcomes.mobileclip_correct(fallback))
-        .withColumn("classifier_correct", outcomes.classifier_correct())
-        .withColumn("hybrid_correct", outcomes.hybrid_correct(fallback))
-        .withColumn("correct_source", outcomes.correct_source(fallback))
+    """Add every correctness flag and the outcome of each record."""
+    return df.withColumns(
+        {
+            "top1_correct": outcomes.top1_correct(),
+            "mobileclip_correct": outcomes.mobileclip_correct(fallback),
+            "classifier_correct": outcomes.classifier_correct(),
+            "hybrid_correct": outcomes.hybrid_correct(fallback),
+            "correct_source": outcomes.correct_source(fallback),
+        }
     )
 
 

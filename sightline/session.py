@@ -29,6 +29,7 @@ def local_session(app: str = "sightline", cores: str = "*", partitions: int = 8,
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for key, value in SCALE_SETTINGS.items():
