@@ -232,12 +232,13 @@ def embed_batches(spark, d):
     "detect_batches",
     """SELECT image_id, CAST(i AS INTEGER) AS box_id, CAST(image_id % 97 + i AS DOUBLE) AS xmin, CAST(image_id % 53 + 2 * i AS DOUBLE) AS ymin,
   CAST(image_id % 97 + i + 10 + i AS DOUBLE) AS xmax, CAST(image_id % 53 + 2 * i + 20 + i AS DOUBLE) AS ymax, CAST(image_id % 7 + i AS DOUBLE) / 100 AS confidence, false AS failed
-FROM (SELECT image_id, unnest(range(boxes)) AS i FROM (SELECT l_orderkey AS image_id, count(*) AS boxes FROM lineitem GROUP BY 1) g WHERE image_id % 101 <> 0) t
-UNION ALL SELECT DISTINCT l_orderkey, 0, NULL::DOUBLE, NULL, NULL, NULL, NULL, true FROM lineitem WHERE l_orderkey % 101 = 0""",
+FROM (SELECT o_orderkey AS image_id, unnest(range(o_orderkey % 5)) AS i FROM orders WHERE o_orderkey % 101 <> 0) t
+UNION ALL SELECT o_orderkey, 0, NULL::DOUBLE, NULL, NULL, NULL, NULL, true FROM orders WHERE o_orderkey % 101 = 0""",
 )
 def detect_batches(spark, d):
-    lines = fx.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("image_id"))
-    rows = hooks.detect_batches(lines.agg(F.count(F.lit(1)).alias("boxes")), fx.grid_detector, ["image_id"], batch_size=1024)
+    orders = spread(fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("image_id")))
+    images = orders.withColumn("boxes", F.col("image_id") % 5)
+    rows = hooks.detect_batches(images, fx.grid_detector, ["image_id"], batch_size=1024)
     box = [F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("xmin", "ymin", "xmax", "ymax", "confidence")]
     return rows.select("image_id", "box_id", *box, F.col("error").isNotNull().alias("failed"))
 

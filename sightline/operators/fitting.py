@@ -9,7 +9,7 @@ executor only repeats its partitions of the current epoch.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators import numeric
-from sightline.operators.head import HIDDEN, NORM_EPS, Head, forward, random_head
+from sightline.operators.head import HIDDEN, NORM_EPS, Head, forward, pack, random_head, unpack
 from sightline.operators.hooks import rebatch
 from sightline.operators.training import LABEL_SMOOTHING, PATIENCE
 
@@ -41,16 +41,6 @@ class Options:
     hidden: tuple[int, ...] = HIDDEN
 
 
-def pack(head: Head) -> list[np.ndarray]:
-    return [*head.weights, *head.biases, *head.gains, *head.shifts]
-
-
-def unpack(params: Sequence[np.ndarray]) -> Head:
-    layers = (len(params) + 2) // 4
-    parts = np.cumsum([0, layers, layers, layers - 1, layers - 1])
-    return Head(*[list(params[a:b]) for a, b in zip(parts, parts[1:])])
-
-
 def batch_loss(logits: np.ndarray, y: np.ndarray, class_weights: np.ndarray, smoothing: float) -> tuple[float, np.ndarray]:
     """Weighted cross-entropy with label smoothing of one batch, and its slope in the logits."""
     shifted = logits - logits.max(axis=1, keepdims=True)
@@ -62,7 +52,7 @@ def batch_loss(logits: np.ndarray, y: np.ndarray, class_weights: np.ndarray, smo
 
 
 def gradients(head: Head, x: np.ndarray, y: np.ndarray, class_weights: np.ndarray, options: Options, erf: numeric.Erf, rng: np.random.Generator | None) -> tuple[float, np.ndarray, list[np.ndarray]]:
-    """Loss, predicted classes and slopes in ``pack`` order; dropout only with a generator."""
+    """Loss, predicted classes and slopes in the order of ``pack``; dropout only with a generator."""
     steps = []
     for weight, bias, gain, shift in zip(head.weights, head.biases, head.gains, head.shifts):
         z = x @ weight + bias
@@ -159,11 +149,11 @@ def run_epoch(df: DataFrame, state: list, steps_done: int, class_weights: np.nda
 
 def validate(df: DataFrame, head: Head, class_weights: np.ndarray, options: Options) -> dict:
     """Mean of the batch losses, and accuracy, without dropout."""
-    shared = df.sparkSession.sparkContext.broadcast((head, class_weights))
+    shared = df.sparkSession.sparkContext.broadcast((pack(head), class_weights))
 
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, weights = shared.value
-        erf = numeric.Erf()
+        params, weights = shared.value
+        held, erf = unpack(params), numeric.Erf()
         for x, y in matrices(frames, options.batch_size):
             logits = forward(held, x, erf)
             loss, _ = batch_loss(logits, y, weights, options.smoothing)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +38,17 @@ class Head:
         return self.weights[-1].shape[1]
 
 
+def pack(head: Head) -> list[np.ndarray]:
+    """All arrays in one plain list, for broadcasts and optimisers."""
+    return [*head.weights, *head.biases, *head.gains, *head.shifts]
+
+
+def unpack(params: Sequence[np.ndarray]) -> Head:
+    layers = (len(params) + 2) // 4
+    parts = np.cumsum([0, layers, layers, layers - 1, layers - 1])
+    return Head(*[list(params[a:b]) for a, b in zip(parts, parts[1:])])
+
+
 def random_head(width: int, classes: int, seed: int, hidden: tuple[int, ...] = HIDDEN) -> Head:
     """A head with uniform random weights of the usual 1/sqrt(inputs) range."""
     rng = np.random.default_rng(seed)
@@ -66,11 +77,11 @@ def score_head(df: DataFrame, head: Head, vector: str = "embedding", out: str =
 
     NULL for a vector of another width, and for the zero vector when normalising.
     """
-    shared = df.sparkSession.sparkContext.broadcast(head)
+    shared = df.sparkSession.sparkContext.broadcast(pack(head))
 
     @F.arrow_udf("array<double>")
     def logits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held, erf = shared.value, numeric.Erf()
+        held, erf = unpack(shared.value), numeric.Erf()
         for batch in batches:
             matrix, usable = numeric.to_matrix(batch, held.width)
             if normalize:

@@ -1,8 +1,8 @@
 """Applying user-supplied models to rows in batches, with failures kept apart per row.
 
 A hook is given as a factory, called once per task; the model itself is the caller's. Rows flow
-through unchanged plus result columns and ``error``; a batch that fails is retried row by row, so
-one bad row costs only itself.
+through unchanged plus result columns and ``error``; a batch that fails is retried in halves, so one
+bad row costs only itself.
 """
 
 from __future__ import annotations
@@ -39,26 +39,19 @@ def rebatch(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]
 
 
 def isolate(call: Callable[[pd.DataFrame], list], batch: pd.DataFrame) -> tuple[list, list]:
-    """Results and error texts, one of each per row."""
-
-    def checked(part: pd.DataFrame) -> list:
-        results = list(call(part))
-        if len(results) != len(part):
-            raise ValueError(f"hook returned {len(results)} results for {len(part)} rows")
-        return results
-
+    """Results and error texts, one of each per row; a failing batch is halved down to its bad rows."""
     try:
-        return checked(batch), [None] * len(batch)
-    except Exception:
-        results, errors = [], []
-        for i in range(len(batch)):
-            try:
-                results += checked(batch.iloc[i : i + 1].reset_index(drop=True))
-                errors.append(None)
-            except Exception as failure:
-                results.append(None)
-                errors.append(repr(failure))
-        return results, errors
+        results = list(call(batch))
+        if len(results) != len(batch):
+            raise ValueError(f"hook returned {len(results)} results for {len(batch)} rows")
+        return results, [None] * len(batch)
+    except Exception as failure:
+        if len(batch) == 1:
+            return [None], [repr(failure)]
+        half = len(batch) // 2
+        left = isolate(call, batch.iloc[:half].reset_index(drop=True))
+        right = isolate(call, batch.iloc[half:].reset_index(drop=True))
+        return left[0] + right[0], left[1] + right[1]
 
 
 def embed_batches(df: DataFrame, factory: Callable[[], Encoder], batch_size: int = BATCH_SIZE, normalize: bool = False, drop: tuple[str, ...] = ()) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from sightline.functions.boxes import DEFAULT_EXPANSION
 from sightline.operators import numeric
-from sightline.operators.head import Head, forward
+from sightline.operators.head import Head, forward, pack, unpack
 from sightline.operators.hooks import BATCH_SIZE, Detector, Encoder, isolate, rebatch
 from sightline.operators.zeroshot import Bank
 
@@ -51,12 +51,13 @@ def hybrid_predict(
     the crop region of each row. One Python stage, no shuffle; timings are batch time per row.
     """
     context = df.sparkSession.sparkContext
-    shared = context.broadcast((bank, list(categories), head, list(class_names)))
+    shared = context.broadcast((bank.parts(), list(categories), pack(head), list(class_names)))
     schema = T.StructType([df.schema[k] for k in keep] + RESULT.fields)
     names = list(keep)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, labels, layers, classes = shared.value
+        parts, labels, params, classes = shared.value
+        held, layers = Bank(*parts), unpack(params)
         detector, encoder, erf = detector_factory(), encoder_factory(), numeric.Erf()
         label_array, class_array = np.array(labels, dtype=object), np.array(classes, dtype=object)
 

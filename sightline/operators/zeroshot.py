@@ -46,6 +46,10 @@ class Bank:
     def width(self) -> int:
         return self.prompts.shape[1]
 
+    def parts(self) -> tuple:
+        """Plain arrays for a broadcast, which carries no class definitions; ``Bank(*parts)`` undoes it."""
+        return self.prompts, self.owner, self.categories
+
 
 def bank_shape(bank: DataFrame) -> tuple[int, int, int]:
     """(prompts, vector width, categories); vectors of different widths are an error."""
@@ -75,12 +79,12 @@ def load_bank(bank: DataFrame, max_bytes: int = MAX_BANK_BYTES) -> Bank | None:
 
 def score_prompts(df: DataFrame, bank: Bank, vector: str = "embedding", out: str = "scores", logit_scale: float | None = None) -> DataFrame:
     """Add the array of best-template similarities by category; NULL for a zero or unusable vector."""
-    shared = df.sparkSession.sparkContext.broadcast(bank)
+    shared = df.sparkSession.sparkContext.broadcast(bank.parts())
     factor = 1.0 if logit_scale is None else float(np.exp(logit_scale))
 
     @F.arrow_udf("array<double>")
     def similarity(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held = shared.value
+        held = Bank(*shared.value)
         for batch in batches:
             matrix, usable = numeric.to_matrix(batch, held.width)
             unit, has_norm = numeric.unit_rows(matrix)
@@ -104,11 +108,11 @@ def topk_categories(df: DataFrame, bank: DataFrame, k: int = 2, key: str = "vec_
 
 def topk_arrays(df: DataFrame, bank: Bank, k: int = 2, vector: str = "embedding", out: str = "top") -> DataFrame:
     """Add the k best (idx, score) pairs as one array per row, computed in the same batch as the scores."""
-    shared = df.sparkSession.sparkContext.broadcast(bank)
+    shared = df.sparkSession.sparkContext.broadcast(bank.parts())
 
     @F.arrow_udf("struct<idx:array<int>,score:array<double>>")
     def best(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held = shared.value
+        held = Bank(*shared.value)
         for batch in batches:
             matrix, usable = numeric.to_matrix(batch, held.width)
             unit, has_norm = numeric.unit_rows(matrix)

@@ -21,7 +21,7 @@ SCALE_SETTINGS = {
 }
 
 
-def local_session(app: str = "sightline", cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(app: str = "sightline", cores: str = "*", partitions: int = 8, memory: str = "8g", **settings: str) -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -32,7 +32,7 @@ def local_session(app: str = "sightline", cores: str = "*", partitions: int = 8,
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
-    for key, value in SCALE_SETTINGS.items():
+    for key, value in {**SCALE_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -65,7 +65,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def spread(table: DataFrame) -> DataFrame:
     """Rows of a stored table over all task slots, for hooks that cost far more than moving a row.
 
-    A table with at least as many files as slots is left as it is.
+    A scan of at least as many tasks as there are slots is left as it is.
     """
     slots = table.sparkSession.sparkContext.defaultParallelism
-    return table if len(table.inputFiles()) >= slots else table.repartition(slots)
+    return table if table.rdd.getNumPartitions() >= slots else table.repartition(slots)

@@ -10,7 +10,9 @@ from sightline.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", "4", 4, "4g")
+    session = local_session(
+        "tests", "8", 4, "4g", **{"spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"}
+    )
     session.sparkContext.setLogLevel("ERROR")
     return session
 
