@@ -10,7 +10,7 @@ from sightline.functions import outcomes
 from sightline.operators import labels, metrics, quantiles, training
 from sightline.plans.evaluation import recompute_report
 from sightline.schemas import SOURCES
-from sightline.session import shared_dir
+from sightline.session import materialize, shared_dir
 from sightline.sources import sinks
 from sightline.sources.tables import parse_prediction_types
 
@@ -153,14 +153,15 @@ def fallback_delta(spark, d):
 LEFT JOIN fx_encoder p ON p.label = classifier_pred""",
 )
 def encode_labels_join(spark, d):
-    encoder = fx.type_encoder(spark, d)
+    encoder = materialize(fx.type_encoder(spark, d), "encoder")
     truth = labels.encode_labels(fx.predictions(spark, d), encoder, "classifier_gt", "y")
     return labels.encode_labels(truth, encoder, "classifier_pred", "y_pred").select("image", "y", "y_pred")
 
 
 @register("known_class_filter", "SELECT image, classifier_gt FROM fx_predictions WHERE classifier_gt IN (SELECT label FROM fx_encoder)")
 def known_class_filter(spark, d):
-    return labels.known_class_filter(fx.predictions(spark, d), fx.type_encoder(spark, d)).select("image", "classifier_gt")
+    encoder = materialize(fx.type_encoder(spark, d), "encoder")
+    return labels.known_class_filter(fx.predictions(spark, d), encoder).select("image", "classifier_gt")
 
 
 @register("skipped_unknown", "SELECT count(*) AS skipped FROM fx_predictions WHERE classifier_gt NOT IN (SELECT label FROM fx_encoder)")

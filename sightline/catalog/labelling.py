@@ -80,10 +80,10 @@ def canonical_label(spark, d):
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN fx_synonyms s ON s.category = {normalized('p.p_name')}""",
 )
 def synonym_join(spark, d):
-    named = fx.table(spark, d, "lineitem").join(
-        fx.table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey"
-    )
-    return labels.synonym_join(named, fx.synonyms(spark, d), "p_name", "canonical").select(*KEYS, "canonical")
+    """The synonym table meets the parts, of which there are far fewer than line items."""
+    part = fx.table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    named = labels.synonym_join(part, fx.synonyms(spark, d), "p_name", "canonical").select("l_partkey", "canonical")
+    return fx.table(spark, d, "lineitem").join(named, "l_partkey").select(*KEYS, "canonical")
 
 
 @register("distinct_object_ids", "SELECT object_id FROM fx_ids")

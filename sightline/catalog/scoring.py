@@ -83,9 +83,8 @@ def softmax_probs(spark, d):
 @register("argmax_class", "SELECT vec_id, CAST(list_position(logits, list_max(logits)) - 1 AS INTEGER) AS class_idx, l.label AS class_name FROM fx_logits JOIN (SELECT DISTINCT label FROM embeddings) l ON l.label = list_position(logits, list_max(logits)) - 1")
 def argmax_class(spark, d):
     best = fx.logits(spark, d).select("vec_id", vectors.argmax(F.col("logits")).alias("class_idx"))
-    names = fit_label_encoder(fx.embeddings(spark, d)).select(
-        F.col("label_idx").alias("class_idx"), F.col("label").alias("class_name")
-    )
+    encoder = materialize(fit_label_encoder(fx.embeddings(spark, d)), "encoder")
+    names = encoder.select(F.col("label_idx").alias("class_idx"), F.col("label").alias("class_name"))
     return best.join(names, "class_idx").select("vec_id", "class_idx", "class_name")
 
 

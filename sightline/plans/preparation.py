@@ -19,5 +19,5 @@ def prepare(records: DataFrame, key: str, label: str = "label", val_size: float
     encoder = materialize(dataset.fit_label_encoder(rows, label), "label_encoder")
     coded = encode_labels(rows, encoder, label, "label_idx")
     samples = dataset.stratified_split(coded, "label_idx", key, val_size, seed)
-    weights = dataset.class_weights(samples.filter(F.col("split") == "train"), "label_idx")
+    weights = materialize(dataset.class_weights(samples.filter(F.col("split") == "train"), "label_idx"), "class_weights")
     return samples, weights, encoder

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sightline.defaults import CATEGORIES, TEMPLATES
 from sightline.functions.text import normalize_label, strip
+from sightline.session import materialize
 
 
 def _documents(spark: SparkSession, path: str, whole_files: bool) -> DataFrame:
@@ -33,7 +34,7 @@ def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines of (prefix, image_path), for manifests too large for one document.
 
     Positions are consecutive in file order: each row's place in its scan partition plus the rows of
-    the partitions before it.
+    the partitions before it. The list of partition sizes is written, so it can be broadcast.
     """
     rows = spark.read.schema("prefix string, image_path string").json(path)
     placed = rows.withColumn("__id", F.monotonically_increasing_id())
@@ -41,7 +42,8 @@ def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
     sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    joined = placed.withColumn("__p", part).join(offsets, F.col("__p") == F.col("__part"))
+    known = materialize(offsets, "manifest_offsets")
+    joined = placed.withColumn("__p", part).join(known, F.col("__p") == F.col("__part"))
     return joined.select(
         (F.col("__before") + place + 1).alias("pos"),
         "prefix",
