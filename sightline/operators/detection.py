@@ -14,8 +14,8 @@ from sightline.schemas import BOX_COLUMNS
 def best_detection(boxes: DataFrame, keys: Sequence[str], ties: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """The box of highest confidence per image; equal confidences go to the smallest ``ties``.
 
-    One aggregate with a map-side step, so an image with very many boxes needs no sort. A NaN
-    confidence ranks last.
+    One aggregate with a map-side step: each task sends one box per image, however many an image
+    has. A NaN confidence ranks last.
     """
     confidence = F.when(~F.isnan("confidence"), F.col("confidence"))
     rank = F.struct(confidence.alias("c"), *[(-F.col(t)).alias(f"t{i}") for i, t in enumerate(ties)])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sightline.functions import paths
 from sightline.functions.text import normalize_label
 from sightline.schemas import UNKNOWN
+from sightline.session import materialize
 
 
 def lookup(df: DataFrame, table: DataFrame, key: Column, table_key: str, table_value: str, out: str) -> DataFrame:
@@ -93,7 +94,7 @@ def group_by_label(labels: DataFrame, max_ids: int = 10_000) -> DataFrame:
     pieces to keep each near that size, so no task ever holds all IDs of a hot label; the union of
     its pieces is the whole list.
     """
-    counts = labels.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / max_ids).alias("pieces"))
+    counts = materialize(labels.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / max_ids).alias("pieces")), "pieces")
     spread = labels.join(counts.withColumnRenamed("label", "__label"), F.col("label").eqNullSafe(F.col("__label")))
     return (
         spread.withColumn("piece", F.pmod(F.xxhash64("object_id"), F.col("pieces")))
@@ -138,7 +139,7 @@ def synonym_join(df: DataFrame, synonyms: DataFrame, label: str, out: str) -> Da
 def truth_table(zero_shot_labels: DataFrame, head_labels: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Both truths per ID: (object_id, truth_a, truth_b, in_a, in_b), truth A in canonical form.
 
-    Made of label tables alone, so the data needs a single join.
+    Made of label tables alone, so the data needs a single join, with a table of known size.
     """
     canonical = synonym_join(zero_shot_labels.select("object_id", "label"), synonyms, "label", "label")
     a = canonical.select("object_id", F.col("label").alias("truth_a"), F.lit(True).alias("in_a"))
@@ -151,7 +152,8 @@ def dual_truth_join(df: DataFrame, zero_shot_labels: DataFrame, head_labels: Dat
 
     A miss gets the default label, for truth A in its canonical form.
     """
-    truths = truth_table(zero_shot_labels, head_labels, synonyms).withColumnRenamed("object_id", "__key")
+    truths = materialize(truth_table(zero_shot_labels, head_labels, synonyms), "truths")
+    truths = truths.withColumnRenamed("object_id", "__key")
     word = synonyms.filter(F.col("category") == F.lower(F.lit(UNKNOWN)))
     default = word.agg(normalize_label(F.coalesce(F.first("canonical"), F.lit(UNKNOWN))).alias("u")).scalar()
     joined = df.join(truths, F.col("object_id") == F.col("__key"), "left")

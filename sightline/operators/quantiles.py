@@ -2,7 +2,8 @@
 
 Spark's ``percentile`` holds every distinct value of a group in one task. Here values are first
 counted in fine cells whose order follows the value order; the cells that hold the wanted ranks are
-found on the counts alone, and only the distinct values in those few cells are ranked one by one.
+found on the counts alone, and only the distinct values in those few cells are ranked one by one. The
+few chosen cells are written, so the second pass over the data is a filter and no shuffle of it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sightline.session import materialize
+
 CELLS_PER_UNIT = 20_000  # cells per factor e of the value
 ORIGIN = 1e6  # values below one part in a million share the cells around zero
 
@@ -52,6 +55,7 @@ def summarize(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[st
         wanted = wanted | holds(F.floor(rank(share))) | holds(F.ceil(rank(share)))
     totals = ["rows", "s", "lo", "hi"]
     chosen = placed.filter(wanted).select(*keys, "cell", F.col("first").alias("cell_first"), *totals)
+    chosen = materialize(chosen, "quantile_cells")
     values = (
         data.join(chosen, [*keys, "cell"])
         .groupBy(*keys, "cell", "v")

@@ -59,8 +59,7 @@ def test_no_detection_leaves_the_whole_image(frame):
     assert rows == {"a": (True, False, (1, 2, 3, 4)), "z": (False, True, (0, 0, 100, 80))}
 
 
-def test_hot_image_needs_no_sort(frame):
-    """An image with most of the boxes is reduced before the shuffle: no window, no sort in the plan."""
+def test_hot_image_is_reduced_before_the_shuffle(frame):
     df = boxes(frame, [("hot", i, 0.0, 0.0, 1.0, 1.0, i / 1000) for i in range(900)] + [("cold", 1, 0.0, 0.0, 1.0, 1.0, 0.5)])
     best = detection.best_detection(df, ["image"], ["box"])
     plan = best._jdf.queryExecution().executedPlan().toString()
