@@ -7,11 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.catalog.registry import register
-from sightline.llm import bpe, language, nearcopies, packing, personal, toxicity
+from sightline.llm import bpe, dialogues, fingerprints, language, nearcopies, packing, personal, search, toxicity, urls
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
+RULES = [urls.Rule("net", "/", "block"), urls.Rule("example.net", "/en/", "allow"), urls.Rule("example.com", "/de/", "block"), urls.Rule("org", "/fr/", "allow")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,11 @@ def remainder(key: str, by: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % by
 
 
+@register("op1_fingerprints")
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
 @register("op2_language")
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -31,7 +37,20 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
-@register("op3_near_copies")
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LINKED_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w) t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * i >= 85 * (x.n + y.n - i)),
+r AS (SELECT u AS doc_id, u AS far FROM l UNION SELECT r.doc_id, l.v FROM r JOIN l ON l.u = r.far),
+c AS (SELECT doc_id, min(far) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id"""
+
+
+@register("op3_near_copies", LINKED_SQL)
 def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.linked(table(spark, sf_dir, "documents"), words=4, percent=85)
 
@@ -48,6 +67,38 @@ def op4_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in personal.BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+PERSPECTIVES_SQL = f"""WITH t AS (SELECT conv_id, coalesce(turn // {dialogues.PART}, 0)::BIGINT AS part, turn, role, coalesce(text, '') AS text FROM conversations),
+g AS (SELECT conv_id, part, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role NULLS FIRST, text) AS said FROM t GROUP BY conv_id, part),
+p AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+e AS (SELECT g.conv_id, g.part, said, speaker,
+  list_transform(said, lambda s: concat('<|im_start|>', CASE WHEN s.role = speaker THEN 'assistant' WHEN s.role = 'system' THEN 'system' ELSE concat('user', coalesce(' name=' || s.role, '')) END, chr(10))) AS heads,
+  list_transform(said, lambda s: concat(s.text, '<|im_end|>')) AS bodies
+  FROM g JOIN p ON g.conv_id IS NOT DISTINCT FROM p.conv_id),
+f AS (SELECT *, list_transform(range(1, len(said) + 1), lambda i: coalesce(list_sum(list_transform(heads[1:i - 1], lambda h: length(h))), 0) + coalesce(list_sum(list_transform(bodies[1:i - 1], lambda b: length(b))), 0) + i - 1 + length(heads[i])) AS firsts FROM e)
+SELECT conv_id, speaker, part, len(said)::INTEGER AS n_turns, array_to_string(list_transform(list_zip(heads, bodies), lambda x: concat(x[1], x[2], chr(10))), '') AS rendered,
+  array_to_string(list_transform(list_filter(range(1, len(said) + 1), lambda i: said[i].role = speaker), lambda i: concat(firsts[i]::BIGINT, ':', (firsts[i] + length(bodies[i]))::BIGINT)), ',') AS masks FROM f"""
+
+
+@register("op5_perspectives", PERSPECTIVES_SQL)
+def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rendered = dialogues.perspectives(table(spark, sf_dir, "conversations"))
+    masks = F.array_join(F.transform("masks", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return rendered.withColumn("masks", masks)
+
+
+TOP_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+@register("op6_top_k", TOP_SQL)
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @register("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -67,6 +118,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, END_ID)
 
 
+@register("op9_url_filter")
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), RULES, keep=["page_id"])
+
+
 @register("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
