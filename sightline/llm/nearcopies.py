@@ -10,8 +10,9 @@ sparse and never built: a block is stored as the XOR of one random word per set
 Skew. Equal sets become one class first. Blocks that are empty or shared by many classes ("weak") say little
 and are skipped for a document that has at most `slack` of them, which loses no link, as one of the equal blocks
 is not weak. Only documents mostly made of weak blocks, such as members of large groups of near copies, meet in
-the large buckets. No bucket emits its pairs: its members are compared with a leader, and only members that are
-in different components afterwards are compared further, with twice as many leaders in each round.
+the large buckets. No large bucket emits its pairs: its members are compared with one leader, and if several
+components are left in it, sketches and sets are compared chunk by chunk inside tasks of bounded memory, which give
+only the links that join components.
 
 Defined results: words are runs without ASCII white space, A-Z lower-cased. A document with fewer words than a
 shingle has its whole sequence as its one shingle; a null or wordless text has no shingle and no link. Rows that
@@ -33,7 +34,8 @@ from sightline.session import materialize
 
 WORDS, PERCENT = 5, 80  # shingle length and similarity, unless a caller says otherwise
 HOT = 32  # members above which a block is weak
-SMALL = 16  # members of a bucket that are compared in one round
+SMALL = 16  # members up to which a bucket's remaining pairs are listed
+CHUNK, OVERHEAD = 500_000, 256  # weight of a chunk of a family: its shingles, and what a document adds
 BROADCAST_ROWS = 2_000_000  # ids (16 MB) up to which candidates are broadcast; beyond that they are shuffled
 BITS = np.uint64((1 << 20) - 1)  # bits of a block, less one
 _LACK = np.uint64(0x5851F42D4C957F2D)
@@ -129,7 +131,7 @@ def signatures(values: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.
 
 
 def signed(docs: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
-    """Per row: node (the key), n (set size), two halves of the set's digest, signatures and their tags."""
+    """Per row: node (the key), n (set size), two halves of the set's digest, signatures, their tags and a sketch."""
 
     def apply(batches):
         for batch in batches:
@@ -140,19 +142,20 @@ def signed(docs: DataFrame, text: str, key: str, words: int, percent: int) -> Da
                 one, two = (np.append(0, np.cumsum(mix(values ^ np.uint64(salt)))) for salt in (0, 0x94D049BB133111EB))
                 sig, tag, count = signatures(values, sizes, percent)
                 offsets = pa.array(np.append(0, np.cumsum(count)).astype(np.int32))
+                sketch = [_sketch(values[j - n : j]).tobytes() for j, n in zip(ends, sizes, strict=True)]
                 half = lambda total: pa.array((total[ends] - total[ends - sizes]).astype(np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(sizes.astype(np.int64)), half(one.astype(np.uint64)), half(two.astype(np.uint64)), pa.ListArray.from_arrays(offsets, pa.array(sig)), pa.ListArray.from_arrays(offsets, pa.array(tag))],
-                    names=["node", "n", "d1", "d2", "sigs", "tags"],
+                    [batch.column(0).slice(a, b - a), pa.array(sizes.astype(np.int64)), half(one.astype(np.uint64)), half(two.astype(np.uint64)), pa.ListArray.from_arrays(offsets, pa.array(sig)), pa.ListArray.from_arrays(offsets, pa.array(tag)), pa.array(sketch)],
+                    names=["node", "n", "d1", "d2", "sigs", "tags", "sketch"],
                 )
 
     rows = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("t"))
-    return rows.mapInArrow(apply, "node long, n long, d1 long, d2 long, sigs array<long>, tags array<int>")
+    return rows.mapInArrow(apply, "node long, n long, d1 long, d2 long, sigs array<long>, tags array<int>, sketch binary")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, text: str, key: str, words: int) -> DataFrame:
     """The shingle sets of the given nodes, as sorted 64-bit values."""
-    held = nodes.select(F.col("node").alias("_node"))
+    held = materialize(nodes.select(F.col("node").alias("_node")), "asked")
     held = F.broadcast(held) if held.count() <= BROADCAST_ROWS else held
     rows = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("t")).join(held, F.col("node") == F.col("_node"), "left_semi")
 
@@ -167,25 +170,118 @@ def _sets(docs: DataFrame, nodes: DataFrame, text: str, key: str, words: int) ->
 
         return work
 
-    return with_columns(rows, "t", [T.StructField("items", T.BinaryType())], make).select("node", "items")
+    return materialize(with_columns(rows, "t", [T.StructField("items", T.BinaryType())], make).select("node", "items"), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets link."""
+def _verified(pairs: DataFrame, light: DataFrame, sets_of, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets link: those whose sketches allow it, tested on their whole sets."""
 
-    def apply(batches):
+    def allowed(batches):
+        for batch in batches:
+            sizes = [batch.column(i).to_numpy() for i in (2, 3)]
+            most = (sizes[0] + sizes[1]) * (100 - percent) // (100 + percent)
+            fits = percent * np.maximum(*sizes) <= 100 * np.minimum(*sizes)
+            keep = np.zeros(len(fits), bool)
+            for i in np.flatnonzero(fits):
+                a, b = (np.frombuffer(batch.column(c)[int(i)].as_buffer(), np.uint64) for c in (4, 5))
+                keep[i] = _distance(a, b) <= most[i]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep))
+
+    def linked(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (a, b) if len(a) < len(b) else (b, a)
-                shared = 0 if 100 * len(small) < percent * len(large) else int((find(large, small) >= 0).sum())
-                keep.append(shared > 0 and 100 * shared >= percent * (len(a) + len(b) - shared))
+            keep = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("u"), F.col("items").alias("a"))
-    right = sets.select(F.col("node").alias("v"), F.col("items").alias("b"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(apply, "u long, v long")
+    side = lambda df, key, *names: df.select(F.col("node").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in names])
+    both = pairs.join(side(light, "u", "n", "sketch"), "u").join(side(light, "v", "n", "sketch"), "v")
+    near = materialize(both.select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(allowed, "u long, v long"), "allowed")
+    sets = sets_of(near.select(F.col("u").alias("node")).union(near.select("v")).distinct())
+    return near.join(side(sets, "u", "items"), "u").join(side(sets, "v", "items"), "v").select("u", "v", "items_u", "items_v").mapInArrow(linked, "u long, v long")
+
+
+def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets in which several components are left, with label and bucket size."""
+    by_sig = Window.partitionBy("sig")
+    state = members.join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("label"))
+    state = state.withColumns({"lo": F.min("label").over(by_sig), "hi": F.max("label").over(by_sig), "m": F.count("*").over(by_sig)})
+    return materialize(state.where("lo < hi").drop("lo", "hi"), "unsettled")
+
+
+def _settled(state: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of large buckets.
+
+    Buckets that share members form a family. A family's members are cut by size into chunks of bounded weight, and
+    each task compares two chunks: sketches first, by their Hamming distance, then the sets of what is left. A task
+    gives at most one link for each of its documents, as it skips pairs that its links have joined already.
+    """
+    star = state.select(F.col("node").alias("u"), F.min("node").over(Window.partitionBy("sig")).alias("v")).distinct()
+    families = components(star).withColumnRenamed("label", "family")
+    known = state.select("node", "label").distinct()
+    weighed = sets.select("node", (F.octet_length("items") / 8).cast("long").alias("n")).join(families, "node").join(known, "node")
+    order = Window.partitionBy("family").orderBy("n", "node")
+    placed = weighed.withColumn("chunk", F.floor(F.sum(F.col("n") + OVERHEAD).over(order) / CHUNK))
+    placed = materialize(placed, "placed")
+    chunks = placed.groupBy("family", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    other = chunks.select("family", F.col("chunk").alias("second"), F.col("low").alias("low2"))
+    couples = chunks.join(other, "family").where((F.col("chunk") <= F.col("second")) & (F.col("low2") * percent <= F.col("high") * 100))
+    couples = materialize(couples.select("family", F.col("chunk").alias("first"), "second"), "couples")
+    whole = placed.join(sets, "node").select("family", "chunk", "node", "label", "items")
+    left = whole.join(couples, (whole.family == couples.family) & (whole.chunk == couples["first"])).select(couples["*"], F.lit(0).alias("side"), "node", "label", "items")
+    right = whole.join(couples, (whole.family == couples.family) & (whole.chunk == couples["second"]) & (couples["first"] < couples["second"]))
+    right = right.select(couples["*"], F.lit(1).alias("side"), "node", "label", "items")
+
+    def compare(table: pa.Table) -> pa.Table:
+        nodes, labels, side = (table.column(c).to_numpy() for c in ("node", "label", "side"))
+        order = np.argsort(side, kind="stable")
+        nodes, labels, side = nodes[order], labels[order], side[order]
+        items = table.column("items").combine_chunks()
+        own = [np.frombuffer(items[int(i)].as_buffer(), np.uint64) for i in order]
+        edges = _forest(own, labels, int((side == 0).sum()) if side.any() else None, percent)
+        return pa.table({"u": pa.array([int(nodes[i]) for i, _ in edges], pa.int64()), "v": pa.array([int(nodes[j]) for _, j in edges], pa.int64())})
+
+    return left.union(right).groupBy("family", "first", "second").applyInArrow(compare, "u long, v long")
+
+
+def _sketch(own: np.ndarray, least: int = 256, share: int = 2) -> np.ndarray:
+    """The parity sketch of a set as 64-bit words; its size is a power of two, at least `share` bits per element."""
+    bits = least
+    while bits < share * len(own):
+        bits *= 2
+    parity = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.uint64)
+
+
+def _distance(a: np.ndarray, b: np.ndarray) -> int:
+    """Hamming distance; the larger sketch is folded to the size of the smaller, which a smaller hash would give."""
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum(dtype=np.int64))
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    small, large = (a, b) if len(a) < len(b) else (b, a)
+    if 100 * len(small) < percent * len(large):
+        return False
+    shared = int((find(large, small) >= 0).sum())
+    return shared > 0 and 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
+def _forest(sets: list[np.ndarray], labels: np.ndarray, split: int | None, percent: int) -> list[tuple[int, int]]:
+    """Links that join all components which any link joins: between the sets before and after `split`, or among all."""
+    n, component, out = np.array([len(x) for x in sets]), np.unique(labels, return_inverse=True)[1], []
+    bits = max(1024, 1 << int(4 * n.max() - 1).bit_length())
+    sketch = np.array([_sketch(x, bits) for x in sets])
+    for i in range(len(sets) if split is None else split):
+        first = i + 1 if split is None else split
+        size = n[first:]
+        differ = np.bitwise_count(sketch[first:] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+        near = (differ * (100 + percent) <= (size + n[i]) * (100 - percent)) & (component[first:] != component[i])
+        for j in np.flatnonzero(near) + first:
+            if component[j] != component[i] and _linked(sets[i], sets[j], percent):
+                component[component == component[j]] = component[i]
+                out.append((i, int(j)))
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -210,32 +306,33 @@ def linked(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     nodes = classes.agg(F.min("node").alias("node"), F.first("sigs").alias("sigs"), F.first("tags").alias("tags"))
     pieces = nodes.select("node", F.explode(F.arrays_zip("sigs", "tags")).alias("x")).select("node", F.col("x.sigs").alias("sig"), F.col("x.tags").alias("tag"))
     by_sig = Window.partitionBy("sig")
-    shared = materialize(pieces.withColumn("m", F.count("*").over(by_sig)).where("m > 1"), "buckets")
+    counted = pieces.withColumns({"m": F.count("*").over(by_sig).cast("int"), "leader": F.min("node").over(by_sig)})
+    shared = materialize(counted.where("m > 1"), "buckets")
     weak = shared.where(F.col("m") > HOT)
     risky = weak.groupBy("node", "tag").agg(F.count("*").alias("h")).where(F.col("h") > F.col("tag") % _TAG).select("node", "tag")
-    members = shared.where(F.col("m") <= HOT).union(weak.join(risky, ["node", "tag"], "left_semi").select(*shared.columns)).select("sig", "node").distinct()
-    ranked = members.withColumn("rank", F.row_number().over(by_sig.orderBy("node"))).withColumn("leader", F.min("node").over(by_sig))
-    buckets = materialize(ranked.withColumn("m", F.count("*").over(by_sig)).where("m > 1"), "members")
-    sets = materialize(_sets(docs, materialize(buckets.select("node").distinct(), "candidates"), text, key, words), "sets")
-
-    found = materialize(_verified(buckets.where("rank > 1").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct(), sets, percent), "found")
-    labels, done, leaders = components(found), 1, 1
-    left = buckets.where("m > 2").select("sig", "node", "rank")
-    while True:
-        # members not yet compared with all others of their bucket, where several components are left
-        state = left.where(F.col("rank") > done).join(labels, "node", "left").select("sig", "node", "rank", F.coalesce("label", "node").alias("label"))
-        state = state.withColumns({"lo": F.min("label").over(by_sig), "hi": F.max("label").over(by_sig), "m": F.count("*").over(by_sig)})
-        state = materialize(state.where("lo < hi").drop("lo", "hi"), "unsettled")
-        if state.isEmpty():
-            break
-        first = state.where((F.col("m") <= SMALL) | (F.col("rank") <= done + leaders)).select("sig", F.col("node").alias("v"), F.col("rank").alias("r"), F.col("label").alias("l"))
-        pairs = state.join(first, "sig").where((F.col("rank") > F.col("r")) & (F.col("label") != F.col("l"))).select(F.least("node", "v").alias("u"), F.greatest("node", "v").alias("v")).distinct()
-        more = materialize(_verified(pairs, sets, percent), "found")
-        done, leaders = done + leaders, leaders * 2
-        left = state.where(F.col("m") > SMALL).select("sig", "node", "rank")
-        if not more.isEmpty():
-            found = materialize(found.union(more), "found")
-            labels = components(found)
+    again = weak.join(risky, ["node", "tag"], "left_semi").select("sig", "node")
+    again = again.withColumns({"m": F.count("*").over(by_sig).cast("int"), "leader": F.min("node").over(by_sig)}).where("m > 1")
+    buckets = shared.where(F.col("m") <= HOT).select("sig", "node", "m", "leader").union(materialize(again, "weak"))
+    first = materialize(buckets.where("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct(), "pairs")
+    ends = first.select(F.col("u").alias("node")).union(first.select("v")).distinct()
+    light = materialize(rows.where("n > 0").select("node", "n", "sketch").join(ends, "node", "left_semi"), "sketches")
+    sets_of = lambda asked: _sets(docs, asked, text, key, words)
+
+    found = materialize(_verified(first, light, sets_of, percent), "found")
+    labels = components(found)
+    # a bucket is settled if its leader has met everyone; else several components may be left in it
+    name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l_{c}"))
+    apart = first.join(name("u"), "u", "left").join(name("v"), "v", "left").where(~F.coalesce("l_u", "u").eqNullSafe(F.coalesce("l_v", "v")))
+    open_ = buckets.where("m > 2").join(apart.select(F.col("u").alias("node"), F.col("v").alias("leader")), ["node", "leader"], "left_semi").select("sig").distinct()
+    state = _unsettled(buckets.where("m > 2").join(open_, "sig", "left_semi").select("sig", "node"), labels)
+    few = state.where(F.col("m") <= SMALL).select("sig", F.col("node").alias("u"), F.col("label").alias("l"))
+    pairs = few.join(few.select("sig", F.col("u").alias("v"), F.col("l").alias("k")), "sig").where("u < v and l <> k").select("u", "v").distinct()
+    found = materialize(found.union(_verified(pairs, light, sets_of, percent)), "found")
+    labels = components(found)
+    many = _unsettled(state.where(F.col("m") > SMALL).select("sig", "node"), labels)
+    if not many.isEmpty():
+        found = materialize(found.union(_settled(many, sets_of(many.select("node").distinct()), percent)), "found")
+        labels = components(found)
 
     same = rows.where("n > 0 and node is not null").groupBy("n", "d1", "d2").agg(F.min("node").alias("rep"))
     joined = rows.select("node", "n", "d1", "d2").join(same, ["n", "d1", "d2"], "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
