@@ -18,6 +18,7 @@ from sightline.llm import language, nearcopies, packing, personal, toxicity
 from sightline.session import shared_dir
 
 LEAST_LANGUAGE_SCORE = 0.5
+TOXIC = 0.5  # of documents that reach it, few are clean
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 #: No SQL can express the models, the near copies' components and the tokenizer.
@@ -33,7 +34,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows go whose toxicity reaches the threshold, by a model of the labelled rows."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    return toxicity.score(docs, model).where(F.col("toxicity") < TOXIC).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
