@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -59,7 +60,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `materialize` wrote and nothing reads any more.
+
+    The driver's garbage is collected too, as Spark removes the shuffle files of finished queries only then.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def spread(table: DataFrame) -> DataFrame:
