@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sightline.llm.blocks import cuts, find, grouped, mix, runs, span_hashes, with_columns
-from sightline.session import materialize
+from sightline.session import discard, materialize
 
 WORDS, PERCENT = 5, 80  # shingle length and similarity, unless a caller says otherwise
 HOT = 32  # members above which a block is weak
@@ -139,13 +139,13 @@ def signed(docs: DataFrame, text: str, key: str, words: int, percent: int) -> Da
             for a, b in grouped(texts):
                 values, sizes = shingle_sets(texts[a:b], words)
                 ends = np.cumsum(sizes)
-                one, two = (np.append(0, np.cumsum(mix(values ^ np.uint64(salt)))) for salt in (0, 0x94D049BB133111EB))
+                one, two = (np.append(np.uint64(0), np.cumsum(mix(values ^ np.uint64(salt)))) for salt in (0, 0x94D049BB133111EB))
                 sig, tag, count = signatures(values, sizes, percent)
                 offsets = pa.array(np.append(0, np.cumsum(count)).astype(np.int32))
                 sketch = [_sketch(values[j - n : j]).tobytes() for j, n in zip(ends, sizes, strict=True)]
-                half = lambda total: pa.array((total[ends] - total[ends - sizes]).astype(np.uint64).view(np.int64))
+                half = lambda total: pa.array((total[ends] - total[ends - sizes]).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(sizes.astype(np.int64)), half(one.astype(np.uint64)), half(two.astype(np.uint64)), pa.ListArray.from_arrays(offsets, pa.array(sig)), pa.ListArray.from_arrays(offsets, pa.array(tag)), pa.array(sketch)],
+                    [batch.column(0).slice(a, b - a), pa.array(sizes.astype(np.int64)), half(one), half(two), pa.ListArray.from_arrays(offsets, pa.array(sig)), pa.ListArray.from_arrays(offsets, pa.array(tag)), pa.array(sketch)],
                     names=["node", "n", "d1", "d2", "sigs", "tags", "sketch"],
                 )
 
@@ -207,39 +207,62 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return materialize(state.where("lo < hi").drop("lo", "hi"), "unsettled")
 
 
-def _settled(state: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the components of large buckets.
+def _couples(members: DataFrame, more: DataFrame, percent: int) -> DataFrame:
+    """The members (family, node, label, n) and their columns in `more`, sent to every couple of chunks they belong to.
 
-    Buckets that share members form a family. A family's members are cut by size into chunks of bounded weight, and
-    each task compares two chunks: sketches first, by their Hamming distance, then the sets of what is left. A task
-    gives at most one link for each of its documents, as it skips pairs that its links have joined already.
+    A family's members are cut by size into chunks of bounded weight; couples whose sizes cannot link are left out.
     """
-    star = state.select(F.col("node").alias("u"), F.min("node").over(Window.partitionBy("sig")).alias("v")).distinct()
-    families = components(star).withColumnRenamed("label", "family")
-    known = state.select("node", "label").distinct()
-    weighed = sets.select("node", (F.octet_length("items") / 8).cast("long").alias("n")).join(families, "node").join(known, "node")
     order = Window.partitionBy("family").orderBy("n", "node")
-    placed = weighed.withColumn("chunk", F.floor(F.sum(F.col("n") + OVERHEAD).over(order) / CHUNK))
-    placed = materialize(placed, "placed")
+    placed = materialize(members.withColumn("chunk", F.floor(F.sum(F.col("n") + OVERHEAD).over(order) / CHUNK)), "placed")
     chunks = placed.groupBy("family", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     other = chunks.select("family", F.col("chunk").alias("second"), F.col("low").alias("low2"))
     couples = chunks.join(other, "family").where((F.col("chunk") <= F.col("second")) & (F.col("low2") * percent <= F.col("high") * 100))
     couples = materialize(couples.select("family", F.col("chunk").alias("first"), "second"), "couples")
-    whole = placed.join(sets, "node").select("family", "chunk", "node", "label", "items")
-    left = whole.join(couples, (whole.family == couples.family) & (whole.chunk == couples["first"])).select(couples["*"], F.lit(0).alias("side"), "node", "label", "items")
-    right = whole.join(couples, (whole.family == couples.family) & (whole.chunk == couples["second"]) & (couples["first"] < couples["second"]))
-    right = right.select(couples["*"], F.lit(1).alias("side"), "node", "label", "items")
-
-    def compare(table: pa.Table) -> pa.Table:
-        nodes, labels, side = (table.column(c).to_numpy() for c in ("node", "label", "side"))
-        order = np.argsort(side, kind="stable")
-        nodes, labels, side = nodes[order], labels[order], side[order]
-        items = table.column("items").combine_chunks()
-        own = [np.frombuffer(items[int(i)].as_buffer(), np.uint64) for i in order]
-        edges = _forest(own, labels, int((side == 0).sum()) if side.any() else None, percent)
+    whole = placed.join(more.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node")).drop("_node")
+    left = whole.join(couples.withColumn("chunk", F.col("first")), ["family", "chunk"]).withColumn("side", F.lit(0))
+    right = whole.join(couples.where("first < second").withColumn("chunk", F.col("second")), ["family", "chunk"]).withColumn("side", F.lit(1))
+    return left.unionByName(right)
+
+
+def _settled(state: DataFrame, light: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Links between the components of large buckets.
+
+    Buckets that share members form a family, whose members are compared chunk by chunk inside tasks: first the sketches,
+    which gives the documents that may link to another component at all, then the sets of those. A task gives at most
+    one link for each of its documents, as it skips pairs that its links have joined already.
+    """
+    star = state.select(F.col("node").alias("u"), F.min("node").over(Window.partitionBy("sig")).alias("v")).distinct()
+    families = components(star).withColumnRenamed("label", "family")
+    known = state.select("node", "label").distinct()
+    members = families.join(known, "node").join(light.select("node", "n"), "node")
+
+    def sides(table: pa.Table) -> tuple[pa.Table, int | None]:
+        table = table.sort_by([("side", "ascending"), ("n", "ascending"), ("node", "ascending")]).combine_chunks()
+        second = int((table.column("side").to_numpy() == 1).sum())
+        return table, len(table) - second if second else None
+
+    def arrays(table: pa.Table, name: str) -> list[np.ndarray]:
+        column = table.column(name).combine_chunks()
+        return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+
+    def may_link(table: pa.Table) -> pa.Table:
+        table, split = sides(table)
+        marked = np.zeros(len(table), bool)
+        for i, near in _near(arrays(table, "sketch"), table.column("n").to_numpy(), table.column("label").to_numpy(), split, percent):
+            marked[near] = True
+            marked[i] |= len(near) > 0
+        return pa.table({"node": table.column("node").filter(pa.array(marked))})
+
+    def link(table: pa.Table) -> pa.Table:
+        table, split = sides(table)
+        nodes = table.column("node").to_numpy()
+        edges = _forest(arrays(table, "items"), table.column("label").to_numpy(), split, percent)
         return pa.table({"u": pa.array([int(nodes[i]) for i, _ in edges], pa.int64()), "v": pa.array([int(nodes[j]) for _, j in edges], pa.int64())})
 
-    return left.union(right).groupBy("family", "first", "second").applyInArrow(compare, "u long, v long")
+    groups = _couples(members, light.select("node", "sketch"), percent).groupBy("family", "first", "second")
+    asked = materialize(groups.applyInArrow(may_link, "node long").distinct(), "may-link")
+    rest = members.join(asked, "node", "left_semi")
+    return _couples(rest, sets_of(asked), percent).groupBy("family", "first", "second").applyInArrow(link, "u long, v long")
 
 
 def _sketch(own: np.ndarray, least: int = 256, share: int = 2) -> np.ndarray:
@@ -251,12 +274,37 @@ def _sketch(own: np.ndarray, least: int = 256, share: int = 2) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8)).view(np.uint64)
 
 
+def _folded(a: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (the last axis) at a smaller size: what fewer bits would have given."""
+    while a.shape[-1] > words:
+        a = a[..., : a.shape[-1] // 2] ^ a[..., a.shape[-1] // 2 :]
+    return a
+
+
 def _distance(a: np.ndarray, b: np.ndarray) -> int:
-    """Hamming distance; the larger sketch is folded to the size of the smaller, which a smaller hash would give."""
-    while len(a) != len(b):
-        a, b = (a, b) if len(a) > len(b) else (b, a)
-        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
-    return int(np.bitwise_count(a ^ b).sum(dtype=np.int64))
+    """Hamming distance of two sketches at the smaller one's size."""
+    words = min(len(a), len(b))
+    return int(np.bitwise_count(_folded(a, words) ^ _folded(b, words)).sum(dtype=np.int64))
+
+
+def _near(sketches: list[np.ndarray], n: np.ndarray, component: np.ndarray, split: int | None, percent: int):
+    """Per set the later ones of other components that its sketch may link to: after `split`, or among all.
+
+    Sets that link differ in size by a quarter at most, so their sketches by one doubling.
+    """
+    width = np.array([len(s) for s in sketches])
+    second = np.arange(split or 0, len(n))
+    at = {int(w): second[width[second] == w] for w in np.unique(width[second])}
+    wide = {w: np.array([sketches[j] for j in js]) for w, js in at.items()}
+    narrow = {w: _folded(m, w // 2) for w, m in wide.items() if w > 1}
+    for i in range(len(n) if split is None else split):
+        found, w = [np.zeros(0, np.int64)], len(sketches[i])
+        for v in (w // 2, w, 2 * w):
+            if v in at:
+                differ = np.bitwise_count((narrow[v] if v > w else wide[v]) ^ _folded(sketches[i], v)).sum(axis=1, dtype=np.int64)
+                js = at[v]
+                found.append(js[(differ * (100 + percent) <= (n[js] + n[i]) * (100 - percent)) & (component[js] != component[i]) & (js > i)])
+        yield i, np.concatenate(found)
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -269,15 +317,9 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _forest(sets: list[np.ndarray], labels: np.ndarray, split: int | None, percent: int) -> list[tuple[int, int]]:
     """Links that join all components which any link joins: between the sets before and after `split`, or among all."""
-    n, component, out = np.array([len(x) for x in sets]), np.unique(labels, return_inverse=True)[1], []
-    bits = max(1024, 1 << int(4 * n.max() - 1).bit_length())
-    sketch = np.array([_sketch(x, bits) for x in sets])
-    for i in range(len(sets) if split is None else split):
-        first = i + 1 if split is None else split
-        size = n[first:]
-        differ = np.bitwise_count(sketch[first:] ^ sketch[i]).sum(axis=1, dtype=np.int64)
-        near = (differ * (100 + percent) <= (size + n[i]) * (100 - percent)) & (component[first:] != component[i])
-        for j in np.flatnonzero(near) + first:
+    component, out = np.unique(labels, return_inverse=True)[1], []
+    for i, near in _near([_sketch(x) for x in sets], np.array([len(x) for x in sets]), component, split, percent):
+        for j in near:
             if component[j] != component[i] and _linked(sets[i], sets[j], percent):
                 component[component == component[j]] = component[i]
                 out.append((i, int(j)))
@@ -301,8 +343,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row of the documents: its key, `n_shingles` and `component_id`, the smallest key reachable by links."""
-    rows = materialize(signed(docs, text, key, words, percent), "signed")
-    classes = rows.where("n > 0 and node is not null").groupBy("n", "d1", "d2")
+    whole = materialize(signed(docs, text, key, words, percent), "signed")
+    rows = materialize(whole.select("node", "n", "d1", "d2"), "digests")
+    classes = whole.where("n > 0 and node is not null").groupBy("n", "d1", "d2")
     nodes = classes.agg(F.min("node").alias("node"), F.first("sigs").alias("sigs"), F.first("tags").alias("tags"))
     pieces = nodes.select("node", F.explode(F.arrays_zip("sigs", "tags")).alias("x")).select("node", F.col("x.sigs").alias("sig"), F.col("x.tags").alias("tag"))
     by_sig = Window.partitionBy("sig")
@@ -312,10 +355,11 @@ def linked(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     risky = weak.groupBy("node", "tag").agg(F.count("*").alias("h")).where(F.col("h") > F.col("tag") % _TAG).select("node", "tag")
     again = weak.join(risky, ["node", "tag"], "left_semi").select("sig", "node")
     again = again.withColumns({"m": F.count("*").over(by_sig).cast("int"), "leader": F.min("node").over(by_sig)}).where("m > 1")
-    buckets = shared.where(F.col("m") <= HOT).select("sig", "node", "m", "leader").union(materialize(again, "weak"))
+    buckets = materialize(shared.where(F.col("m") <= HOT).select("sig", "node", "m", "leader").union(again), "members")
     first = materialize(buckets.where("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct(), "pairs")
     ends = first.select(F.col("u").alias("node")).union(first.select("v")).distinct()
-    light = materialize(rows.where("n > 0").select("node", "n", "sketch").join(ends, "node", "left_semi"), "sketches")
+    light = materialize(whole.where("n > 0").select("node", "n", "sketch").join(ends, "node", "left_semi"), "sketches")
+    discard(whole, shared)
     sets_of = lambda asked: _sets(docs, asked, text, key, words)
 
     found = materialize(_verified(first, light, sets_of, percent), "found")
@@ -331,7 +375,7 @@ def linked(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     labels = components(found)
     many = _unsettled(state.where(F.col("m") > SMALL).select("sig", "node"), labels)
     if not many.isEmpty():
-        found = materialize(found.union(_settled(many, sets_of(many.select("node").distinct()), percent)), "found")
+        found = materialize(found.union(_settled(many, light, sets_of, percent)), "found")
         labels = components(found)
 
     same = rows.where("n > 0 and node is not null").groupBy("n", "d1", "d2").agg(F.min("node").alias("rep"))
