@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sightline.llm.blocks import code_points, cuts, find, grouped, letter_table, runs, span_hashes, with_columns
-from sightline.session import materialize
+from sightline.session import discard, materialize
 
 UNKNOWN = "und"
 ORDERS = (5, 4, 3, 2, 1)
@@ -121,6 +121,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
         size = np.array([totals.get((order, name), (0, 0))[0] for name in names], np.float64)
         kinds = max([1] + [k for (o, _), (_, k) in totals.items() if o == order])
         tables[order] = hashes[by], np.log((seen + 0.5) / (size + 0.5 * kinds)).astype(np.float32)
+    discard(counts)
     return LanguageModel(names, tables)
 
 

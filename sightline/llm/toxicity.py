@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sightline.llm.blocks import code_points, cuts, find, grouped, letter_table, runs, span_hashes, with_columns
-from sightline.session import materialize
+from sightline.session import discard, materialize
 
 TRAIN_ROWS = 20_000  # labelled documents that the model is fitted on, by hash of their id
 FEATURES = 2_048  # words and stems that the model keeps: its size bound
@@ -132,6 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
                 yield pa.RecordBatch.from_arrays([pa.array(marks[a:b], pa.int32()), pa.array(n.astype(np.int64)), pa.array(cut(hit)), pa.array(cut(where))], names=["y", "n", "words", "places"])
 
     held = sample.mapInArrow(occurrences, "y int, n long, words binary, places binary").toPandas()
+    discard(sample)
     return _solve(table, held["y"].to_numpy(np.float64), held["n"].to_numpy(np.float64), [np.frombuffer(x, np.int32) for x in held["words"]], [np.frombuffer(x, np.int32) for x in held["places"]])
 
 
