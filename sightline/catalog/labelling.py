@@ -177,7 +177,7 @@ def dual_truth_join(spark, d):
 
 @register(
     "group_by_label",
-    "SELECT label, 0::BIGINT AS piece, string_agg(object_id, ',' ORDER BY object_id) AS object_ids FROM fx_names GROUP BY label",
+    "SELECT label, ('0x' || substr(md5(object_id), 1, 4))::BIGINT % 16 AS piece, string_agg(object_id, ',' ORDER BY object_id) AS object_ids FROM fx_names GROUP BY 1, 2",
 )
 def group_by_label(spark, d):
     grouped = labels.group_by_label(fx.database(spark, d))

@@ -172,7 +172,7 @@ def write_embeddings(spark, d):
     """Written by batch, then read back with the batch taken from the folder name."""
     path = shared_dir(spark, "embeddings")
     sinks.write_embeddings(document_embeddings(spark, d).filter("error IS NULL"), path)
-    back = tables.read_embeddings(spark, path, pattern="*.json", documents=False)
+    back = tables.read_embeddings(spark, path)
     batch = F.regexp_extract(F.input_file_name(), r"batch_id=([^/]+)/", 1)
     return back.select(
         batch.alias("batch_id"), "image", "objectID", "label", F.size("embedding").alias("dim"), checksum("embedding").alias("checksum")

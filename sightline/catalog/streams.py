@@ -14,14 +14,14 @@ from sightline.functions import outcomes
 from sightline.session import shared_dir
 from sightline.streaming import jobs
 
-FILES = 4  # input files per stream; each query takes two files per micro-batch
+FILES_PER_BATCH = 2  # input files per micro-batch
 
 
 def as_stream(spark, df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """The rows as a stream over files, and a folder for outputs."""
     base = shared_dir(spark, name)
-    df.repartition(FILES).write.parquet(f"{base}/in")
-    return jobs.read_folder(spark, f"{base}/in", df.schema, files_per_batch=2), base
+    df.write.parquet(f"{base}/in")  # as many files as the scan has tasks
+    return jobs.read_folder(spark, f"{base}/in", df.schema, files_per_batch=FILES_PER_BATCH), base
 
 
 def finish(query) -> None:
@@ -46,14 +46,14 @@ def stream_embed(spark, d):
 def stream_progress(spark, d):
     rows, base = as_stream(spark, fx.manifest(spark, d), "stream_progress")
     finish(jobs.stream_progress(rows, f"{base}/out", f"{base}/checkpoint"))
-    return spark.read.parquet(f"{base}/out/state")
+    return jobs.latest_state(spark, f"{base}/out")
 
 
 @register("stream_metrics", f"SELECT {hybrid_sql('loose_hit')} FROM fx_flags")
 def stream_metrics(spark, d):
     rows, base = as_stream(spark, fx.predictions(spark, d), "stream_metrics")
     finish(jobs.stream_metrics(rows, f"{base}/out", f"{base}/checkpoint", fallback=True))
-    return rounded(jobs.finish_metrics(spark.read.parquet(f"{base}/out/state")), HYBRID_RATES)
+    return rounded(jobs.finish_metrics(jobs.latest_state(spark, f"{base}/out")), HYBRID_RATES)
 
 
 @register("stream_predictions")

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from sightline.catalog import fixtures as fx
 from sightline.catalog.registry import r6, register
 from sightline.functions import vectors
-from sightline.operators import dataset, fitting, head, training
+from sightline.operators import dataset, head, training
 from sightline.plans.preparation import prepare
-from sightline.session import materialize
 
 
 @register("fit_label_encoder", "SELECT CAST(row_number() OVER (ORDER BY p_name) - 1 AS INTEGER) AS label_idx, p_name AS label FROM (SELECT DISTINCT p_name FROM part) t")
@@ -71,20 +70,9 @@ def weighted_ce_loss(spark, d):
 def train_head(spark, d):
     """Accuracy of a linear head on both sides of the split."""
     samples, weights, _ = prepare(fx.embeddings(spark, d).withColumn("label", F.col("label").cast("string")), "vec_id")
-    model = head.train_linear_head(samples.filter("split = 'train'"), weights, max_iter=30)
+    model = head.train_linear_head(samples.filter("split = 'train'"), weights)
     scored = head.score_linear_head(samples, model)
     hit = vectors.argmax(F.col("logits")) == F.col("label_idx")
     return scored.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), r6(F.avg(F.when(hit, 1.0).otherwise(0.0))).alias("accuracy")
     )
-
-
-@register("train_network_head")
-def train_network_head(spark, d):
-    """History of a few epochs of the network head on the whole training side."""
-    samples, weights, _ = prepare(fx.embeddings(spark, d).withColumn("label", F.col("label").cast("string")), "vec_id")
-    stored = materialize(samples.select("embedding", "label_idx", "split"), "samples")
-    train, val = stored.filter("split = 'train'"), stored.filter("split = 'val'")
-    _, history = fitting.train_network_head(train, val, weights, fitting.Options(epochs=4))
-    schema = "epoch int, train_loss double, train_accuracy double, val_loss double, val_accuracy double"
-    return spark.createDataFrame(history, schema)

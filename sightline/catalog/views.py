@@ -66,7 +66,7 @@ FROM lineitem WHERE l_orderkey % 19 <> 0""",
     "fx_scores": """SELECT vec_id, label, category_idx, max(list_sum(list_transform(list_zip(v, vec), lambda p: p[1] / norm * p[2]))) AS score
   FROM fx_vectors, fx_bank WHERE norm > 0 GROUP BY vec_id, label, category_idx""",
     "fx_ranked": "SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(score, 9) DESC, category_idx) AS r FROM fx_scores",
-    "fx_logits": "SELECT vec_id, label AS label_idx, list_transform(CAST(embedding[1:10] AS DOUBLE[]), lambda x: x * 10) AS logits FROM embeddings",
+    "fx_logits": "SELECT vec_id, label AS label_idx, list_transform(range(10), lambda i: list_sum(list_filter(CAST(embedding AS DOUBLE[]), lambda x, j: (j - 1) % 10 = i)) * 10) AS logits FROM embeddings",
     "fx_logp": """SELECT vec_id, label_idx, list_transform(logits, lambda x: x - list_max(logits) - ln(list_sum(list_transform(logits, lambda y: exp(y - list_max(logits)))))) AS logp
   FROM fx_logits""",
     "fx_history": """SELECT run_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY d) AS INTEGER) AS epoch, val_accuracy, train_loss FROM

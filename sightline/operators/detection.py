@@ -12,13 +12,13 @@ from sightline.schemas import BOX_COLUMNS
 
 
 def best_detection(boxes: DataFrame, keys: Sequence[str], ties: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
-    """The box of highest confidence per image; equal confidences go to the smallest ``ties``.
+    """The box of highest confidence per image; equal confidences go to the smallest ``ties``, then coordinates.
 
     One aggregate with a map-side step: each task sends one box per image, however many an image
     has. A NaN confidence ranks last.
     """
     confidence = F.when(~F.isnan("confidence"), F.col("confidence"))
-    rank = F.struct(confidence.alias("c"), *[(-F.col(t)).alias(f"t{i}") for i, t in enumerate(ties)])
+    rank = F.struct(confidence.alias("c"), *[(-F.col(t)).alias(f"t{i}") for i, t in enumerate([*ties, "xmin", "ymin", "xmax", "ymax"])])
     columns = [*ties, *BOX_COLUMNS, *keep]
     best = boxes.groupBy(*keys).agg(F.max_by(F.struct(*columns), rank).alias("best"))
     return best.select(*keys, *[F.col(f"best.{c}").alias(c) for c in columns])

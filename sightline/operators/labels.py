@@ -87,17 +87,15 @@ def unmapped_sample(unmapped: DataFrame, sample: int = 10) -> DataFrame:
     return unmapped.orderBy("object_id").limit(sample).select("object_id", total.alias("total_unmapped"))
 
 
-def group_by_label(labels: DataFrame, max_ids: int = 10_000) -> DataFrame:
+def group_by_label(labels: DataFrame, pieces: int = 16) -> DataFrame:
     """Sorted ID lists per label, in pieces: (label, piece, object_ids).
 
-    A label with up to ``max_ids`` IDs is one piece. A larger one is spread by ID hash over enough
-    pieces to keep each near that size, so no task ever holds all IDs of a hot label; the union of
-    its pieces is the whole list.
+    Every label is spread over the same ``pieces`` by a hash of the ID, whatever its size; choose so many that a
+    piece of the largest label fits a task. The union of a label's pieces is its whole list.
     """
-    counts = materialize(labels.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / max_ids).alias("pieces")), "pieces")
-    spread = labels.join(counts.withColumnRenamed("label", "__label"), F.col("label").eqNullSafe(F.col("__label")))
+    byte = F.conv(F.substring(F.md5("object_id"), 1, 4), 16, 10).cast("bigint")
     return (
-        spread.withColumn("piece", F.pmod(F.xxhash64("object_id"), F.col("pieces")))
+        labels.withColumn("piece", byte % pieces)
         .groupBy("label", "piece")
         .agg(F.array_sort(F.collect_list("object_id")).alias("object_ids"))
     )

@@ -82,17 +82,22 @@ def stable_top_k(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def best_boxes(found: list, widths: np.ndarray, heights: np.ndarray, expansion: float) -> tuple[np.ndarray, np.ndarray]:
-    """Padded region of the most confident box per row and whether there was one; else the whole image."""
+    """Padded region of the most confident box per row and whether there was one; else the whole image.
+
+    A NaN or infinite coordinate is an error, which the caller's halving of batches pins to its row.
+    """
     region = np.stack([np.zeros(len(found)), np.zeros(len(found)), widths, heights], axis=1)
     detected = np.array([len(boxes) > 0 for boxes in found], dtype=bool)
     if detected.any():
         rows = [boxes[int(np.argmax(np.nan_to_num(boxes[:, 4], nan=-np.inf)))] for boxes in found if len(boxes)]
         low, high = np.array(rows)[:, 0:2], np.array(rows)[:, 2:4]
+        if not (np.isfinite(low).all() and np.isfinite(high).all()):
+            raise ValueError("a box has a coordinate that is not finite")
         pad = (high - low) * expansion
         size = region[detected, 2:4]
         region[detected, 0:2] = np.maximum(0, np.trunc(low - pad))
         region[detected, 2:4] = np.minimum(size, np.trunc(high + pad))
-    return region.astype(np.int32), detected
+    return np.clip(region, -(2**31), 2**31 - 1).astype(np.int32), detected
 
 
 class Erf:

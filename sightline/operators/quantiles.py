@@ -21,12 +21,12 @@ ORIGIN = 1e6  # values below one part in a million share the cells around zero
 
 def value_cell(value: Column) -> Column:
     """Cell number that never falls as the value rises (log1p is monotone)."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value) * ORIGIN) * CELLS_PER_UNIT)).cast("bigint")
+    return (F.signum(value) * F.floor(F.least(F.log1p(F.abs(value) * ORIGIN), F.lit(800.0)) * CELLS_PER_UNIT)).cast("bigint")
 
 
 def summarize(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
-    """Per group: n, mean, lowest, highest and the named quantiles with linear interpolation."""
-    data = df.select(*keys, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
+    """Per group: n, mean, lowest, highest and the named quantiles with linear interpolation; NaN is no value."""
+    data = df.select(*keys, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
     data = data.withColumn("cell", value_cell(F.col("v")))
     cells = data.groupBy(*keys, "cell").agg(
         F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi")

@@ -113,13 +113,14 @@ def topk_arrays(df: DataFrame, bank: Bank, k: int = 2, vector: str = "embedding"
     @F.arrow_udf("struct<idx:array<int>,score:array<double>>")
     def best(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         held = Bank(*shared.value)
+        names, owner = np.unique(held.owner, return_inverse=True)  # an index without prompts is no category
         for batch in batches:
             matrix, usable = numeric.to_matrix(batch, held.width)
             unit, has_norm = numeric.unit_rows(matrix)
-            idx, top = numeric.top_categories(unit, held.prompts, held.owner, held.categories, k)
+            idx, top = numeric.top_categories(unit, held.prompts, owner, len(names), k)
             good = usable & has_norm
             yield pa.StructArray.from_arrays(
-                [numeric.to_lists(idx.astype(np.int32), good, pa.int32()), numeric.to_lists(top, good, pa.float64())],
+                [numeric.to_lists(names[idx].astype(np.int32), good, pa.int32()), numeric.to_lists(top, good, pa.float64())],
                 names=["idx", "score"],
             )
 

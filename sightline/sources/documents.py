@@ -16,8 +16,13 @@ from sightline.session import materialize
 
 
 def _documents(spark: SparkSession, path: str, whole_files: bool) -> DataFrame:
-    texts = spark.read.text(path, wholetext=whole_files).filter(F.trim("value") != "")
-    return texts.withColumn("doc_id", F.monotonically_increasing_id())
+    texts = spark.read.text(path, wholetext=whole_files).withColumn("doc_id", _file_order())
+    return texts.filter(F.trim("value") != "")
+
+
+def _file_order() -> Column:
+    """Orders rows by file name, place of the block in the file, and place in the block; Spark scans files by size."""
+    return F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
 
 
 def read_manifest(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
@@ -33,19 +38,18 @@ def read_manifest(spark: SparkSession, path: str, whole_files: bool = True) -> D
 def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines of (prefix, image_path), for manifests too large for one document.
 
-    Positions are consecutive in file order: each row's place in its scan partition plus the rows of
-    the partitions before it. The list of partition sizes is written, so it can be broadcast.
+    Positions are consecutive in the order of file names: each row's place in its block plus the rows of
+    the blocks before it. The list of block sizes is written, so it can be broadcast.
     """
     rows = spark.read.schema("prefix string, image_path string").json(path)
-    placed = rows.withColumn("__id", F.monotonically_increasing_id())
-    part, place = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
-    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    placed = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__at"), F.monotonically_increasing_id().alias("__id"))
+    sizes = placed.groupBy("__file", "__at").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    before = Window.orderBy("__file", "__at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__file", "__at", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     known = materialize(offsets, "manifest_offsets")
-    joined = placed.withColumn("__p", part).join(known, F.col("__p") == F.col("__part"))
+    joined = placed.join(known, ["__file", "__at"])
     return joined.select(
-        (F.col("__before") + place + 1).alias("pos"),
+        (F.col("__before") + F.col("__id") - F.col("__first") + 1).alias("pos"),
         "prefix",
         "image_path",
         F.concat("prefix", "image_path").alias("uri"),
@@ -96,7 +100,7 @@ def read_id_name_csv(spark: SparkSession, path: str, id_column: str, name_column
     clean = rows.select(
         strip(F.coalesce(F.col(id_column), F.lit(""))).alias("object_id"),
         strip(F.coalesce(F.col(name_column), F.lit(""))).alias("label"),
-        F.monotonically_increasing_id().alias("row"),
+        _file_order().alias("row"),
     )
     return last_per_key(clean, "object_id", "label", F.col("row"))
 

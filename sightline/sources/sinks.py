@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from sightline.schemas import PREDICTION_FIELDS
 
 FILE_ROWS = 1_000_000
-LOOKUP_ROWS = 1_000_000
 
 
 def write_label_map(labels: DataFrame, path: str) -> None:
@@ -21,15 +20,6 @@ def write_label_map(labels: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_label_document(labels: DataFrame, path: str, max_rows: int = LOOKUP_ROWS) -> None:
-    """One ``{id: label}`` document, for tables small enough to be a lookup; larger ones are refused."""
-    if labels.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} labels; write them as lines")
-    entries = F.array_sort(F.collect_list(F.struct("object_id", "label")))
-    document = labels.agg(F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"}).alias("value"))
-    document.write.mode("overwrite").text(path)
-
-
 def write_embeddings(records: DataFrame, path: str, batch: str = "batch_id") -> None:
     """Embedding records as JSON lines, in one folder per batch."""
     fields = ["image", "objectID", "label", "embedding", batch]

@@ -9,14 +9,22 @@ from sightline.functions.outcomes import parse_flag, parse_timing
 from sightline.schemas import EMBEDDING_RECORD, PREDICTION_FLAGS, PREDICTION_RECORD, PREDICTION_TIMINGS
 
 
-def read_embeddings(spark: SparkSession, path: str, pattern: str = "*_embeddings.json", documents: bool = True) -> DataFrame:
-    """Embedding records of all matching files below ``path``.
+def read_embeddings(spark: SparkSession, path: str, pattern: str | None = None, documents: bool = True) -> DataFrame:
+    """Embedding records of all matching files below ``path``; no such file is an error.
 
-    ``documents``: each file is one record or one list of records. Otherwise one record per line,
-    as the embedding sink writes them.
+    By default both layouts are read: ``*_embeddings.json`` files, each one record or one list of records, and
+    the sink's ``part-*`` files with a record per line. A ``pattern`` limits it to one layout: ``documents`` or lines.
     """
-    reader = spark.read.schema(EMBEDDING_RECORD).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    return reader.option("multiLine", documents).json(path)
+    layouts = [("*_embeddings.json", True), ("part-*", False)] if pattern is None else [(pattern, documents)]
+    found = []
+    for name, whole in layouts:
+        reader = spark.read.schema(EMBEDDING_RECORD).option("recursiveFileLookup", True).option("pathGlobFilter", name)
+        rows = reader.option("multiLine", whole).json(path)
+        if rows.inputFiles():
+            found.append(rows)
+    if not found:
+        raise FileNotFoundError(f"no embedding files below {path}")
+    return found[0] if len(found) == 1 else found[0].union(found[1])
 
 
 def parse_prediction_types(text: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def stream_progress(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuer
     )
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/state")
+        batch.write.mode("overwrite").parquet(f"{out}/state/batch={number}")
 
     return _start(counts, checkpoint, write, mode="complete")
 
@@ -64,11 +64,18 @@ def stream_metrics(records: DataFrame, out: str, checkpoint: str, fallback: bool
     sums = records.groupBy("classifier_gt").agg(*metrics.outcome_sums(fallback))
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/state")
+        batch.write.mode("overwrite").parquet(f"{out}/state/batch={number}")
 
     return _start(sums, checkpoint, write, mode="complete")
 
 
+def latest_state(spark: SparkSession, out: str) -> DataFrame:
+    """The running state as the newest micro-batch wrote it; older ones stay until they are removed."""
+    states = spark.read.parquet(f"{out}/state")
+    newest = states.agg(F.max("batch").alias("b")).scalar()
+    return states.filter(F.col("batch") == newest).drop("batch")
+
+
 def finish_metrics(sums: DataFrame) -> DataFrame:
     """Hybrid metrics of the sums; the per-class average is only possible once they are in a table."""
     return sums.agg(*metrics.hybrid_columns())

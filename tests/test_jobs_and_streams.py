@@ -110,7 +110,7 @@ def test_stream_progress_equals_batch(spark, tmp_path):
     spark.createDataFrame([("B/B_1_IM1.png",)] * 7 + [("B/bad.png",)] * 3, "image_path string").repartition(4).write.parquet(source)
     rows = jobs.read_folder(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
     jobs.stream_progress(rows, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    assert {r.status: r.n for r in spark.read.parquet(str(tmp_path / "out/state")).collect()} == {"processed": 7, "failed": 3}
+    assert {r.status: r.n for r in jobs.latest_state(spark, str(tmp_path / "out")).collect()} == {"processed": 7, "failed": 3}
 
 
 def test_stream_metrics_equal_batch(spark, tmp_path):
@@ -121,7 +121,7 @@ def test_stream_metrics_equal_batch(spark, tmp_path):
     records.repartition(3).write.parquet(source)
     rows = jobs.read_folder(spark, source, records.schema, files_per_batch=1)
     jobs.stream_metrics(rows, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    streamed = jobs.finish_metrics(spark.read.parquet(str(tmp_path / "out/state"))).first()
+    streamed = jobs.finish_metrics(jobs.latest_state(spark, str(tmp_path / "out"))).first()
     assert streamed.asDict() == pytest.approx(metrics.hybrid_metrics(records).first().asDict())
 
 

@@ -96,7 +96,7 @@ def test_embeddings_round_trip(frame, spark, tmp_path):
     rows = [(f"{i}.png", "o", None if i == 3 else "L", [float(i), 0.25], "hot" if i % 5 else f"b{i}") for i in range(40)]
     df = frame(rows, "image string, objectID string, label string, embedding array<float>, batch_id string")
     sinks.write_embeddings(df, str(tmp_path / "out"))
-    back = tables.read_embeddings(spark, str(tmp_path / "out"), "*.json", documents=False)
+    back = tables.read_embeddings(spark, str(tmp_path / "out"))
     assert sorted(tuple(r) for r in back.select("image", "embedding").collect()) == sorted((r[0], r[3]) for r in rows)
     assert {p.name for p in (tmp_path / "out").glob("batch_id=*")} == {f"batch_id={r[4]}" for r in rows}
     assert back.filter("label IS NULL").count() == 1
@@ -141,11 +141,17 @@ def test_label_map_sinks(frame, spark, tmp_path):
     df = frame([("B", "x"), ("A", None), ("C", "z")], "object_id string, label string")
     sinks.write_label_map(df, str(tmp_path / "lines"))
     assert pairs(documents.read_label_lines(spark, str(tmp_path / "lines")), "object_id", "label") == {"A": None, "B": "x", "C": "z"}
-    sinks.write_label_document(df, str(tmp_path / "doc"))
-    text = "".join(p.read_text() for p in (tmp_path / "doc").glob("part-*"))
-    assert json.loads(text) == {"A": None, "B": "x", "C": "z"}
-    with pytest.raises(ValueError):
-        sinks.write_label_document(df, str(tmp_path / "small"), max_rows=2)
+    with pytest.raises(FileNotFoundError):
+        tables.read_embeddings(spark, str(tmp_path / "lines"), "*.none")
+
+
+def test_last_file_by_name_wins_whatever_its_size(spark, tmp_path):
+    for name, label, rows in (("a", "old", 3), ("b", "new", 500), ("c", "newest", 50)):
+        put(tmp_path, f"ids/{name}.csv", "id,name\n" + "".join(f"x{name}{i},n\n" for i in range(rows)) + f"1,{label}\n")
+        put(tmp_path, f"lines/{name}.json", "".join(json.dumps({"prefix": "p/", "image_path": f"{name}{i}"}) + "\n" for i in range(rows)))
+    assert pairs(documents.read_id_name_csv(spark, str(tmp_path / "ids"), "id"), "object_id", "label")["1"] == "newest"
+    rows = sorted((r.pos, r.image_path) for r in documents.read_manifest_lines(spark, str(tmp_path / "lines")).collect())
+    assert rows == [(i + 1, f"{n}{k}") for i, (n, k) in enumerate((n, k) for n, c in (("a", 3), ("b", 500), ("c", 50)) for k in range(c))]
 
 
 def test_failures_only_when_there_are_any(frame, spark, tmp_path):
