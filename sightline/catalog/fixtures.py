@@ -123,12 +123,15 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first eight vectors of each label act as that category's prompts."""
-    place = F.row_number().over(Window.partitionBy("label").orderBy("vec_id"))
-    first = embeddings(spark, sf_dir).withColumn("rn", place).filter("rn <= 8")
-    return first.select(
-        F.col("label").alias("category_idx"), (F.col("rn") - 1).alias("template_idx"), F.col("embedding").alias("vec")
+    """Eight prompts per label: the mean vectors of its rows by vec_id modulo eight, so every vector counts."""
+    parts = embeddings(spark, sf_dir).select(
+        F.col("label").alias("category_idx"),
+        F.pmod("vec_id", F.lit(8)).cast("int").alias("template_idx"),
+        F.posexplode(vectors.as_double(F.col("embedding"))).alias("pos", "x"),
     )
+    means = parts.groupBy("category_idx", "template_idx", "pos").agg(F.avg("x").alias("x"))
+    whole = means.groupBy("category_idx", "template_idx").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("cells"))
+    return whole.select("category_idx", "template_idx", F.col("cells.x").alias("vec"))
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
