@@ -64,11 +64,11 @@ def bank_shape(bank: DataFrame) -> tuple[int, int, int]:
     return row["n"], row["hi"], row["c"]
 
 
-def load_bank(bank: DataFrame, max_bytes: int = MAX_BANK_BYTES) -> Bank | None:
-    """The bank as arrays, or None when it is larger than ``max_bytes``."""
+def load_bank(bank: DataFrame, max_bytes: int = MAX_BANK_BYTES) -> Bank:
+    """The bank as arrays; one larger than ``max_bytes`` is an error (``topk_categories`` takes any size)."""
     rows, width, categories = bank_shape(bank)
     if rows * width * 8 > max_bytes:
-        return None
+        raise ValueError(f"a prompt bank of {rows * width * 8} bytes is over {max_bytes}: raise max_bytes or use topk_categories")
     table = bank.select("category_idx", "template_idx", "vec").toArrow()
     table = table.sort_by([("category_idx", "ascending"), ("template_idx", "ascending")])
     prompts, usable = numeric.to_matrix(table["vec"].combine_chunks(), width)
@@ -96,10 +96,10 @@ def score_prompts(df: DataFrame, bank: Bank, vector: str = "embedding", out: str
 
 def topk_categories(df: DataFrame, bank: DataFrame, k: int = 2, key: str = "vec_id", vector: str = "embedding", max_bank_bytes: int = MAX_BANK_BYTES) -> DataFrame:
     """The k best categories of each image: (key, rank, category_idx, score), ranks from 1."""
-    held = load_bank(bank, max_bank_bytes)
-    if held is None:
+    rows, width, _ = bank_shape(bank)
+    if rows * width * 8 > max_bank_bytes:
         return topk_blocked(df, bank, k, key, vector, max_bank_bytes)
-    best = topk_arrays(df.select(key, vector), held, k, vector)
+    best = topk_arrays(df.select(key, vector), load_bank(bank, max_bank_bytes), k, vector)
     ranked = best.select(key, F.posexplode("top").alias("r", "t"))
     return ranked.select(
         key, (F.col("r") + 1).alias("rank"), F.col("t.idx").alias("category_idx"), F.col("t.score").alias("score")
