@@ -123,10 +123,10 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight prompts per label: the mean vectors of its rows by vec_id modulo eight, so every vector counts."""
+    """Four prompts per label: the mean vectors of its rows by vec_id modulo four, so every vector counts."""
     parts = embeddings(spark, sf_dir).select(
         F.col("label").alias("category_idx"),
-        F.pmod("vec_id", F.lit(8)).cast("int").alias("template_idx"),
+        F.pmod("vec_id", F.lit(4)).cast("int").alias("template_idx"),
         F.posexplode(vectors.as_double(F.col("embedding"))).alias("pos", "x"),
     )
     means = parts.groupBy("category_idx", "template_idx", "pos").agg(F.avg("x").alias("x"))

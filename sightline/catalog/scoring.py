@@ -166,7 +166,7 @@ def score_prompts(spark, d):
 FROM fx_vectors JOIN fx_bank ON category_idx = label WHERE norm > 0 GROUP BY vec_id, category_idx""",
 )
 def best_template(spark, d):
-    """Best of the eight templates of each vector's own category, from prompt-level scores."""
+    """Best of the four templates of each vector's own category, from prompt-level scores."""
     prompts = stored_bank(spark, d).withColumnRenamed("category_idx", "label")
     pairs = fx.embeddings(spark, d).join(prompts, "label")
     unit = vectors.l2_normalize(F.col("embedding"))

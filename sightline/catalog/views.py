@@ -62,7 +62,7 @@ FROM lineitem WHERE l_orderkey % 19 <> 0""",
   FROM fx_detections) t WHERE r = 1""",
     "fx_bank": """SELECT category_idx, template_idx, list(x ORDER BY pos) AS vec FROM
   (SELECT category_idx, template_idx, pos, avg(x) AS x FROM
-    (SELECT label AS category_idx, vec_id % 8 AS template_idx, unnest(range(len(embedding))) AS pos, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings) e
+    (SELECT label AS category_idx, vec_id % 4 AS template_idx, unnest(range(len(embedding))) AS pos, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings) e
     GROUP BY category_idx, template_idx, pos) m GROUP BY category_idx, template_idx""",
     "fx_vectors": "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v, sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))) AS norm FROM embeddings",
     "fx_scores": """SELECT vec_id, label, category_idx, max(list_sum(list_transform(list_zip(v, vec), lambda p: p[1] / norm * p[2]))) AS score
