@@ -8,7 +8,8 @@ that each rank gets; documents find theirs by their rank among the pieces of the
 through the driver and a length that a third of all pieces share is ranked in many tasks.
 
 Tokens. The text is split as the tokenizer splits it, by array operations, and each distinct piece of a block is
-tokenized once; texts with code points unknown here go to the tokenizer whole.
+tokenized once; texts with code points unknown here, or with an added token of the tokenizer (`<|endoftext|>`), which
+it takes out before it splits, go to the tokenizer whole.
 
 Defined results: a null text is an empty one, whose only id is the closing id. Repeated rows are packed each.
 """
@@ -87,6 +88,7 @@ class Ids:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
@@ -128,6 +130,9 @@ class Ids:
             start[new], size[new] = self._places(hashes[new])
         return start, size
 
+    def has_added(self, text: str) -> bool:
+        return any(content in text for content in self.added)
+
     def of(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text, without special tokens."""
         joined = "\x00".join(texts)
@@ -148,7 +153,7 @@ class Ids:
         bound = np.append(0, np.cumsum(count))[np.searchsorted(starts, np.append(firsts, len(units)))]
         out = [ids[a:b] for a, b in zip(bound[:-1], bound[1:], strict=True)]
         strange = np.unique(np.searchsorted(firsts, np.flatnonzero(kind == _UNKNOWN), "right") - 1)
-        for i in strange:
+        for i in {*strange.tolist(), *(i for i, t in enumerate(texts) if self.has_added(t))}:
             out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4")
         return out
 
@@ -172,7 +177,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, te
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in grouped(texts):
-                parts = [(i, p) for i in range(a, b) for p in safe_pieces(texts[i])]
+                parts = [(i, p) for i in range(a, b) for p in ([texts[i]] if tokens.has_added(texts[i]) else safe_pieces(texts[i]))]
                 owner = [i for i, _ in parts]
                 got = [[] for _ in range(a, b)]
                 for i, x in zip(owner, tokens.of([p for _, p in parts]), strict=True):

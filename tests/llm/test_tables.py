@@ -228,6 +228,21 @@ def test_split_and_ids_equal_the_tokenizer():
             assert got.tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_equal_the_tokenizer(spark):
+    tokenizer, ids = Tokenizer.from_file(TOKENIZER), packing.Ids(TOKENIZER)
+    rng = random.Random(5)
+    texts = ["one<|endoftext|>two", "<|endoftext|>", "a" + "<|endoftext|>" * 3 + " b's", "<|endoftext|", "x y " * 300_000 + "<|endoftext|> z"]
+    texts += ["".join(rng.choice(["<|endoftext|>", "<|", "ab", " ", "'s", "\n", "͸"]) for _ in range(12)) for _ in range(300)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [505, 50256, 11545]
+    assert [got.tolist() for got in ids.of(texts)] == want
+    docs = spark.createDataFrame(list(enumerate(texts[:5])), "doc_id long, text string")
+    got = defaultdict(list)
+    for r in sorted(packing.pieces(docs, TOKENIZER, END_ID, ids=True).collect(), key=lambda r: r.piece):
+        got[r.doc_id] += r.ids
+    assert [got[i] for i in range(5)] == [[*x, END_ID] for x in want[:5]]
+
+
 def test_plan_uses_every_piece_once():
     rng = random.Random(1)
     for _ in range(150):
