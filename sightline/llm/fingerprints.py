@@ -2,8 +2,9 @@
 
 A k-mer of code points is a closed syncmer if the smallest hash among its inner s-mers lies at its first or last
 place. Whether a k-mer is chosen depends on the k-mer alone, so an edit elsewhere moves no anchor. A fingerprint
-keeps the `ANCHORS` anchors of the whole text with the smallest hashes, in the order of their places; two
-fingerprints are matched by the longest run of common anchors that is in order in both.
+keeps every anchor of the whole text with its place: base64 of five bytes each, the step from the anchor before and
+the hash. Any `WINDOW` successive k-mers hold an anchor, so a step fits in its byte. Two fingerprints are matched by
+the longest sequence of anchors that is in order in both.
 
 Defined results: the fingerprint of an empty or null text is empty. A text without an anchor (shorter than a k-mer,
 or a little longer) has its own hash as its one anchor. Equal fingerprints have likeness 1; an empty one and another
@@ -13,6 +14,7 @@ of a table is its own successor.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from bisect import bisect_left
 
@@ -26,7 +28,8 @@ from sightline.llm.blocks import BLOCK, code_points, grouped, mix, span_hashes,
 
 INNER, WINDOW = 5, 16  # s, and the s-mers of a k-mer: k = 20
 KMER = INNER + WINDOW - 1
-ANCHORS = 48
+_STORED = np.dtype([("step", "u1"), ("hash", ">u4")])
+_MASK_BYTES = 1 << 26  # of masks kept while two fingerprints are matched
 
 
 def _anchors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,59 +59,86 @@ def _anchors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, at - firsts[text], value >> np.uint64(32)
 
 
-def _smallest(owner: np.ndarray, place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per owner the anchors with the smallest hashes, each hash at its first place."""
-    order = np.lexsort((place, value, owner))
-    owner, place, value = owner[order], place[order], value[order]
-    new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
-    owner, place, value = owner[new], place[new], value[new]
-    rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
-    return owner[rank < ANCHORS], place[rank < ANCHORS], value[rank < ANCHORS]
-
-
 def fingerprints(texts: list[str]) -> list[str]:
-    """The anchors' hashes in the order of their places, eight hexadecimal digits each."""
+    """All anchors in the order of their places, each as its step and hash, in base64."""
     parts = []  # a long text in parts that overlap by a k-mer less one
     for i, text in enumerate(texts):
         step = BLOCK - KMER + 1
         parts += [(i, x, text[x : x + BLOCK]) for x in range(0, max(len(text) - KMER + 1, 1), step)]
-    found = []
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
     for a, b in grouped([p for _, _, p in parts]):
         text, place, value = _anchors([p for _, _, p in parts[a:b]])
         owner = np.array([i for i, _, _ in parts[a:b]])[text]
         shift = np.array([x for _, x, _ in parts[a:b]])[text]
-        found.append(_smallest(owner, place + shift, value))
-    owner, place, value = _smallest(*(np.concatenate(x) for x in zip(*found, strict=True))) if found else (np.zeros(0, np.int64),) * 3
-    order = np.lexsort((place, owner))
-    owner, value = owner[order], value[order]
+        found.append((owner, place + shift, value))
+    owner, place, value = (np.concatenate(x) for x in zip(*found, strict=True))
     bound = np.searchsorted(owner, np.arange(len(texts) + 1))
-    raw = value.astype(">u4").tobytes().hex()
-    out = [raw[8 * a : 8 * b] for a, b in zip(bound[:-1], bound[1:], strict=True)]
+    stored = np.zeros(len(owner), _STORED)
+    stored["hash"] = value
+    step = np.diff(place, prepend=0)
+    first = bound[:-1][bound[:-1] < bound[1:]]
+    step[first] = place[first]
+    stored["step"] = step
+    out = [base64.b64encode(stored[a:b].tobytes()).decode() for a, b in zip(bound[:-1], bound[1:], strict=True)]
     for i, text in enumerate(texts):
         if text and not out[i]:
             units = code_points(text)
-            out[i] = f"{int(span_hashes(units, np.array([0]), np.array([len(units)]))[0]) >> 32:08x}"
+            whole = int(span_hashes(units, np.array([0]), np.array([len(units)]))[0]) >> 32
+            out[i] = base64.b64encode(np.array([(0, whole)], _STORED).tobytes()).decode()
     return out
 
 
+def anchors(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of a fingerprint's anchors."""
+    stored = np.frombuffer(base64.b64decode(fingerprint), _STORED)
+    return np.cumsum(stored["step"], dtype=np.int64), stored["hash"].astype(np.int64)
+
+
+def _in_order(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the longest common subsequence."""
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[:n] != b[:n])
+    head = int(differ[0]) if len(differ) else n
+    a, b, n = a[head:], b[head:], n - head
+    differ = np.flatnonzero(a[len(a) - n :][::-1] != b[len(b) - n :][::-1])
+    tail = int(differ[0]) if len(differ) else n
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    a, b = a[np.isin(a, b)], b[np.isin(b, a)]
+    if not len(a):
+        return head + tail
+    where: dict[int, list[int]] = {}
+    for i, x in enumerate(b.tolist()):
+        where.setdefault(x, []).append(i)
+    if sum(len(where[x]) for x in a.tolist()) <= 16 * (len(a) + len(b)):
+        ends: list[int] = []
+        for x in a.tolist():
+            for i in reversed(where[x]):
+                k = bisect_left(ends, i)
+                ends[k : k + 1] = [i]
+        return head + tail + len(ends)
+    # many repeats: a bit per place of b; a cleared one ends a longer sequence
+    full = (1 << len(b)) - 1
+    state, masks = full, {}
+    for x in a.tolist():
+        if (mask := masks.get(x)) is None:
+            flags = np.zeros(len(b), np.uint8)
+            flags[where[x]] = 1
+            mask = int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+            if (len(masks) + 1) * len(b) <= 8 * _MASK_BYTES:
+                masks[x] = mask
+        hit = state & mask
+        state = ((state + hit) | (state - hit)) & full
+    return head + tail + len(b) - state.bit_count()
+
+
 def likeness(one: str, two: str) -> float:
-    """Twice the anchors matched in order, over all anchors that both fingerprints could hold."""
+    """Twice the anchors matched in order, over all anchors of both."""
     if one == two:
         return 1.0
-    a, b = ([int(x[i : i + 8], 16) for i in range(0, len(x), 8)] for x in (one, two))
-    if not a or not b:
+    if not one or not two:
         return 0.0
-    # a full fingerprint says nothing about hashes beyond its largest
-    limit = min([max(x) for x in (a, b) if len(x) >= ANCHORS], default=1 << 32)
-    where = {x: i for i, x in enumerate(b) if x <= limit}
-    a = [x for x in a if x <= limit]
-    ends: list[int] = []
-    for x in a:
-        if (i := where.get(x)) is not None:
-            k = bisect_left(ends, i)
-            ends[k : k + 1] = [i]
-    return 2 * len(ends) / (len(a) + len(where)) if a or where else 0.0
+    a, b = anchors(one)[1], anchors(two)[1]
+    return 2 * _in_order(a, b) / (len(a) + len(b))
 
 
 def fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:

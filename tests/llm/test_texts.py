@@ -67,6 +67,31 @@ def test_likeness():
     assert fingerprints.likeness(f, g) < 0.1 < 0.25 < fingerprints.likeness(f, h) < 0.75
 
 
+def test_fingerprint_holds_every_anchor_with_its_place():
+    text = prose(6, 3000)
+    middle = len(text) // 2
+    changed = text[:middle] + prose(7, 20) + text[middle:]
+    f, g = fingerprints.fingerprints([text, changed])
+    assert fingerprints.anchors(f)[0].tolist() == plain_syncmers(text)
+    assert fingerprints.anchors(g)[0].tolist() == plain_syncmers(changed)
+    assert 0.95 < fingerprints.likeness(f, g) < 1
+
+
+def test_matching_equals_the_plain_longest_common_subsequence(monkeypatch):
+    rng = np.random.default_rng(2)
+    for kinds in (2, 3, 40, 400):
+        for masks in (1 << 26, 4):
+            monkeypatch.setattr(fingerprints, "_MASK_BYTES", masks)
+            a, b = rng.integers(0, kinds, 150), rng.integers(0, kinds, 120)
+            b[20:60] = a[30:70]
+            row = [0] * (len(b) + 1)
+            for x in a:
+                before = list(row)
+                for j, y in enumerate(b):
+                    row[j + 1] = before[j] + 1 if x == y else max(before[j + 1], row[j])
+            assert fingerprints._in_order(a, b) == fingerprints._in_order(b, a) == row[-1]
+
+
 @pytest.mark.parametrize("ids", [range(10), [0, 0, 5, 5, 5, None, None, 7, -3, 9], [4] * 10])
 def test_compared_pairs_each_document_with_the_next(spark, ids):
     rows = list(zip(ids, ODD, strict=True))
