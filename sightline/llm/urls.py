@@ -2,7 +2,8 @@
 
 A rule names a host and the beginning of a path; it fits the host and its subdomains, and the longest fitting rule
 wins. URLs that a rule decides are the labelled ones that the trees learn from: length, depth, digit ratio, entropy,
-parameter counts, and how often URLs with the same host suffix were blocked.
+parameter counts, and how often URLs with the same host suffix were blocked. The block rates count all labelled URLs
+of the table and are joined by suffix; only the trees are fitted on a sample of rows.
 
 Defined results: a null URL, or one without `://`, has an empty host and path and fits no rule; the trees judge it by
 its other features. Without labelled URLs of both verdicts every other URL gets the only verdict known, or `allow`.
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from sightline.session import materialize
 
 BLOCK, ALLOW = "block", "allow"
-TRAIN_ROWS = 20_000  # labelled URLs that the trees are fitted on, by hash of the URL
-SUFFIXES = 200  # host suffixes whose block rate is kept, the most frequent first; others have the mean rate
+TRAIN_ROWS = 20_000  # labelled rows that the trees are fitted on, by hash of the row
+LEAST = 200  # rows of a verdict that the sample has at least, if there are as many
 TREES, DEPTH = 15, 4
 FEATURES = ["u_length", "u_host", "u_path", "u_depth", "u_digits", "u_entropy", "u_params", "u_labels", "u_hyphens", "u_rate"]
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -72,11 +73,15 @@ def with_features(df: DataFrame, url: Column) -> DataFrame:
             "u_params": F.when(query == "", 0.0).otherwise(F.size(F.split(query, "&")).cast("double")),
             "u_labels": F.size(F.split("host", "[.]")).cast("double"),
             "u_hyphens": (F.length("host") - F.length(F.replace("host", F.lit("-"), F.lit("")))).cast("double"),
-            "u_suffix": F.substring_index("host", ".", -2),
+            "u_suffix": suffix(F.col("host")),
         }
     )
 
 
+def suffix(host: Column) -> Column:
+    return F.substring_index(host, ".", -2)
+
+
 def judge(pages: DataFrame, rules: list[Rule], url: str = "url", keep: list[str] | None = None, rows: int = TRAIN_ROWS) -> DataFrame:
     """The kept columns with host, path, rule, verdict and score (the trees' block probability; null under a rule)."""
     keep = [c for c in (pages.columns if keep is None else keep) if c not in ("host", "path", "rule", "verdict", "score")]
@@ -85,24 +90,30 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url", keep: list[str]
     cut = held.withColumns({"host": host, "path": path})
     rule, ruled = fitting(rules, F.col("host"), F.col("path"))
     known = cut.withColumns({"rule": rule, "ruled": ruled})
-    total = known.where(F.col("ruled").isNotNull()).count()
-    sampled = known.where(F.col("ruled").isNotNull() & (F.pmod(F.xxhash64("_url"), F.lit(1_000_000)) < int(1_000_000 * min(1, rows / max(total, 1)))))
-    sample = with_features(sampled.select("_url", "host", "path", (F.col("ruled") == BLOCK).cast("double").alias("label")), F.col("_url")).drop("_url", "host", "path")
-    sample = materialize(sample, "labelled-urls")
-    seen = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    labelled = known.where(F.col("ruled").isNotNull()).withColumn("label", (F.col("ruled") == BLOCK).cast("double"))
+    counts = labelled.groupBy(suffix(F.col("host")).alias("u_suffix")).agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
+    counts = materialize(counts, "suffix-counts")
+    total, blocked = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0.0))).first()
     out = [F.col(f"_row.{c}").alias(c) for c in keep] + [F.col("host"), F.col("path"), F.col("rule")]
-    if len(seen) < 2:
-        only = BLOCK if 1.0 in seen else ALLOW
+    if blocked in (0, total):
+        only = BLOCK if blocked else ALLOW
         return known.select(*out, F.coalesce("ruled", F.lit(only)).alias("verdict"), F.lit(None).cast("double").alias("score"))
 
-    mean = seen[1.0] / sum(seen.values())
-    top = sample.groupBy("u_suffix").agg(F.count("*").alias("n"), F.sum("label").alias("bad")).orderBy(F.desc("n"), "u_suffix").limit(SUFFIXES).collect()
-    rates = F.create_map(*[F.lit(x) for r in top for x in (r.u_suffix, (r.bad + mean) / (r.n + 1))])
-    rate = F.coalesce(F.try_element_at(rates, F.col("u_suffix")), F.lit(mean))
+    mean = blocked / total
+    rates = counts.select(F.col("u_suffix").alias("_suffix"), ((F.col("bad") + mean) / (F.col("n") + 1)).alias("u_rate"))
+    rated = lambda df: df.join(rates, F.col("u_suffix") == F.col("_suffix"), "left").drop("_suffix").withColumn("u_rate", F.coalesce("u_rate", F.lit(mean)))
+    # a rare verdict is sampled more densely, and its rows weigh less
+    even = min(1, rows / total)
+    dense = {label: max(even, min(1, LEAST / n)) for label, n in ((0.0, total - blocked), (1.0, blocked))}
+    share = F.when(F.col("label") == 1, dense[1.0]).otherwise(dense[0.0])
+    named = [F.col(f"_row.{c}") for c in keep if "map<" not in (kind := dict(pages.dtypes)[c]) and "variant" not in kind]  # others have no hash
+    sampled = labelled.where(F.pmod(F.xxhash64("_url", *named), F.lit(10**12)) < share * 10**12).withColumn("_weight", even / share)
+    sample = rated(with_features(sampled.select("_url", "host", "path", "label", "_weight"), F.col("_url"))).select(*FEATURES, "label", "_weight")
+    sample = materialize(sample, "labelled-urls")
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features")
-    trees = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7)
-    model = trees.fit(assembler.transform(sample.withColumn("u_rate", rate)).select("_features", "label"))
-    scored = model.transform(assembler.transform(with_features(known, F.col("_url")).withColumn("u_rate", rate)))
+    trees = GBTClassifier(featuresCol="_features", labelCol="label", weightCol="_weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7)
+    model = trees.fit(assembler.transform(sample).select("_features", "label", "_weight"))
+    scored = model.transform(assembler.transform(rated(with_features(known, F.col("_url")))))
     score = F.when(F.col("ruled").isNull(), vector_to_array("probability")[1])
     verdict = F.coalesce("ruled", F.when(vector_to_array("probability")[1] >= 0.5, BLOCK).otherwise(ALLOW))
     return scored.select(*out, verdict.alias("verdict"), score.alias("score"))

@@ -324,6 +324,26 @@ def test_trees_learn_from_labelled_urls(spark):
     assert got == {1000: "block", 1001: "allow"}
 
 
+def test_block_rates_count_every_suffix_of_the_table(spark):
+    row = "http://www.{}{:03}.com/{}/p"
+    rules = [urls.Rule("com", "/x/", "block"), urls.Rule("com", "/y/", "allow")]
+    names = [(rng.choice("abcdefgh"), i) for rng in [random.Random(9)] for i in range(600)]
+    blocked = {i: random.Random(i).random() < 0.5 for _, i in names}
+    texts = [row.format(c, i, "x" if blocked[i] else "y") for c, i in names for _ in range(3)] + [row.format(c, i, "z") for c, i in names]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, url string")
+    for rows in (urls.TRAIN_ROWS, 400):
+        got = {r.page_id: r.verdict for r in urls.judge(pages, rules, rows=rows).where("rule is null").collect()}
+        assert got == {1800 + i: "block" if blocked[i] else "allow" for i in range(600)}
+
+
+def test_a_rare_verdict_and_one_hot_url_are_learned(spark):
+    texts = ["http://hot.com/y/"] * 3000 + [f"http://bad{i}.com/x/" for i in range(5)] + ["http://bad1.com/z/", "http://hot.com/z/"]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, url string")
+    rules = [urls.Rule("com", "/x/", "block"), urls.Rule("com", "/y/", "allow")]
+    got = {r.page_id: r.verdict for r in urls.judge(pages, rules, rows=300).where("rule is null").collect()}
+    assert got == {3005: "block", 3006: "allow"}
+
+
 # pipeline
 
 
