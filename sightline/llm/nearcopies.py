@@ -130,6 +130,15 @@ def signatures(values: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.
     return sig[by].view(np.int64), tag[by].astype(np.int32), np.bincount(doc, minlength=len(sizes))
 
 
+def _digests(values: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Two halves of every set's digest."""
+    ends, totals = np.cumsum(sizes), []
+    for salt in (0, 0x94D049BB133111EB):
+        total = np.append(np.uint64(0), np.cumsum(mix(values ^ np.uint64(salt))))
+        totals.append((total[ends] - total[ends - sizes]).view(np.int64))
+    return totals
+
+
 def signed(docs: DataFrame, text: str, key: str, words: int, percent: int) -> DataFrame:
     """Per row: node (the key), n (set size), two halves of the set's digest, signatures, their tags and a sketch."""
 
@@ -139,13 +148,12 @@ def signed(docs: DataFrame, text: str, key: str, words: int, percent: int) -> Da
             for a, b in grouped(texts):
                 values, sizes = shingle_sets(texts[a:b], words)
                 ends = np.cumsum(sizes)
-                one, two = (np.append(np.uint64(0), np.cumsum(mix(values ^ np.uint64(salt)))) for salt in (0, 0x94D049BB133111EB))
+                one, two = _digests(values, sizes)
                 sig, tag, count = signatures(values, sizes, percent)
                 offsets = pa.array(np.append(0, np.cumsum(count)).astype(np.int32))
                 sketch = [_sketch(values[j - n : j]).tobytes() for j, n in zip(ends, sizes, strict=True)]
-                half = lambda total: pa.array((total[ends] - total[ends - sizes]).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(sizes.astype(np.int64)), half(one), half(two), pa.ListArray.from_arrays(offsets, pa.array(sig)), pa.ListArray.from_arrays(offsets, pa.array(tag)), pa.array(sketch)],
+                    [batch.column(0).slice(a, b - a), pa.array(sizes.astype(np.int64)), pa.array(one), pa.array(two), pa.ListArray.from_arrays(offsets, pa.array(sig)), pa.ListArray.from_arrays(offsets, pa.array(tag)), pa.array(sketch)],
                     names=["node", "n", "d1", "d2", "sigs", "tags", "sketch"],
                 )
 
@@ -212,8 +220,10 @@ def _couples(members: DataFrame, more: DataFrame, percent: int) -> DataFrame:
 
     A family's members are cut by size into chunks of bounded weight; couples whose sizes cannot link are left out.
     """
-    order = Window.partitionBy("family").orderBy("n", "node")
-    placed = materialize(members.withColumn("chunk", F.floor(F.sum(F.col("n") + OVERHEAD).over(order) / CHUNK)), "placed")
+    if "chunk" not in members.columns:
+        order = Window.partitionBy("family").orderBy("n", "node")
+        members = members.withColumn("chunk", F.floor(F.sum(F.col("n") + OVERHEAD).over(order) / CHUNK))
+    placed = materialize(members, "placed")
     chunks = placed.groupBy("family", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     other = chunks.select("family", F.col("chunk").alias("second"), F.col("low").alias("low2"))
     couples = chunks.join(other, "family").where((F.col("chunk") <= F.col("second")) & (F.col("low2") * percent <= F.col("high") * 100))
@@ -383,6 +393,143 @@ def linked(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     return joined.select(F.col("node").alias(key), F.col("n").alias("n_shingles"), F.coalesce("label", "rep", "node").alias("component_id"))
 
 
+def _class_sets(docs: DataFrame, classes: DataFrame, asked: DataFrame, text: str, key: str, words: int) -> DataFrame:
+    """The shingle sets of the given classes, one of each, from the rows that have a class's key."""
+    wanted = materialize(classes.select("node", "key", "n", "d1", "d2").join(asked.distinct(), "node", "left_semi"), "wanted")
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("t")).join(wanted.select("key").distinct(), "key", "left_semi")
+
+    def make():
+        def work(texts):
+            items, halves = [], [[], [], []]
+            for a, b in grouped(texts := [t or "" for t in texts]):
+                values, sizes = shingle_sets(texts[a:b], words)
+                items += [values[j - n : j].tobytes() for j, n in zip(np.cumsum(sizes), sizes, strict=True)]
+                for column, more in zip(halves, (sizes, *_digests(values, sizes)), strict=True):
+                    column += more.tolist()
+            return [items, *halves]
+
+        return work
+
+    fields = [T.StructField("items", T.BinaryType()), *[T.StructField(c, T.LongType()) for c in ("n", "d1", "d2")]]
+    found = with_columns(rows, "t", fields, make).select("key", "items", "n", "d1", "d2")
+    return materialize(found.join(wanted, ["key", "n", "d1", "d2"]).dropDuplicates(["node"]).select("node", "items"), "sets")
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of the left shares with each of the right.
+
+    Elements that many sets hold are counted by matrix products of bounded width, the others pair by pair.
+    """
+    split, across = sum(map(len, left)), len(right)
+    number = np.unique(np.concatenate([*left, *right]), return_inverse=True)[1]
+    one, two = number[:split], number[split:]
+    row, other = (np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (left, right))
+    kinds = int(number.max(initial=-1)) + 1
+    in_one, in_two = np.bincount(one, minlength=kinds), np.bincount(two, minlength=kinds)
+    out = np.zeros((len(left), across), np.int64)
+    often = in_one * in_two * 200 > len(left) * across
+    place = np.where(often, np.cumsum(often) - 1, -1)
+    for first in range(0, int(often.sum()), 4096):
+        dense = []
+        for n, which, count in ((one, row, len(left)), (two, other, across)):
+            at = place[n] - first
+            keep = (at >= 0) & (at < 4096)
+            matrix = np.zeros((count, 4096), np.float32)
+            matrix[which[keep], at[keep]] = 1
+            dense.append(matrix)
+        out += (dense[0] @ dense[1].T).astype(np.int64)
+    by = np.argsort(two, kind="stable")
+    starts = np.cumsum(in_two) - in_two
+    rare = np.flatnonzero(~often[one] & (in_two[one] > 0))
+    total = np.cumsum(in_two[one[rare]])
+    for first in range(0, int(total[-1]) if len(total) else 0, 1 << 22):
+        part = rare[np.searchsorted(total, first, "right") : np.searchsorted(total, first + (1 << 22), "right")]
+        count = in_two[one[part]]
+        at = np.repeat(starts[one[part]] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        np.add.at(out.reshape(-1), np.repeat(row[part], count) * across + other[by[at]], 1)
+    return out
+
+
+def _tally(table: pa.Table, percent: int) -> pa.Table:
+    """Per document of a couple of chunks the copies of those it links to: in its own chunk, or in the other one."""
+    table = table.combine_chunks()
+    side, copies, nodes = (table.column(c).to_numpy() for c in ("side", "copies", "node"))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("items").combine_chunks()]
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    alone = table.column("first")[0].as_py() == table.column("second")[0].as_py()
+    b = a if alone else b
+    size = np.array([len(x) for x in sets], np.int64)
+    links = np.zeros((len(a), len(b)), bool)
+    if links.size:
+        shared = _shared([sets[i] for i in a], [sets[i] for i in b])
+        links = (shared > 0) & (100 * shared >= percent * (size[a][:, None] + size[b] - shared))
+    if alone:
+        np.fill_diagonal(links, False)
+        return pa.table({"node": nodes[a], "k": links @ copies[a]})
+    return pa.table({"node": np.append(nodes[a], nodes[b]), "k": np.append(links @ copies[b], copies[a] @ links)})
+
+
+def _placed(members: DataFrame) -> DataFrame:
+    """The members (family, node, n) with the chunk of each, by its size and, within one size, by its hash.
+
+    Only the sums of each size of a family are ordered, so no task holds the members of a family.
+    """
+    cells = materialize(members.groupBy("family", "n").agg(F.sum(F.col("n") + OVERHEAD).alias("w")), "cells")
+    order = Window.partitionBy("family").orderBy("n")
+    cells = materialize(cells.withColumn("before", F.sum("w").over(order) - F.col("w")), "cells")
+    share = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / (1 << 20)
+    return members.join(cells, ["family", "n"]).withColumn("chunk", F.floor((F.col("before") + share * F.col("w")) / CHUNK)).drop("before", "w")
+
+
+def link_counts(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Per row of the documents: its key, `n_shingles`, `class_id`, the smallest key of an equal set, and `n_links`.
+
+    `n_links` counts the other rows with a key whose sets link to the row's own: every candidate pair of classes that
+    shares a kept block is verified, and a class counts for its rows. Pairs of small buckets are listed; large ones
+    form families, within which all sets are compared chunk by chunk in tasks that give sums only. A row without a
+    key has no class and no links, one without words is alone.
+    """
+    whole = materialize(signed(docs, text, key, words, percent), "signed")
+    rows = materialize(whole.select("node", "n", "d1", "d2"), "digests")
+    same = whole.where("n > 0 and node is not null").groupBy("n", "d1", "d2")
+    firsts = [F.first(c).alias(c) for c in ("sigs", "tags", "sketch")]
+    # keys may repeat with other texts, so a class has a number of its own
+    classes = same.agg(F.min("node").alias("key"), F.count("*").alias("copies"), *firsts).withColumn("node", F.monotonically_increasing_id())
+    classes = materialize(classes, "classes")
+    discard(whole)
+    pieces = classes.select("node", F.explode(F.arrays_zip("sigs", "tags")).alias("x")).select("node", F.col("x.sigs").alias("sig"), F.col("x.tags").alias("tag"))
+    sizes = lambda df: df.groupBy("sig").agg(F.count("*").cast("int").alias("m")).where("m > 1")
+    shared = materialize(pieces.join(materialize(sizes(pieces), "sizes"), "sig"), "buckets")
+    weak = shared.where(F.col("m") > HOT)
+    risky = weak.groupBy("node", "tag").agg(F.count("*").alias("h")).where(F.col("h") > F.col("tag") % _TAG).select("node", "tag")
+    again = materialize(weak.join(risky, ["node", "tag"], "left_semi").select("sig", "node"), "again")
+    members = shared.where(F.col("m") <= HOT).select("sig", "node", "m").union(again.join(sizes(again), "sig").select("sig", "node", "m"))
+    members = materialize(members, "members")
+    discard(shared, again)
+
+    large = members.where(F.col("m") > SMALL).select("sig", "node")
+    star = large.join(large.groupBy("sig").agg(F.min("node").alias("v")), "sig").select(F.col("node").alias("u"), "v").distinct()
+    families = components(star).withColumnRenamed("label", "family")
+    sets_of = lambda asked: _class_sets(docs, classes, asked, text, key, words)
+    few = members.where(F.col("m") <= SMALL).select("sig", "node").join(families, "node", "left").select("sig", F.col("node").alias("u"), F.col("family").alias("f"))
+    both = few.join(few.select("sig", F.col("u").alias("v"), F.col("f").alias("g")), "sig")
+    pairs = materialize(both.where("u < v and coalesce(f <> g, true)").select("u", "v").distinct(), "pairs")
+    ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    light = materialize(classes.select("node", "n", "sketch").join(ends, "node", "left_semi"), "sketches")
+    found = materialize(_verified(pairs, light, sets_of, percent), "found")
+    copies = classes.select(F.col("node").alias("v"), F.col("copies").alias("k"))
+    counts = found.union(found.select("v", "u")).toDF("u", "v").join(copies, "v").select(F.col("u").alias("node"), "k")
+    if not families.isEmpty():
+        placed = _placed(families.join(classes.select("node", "n", "copies"), "node"))
+        groups = _couples(placed, sets_of(families.select("node")), percent).groupBy("family", "first", "second")
+        counts = counts.union(groups.applyInArrow(lambda table: _tally(table, percent), "node long, k long"))
+    counts = materialize(counts.groupBy("node").agg(F.sum("k").alias("k")), "counts")
+    result = classes.join(counts, "node", "left").select("n", "d1", "d2", F.col("key").alias("class"), (F.col("copies") - 1 + F.coalesce("k", F.lit(0))).alias("links"))
+    joined = rows.join(materialize(result, "links"), ["n", "d1", "d2"], "left")
+    keyed = lambda column: F.when(F.col("node").isNotNull(), column)
+    return joined.select(F.col("node").alias(key), F.col("n").alias("n_shingles"), keyed(F.coalesce("class", "node")).alias("class_id"), keyed(F.coalesce("links", F.lit(0))).alias("n_links"))
+
+
 def first_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents without near copies: of each component the row with the smallest key stays."""
     heads = linked(docs, text, key, words, percent).where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()

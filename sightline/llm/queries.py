@@ -55,6 +55,18 @@ def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.linked(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+LINKS_SQL = f"""{LINKED_SQL[: LINKED_SQL.index("r AS (SELECT")]}
+k AS (SELECT u, count(*) AS n_links FROM l GROUP BY u),
+e AS (SELECT u, min(v) AS least FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE i = x.n AND i = y.n GROUP BY u)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(e.least, d.doc_id)) AS class_id, coalesce(k.n_links, 0) AS n_links
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN k ON k.u = d.doc_id LEFT JOIN e ON e.u = d.doc_id"""
+
+
+@register("op3_near_copy_links", LINKS_SQL)
+def op3_near_copy_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.link_counts(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 

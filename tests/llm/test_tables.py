@@ -94,6 +94,35 @@ def test_components_equal_brute_force(spark, words, percent):
         assert sorted(r.doc_id for r in kept.collect()) == sorted(set(plain_components(sets, percent).values()))
 
 
+@pytest.mark.parametrize("words, percent, chunk", [(4, 85, nearcopies.CHUNK), (5, 80, 5000)])
+def test_link_counts_equal_brute_force(spark, monkeypatch, words, percent, chunk):
+    monkeypatch.setattr(nearcopies, "CHUNK", chunk)
+    rows = families()
+    got = nearcopies.link_counts(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), words=words, percent=percent).collect()
+    sets = plain_sets(rows, words)
+    links, same = Counter(), {k: k for k in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        shared = len(sets[a] & sets[b])
+        if shared and 100 * shared >= percent * len(sets[a] | sets[b]):
+            links.update((a, b))
+            if sets[a] == sets[b]:
+                same[b] = min(same[b], a)
+    assert sorted((r.doc_id, r.n_shingles, r.class_id, r.n_links) for r in got) == sorted((k, len(s), same[k], links[k]) for k, s in sets.items())
+    assert max(links.values()) > 30
+
+
+def test_link_counts_of_repeated_and_null_keys(spark):
+    rows = [(1, "a b c d e f"), (1, "x y z u v w"), (1, "x y z u v w"), (2, "x y z u v w"), (3, "a b c d e f"), (None, "a b c d e f"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in nearcopies.link_counts(docs).collect())
+    assert got == Counter([(1, 1, 1), (1, 1, 2), (1, 1, 2), (2, 1, 2), (3, 1, 1), (None, None, None), (4, 4, 0)])
+    assert nearcopies.link_counts(docs.limit(0)).count() == 0
+
+
+def test_link_counts_against_sql(spark):
+    test_query_against_sql(spark, "op3_near_copy_links")
+
+
 def test_repeated_and_null_keys(spark):
     rows = [(1, "a b c d e f"), (1, "x y z u v w"), (2, "x y z u v w"), (3, "a b c d e f"), (None, "a b c d e f"), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
