@@ -4,6 +4,9 @@ A known word scores by its log frequency in each language. An unseen word falls
 n-grams: the longest order of which the model knows at least one n-gram gives the mean of their log
 frequencies, so every word weighs the same. Texts are lower-cased; words are runs of letters.
 
+Every word and n-gram of the sample is kept, with the languages it was seen in. One that a language lacks has the same
+frequency in all such languages, below any that was seen, so no language gains by a small sample.
+
 Defined results: a null text, or one without a letter, is `und` with score 0. Without any learned
 language every text is `und`. Languages that tie are taken in alphabetical order. The score is the
 share of the best language after at most `CERTAINTY` words' worth of evidence.
@@ -24,8 +27,8 @@ from sightline.session import discard, materialize
 
 UNKNOWN = "und"
 ORDERS = (5, 4, 3, 2, 1)
-TRAIN_ROWS = 20_000  # labelled rows that the model is fitted on, by hash of their id
-VOCABULARY = 20_000  # words, and n-grams of each order, that a model keeps: its size bound
+TRAIN_ROWS = 20_000  # labelled rows that the model is fitted on, by hash of their id and text
+LEAST = 200  # rows of a language that the sample has at least, if there are as many
 CERTAINTY = 8
 _EDGE = 0x110000  # stands before and after a word in its n-grams
 _LETTERS: list[np.ndarray] = []
@@ -37,12 +40,26 @@ def letters() -> np.ndarray:
     return _LETTERS[0]
 
 
+class Frequencies:
+    """Rows of log frequencies, one per hash, of which only those that were seen are stored."""
+
+    def __init__(self, bounds: np.ndarray, lang: np.ndarray, value: np.ndarray, unseen: np.ndarray):
+        self.bounds, self.lang, self.value, self.unseen = bounds, lang, value, unseen
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        rows = np.tile(self.unseen, (len(at), 1))
+        count = self.bounds[at + 1] - self.bounds[at]
+        place = np.repeat(self.bounds[at] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        rows[np.repeat(np.arange(len(at)), count), self.lang[place]] = self.value[place]
+        return rows
+
+
 @dataclass
 class LanguageModel:
     """Per order (0 for words): sorted hashes and their log frequency in each language."""
 
     languages: list[str]
-    tables: dict[int, tuple[np.ndarray, np.ndarray]]
+    tables: dict[int, tuple[np.ndarray, np.ndarray | Frequencies]]
 
 
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -74,13 +91,15 @@ def grams(units: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: int) -
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = TRAIN_ROWS) -> LanguageModel:
-    """Learns from the labelled rows: all of them up to `rows`, beyond that a sample by hash of the key.
+    """Learns from the labelled rows: all of them up to `rows`, beyond that a sample by hash, and at least `LEAST` of each language.
 
-    The counting is distributed; the driver gets the `VOCABULARY` most frequent words and n-grams.
+    The counting is distributed; the driver gets the counts of the sample.
     """
     labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
-    total = labelled.count()
-    sample = labelled.where(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < int(1_000_000 * min(1, rows / max(total, 1)))).select("t", "l")
+    sizes = materialize(labelled.groupBy("l").agg(F.count("*").alias("size")), "language-sizes")
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    shares = sizes.select(F.col("l").alias("_l"), F.greatest(F.lit(min(1, rows / max(total, 1))), F.least(F.lit(1.0), LEAST / F.col("size"))).alias("share"))
+    sample = labelled.join(shares, F.col("l") == F.col("_l")).where(F.pmod(F.xxhash64("k", "t"), F.lit(10**12)) < F.col("share") * 10**12).select("t", "l")
 
     def count(batches):
         for batch in batches:
@@ -111,17 +130,22 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     totals = {(r.order, r.l): (r.n, r.kinds) for r in counts.groupBy("order", "l").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
     tables = {}
     for order in (0, *ORDERS):
-        columns = [F.sum(F.when(F.col("l") == name, F.col("n")).otherwise(0)).alias(f"n{i}") for i, name in enumerate(names)]
-        if not columns:
+        if not names:
             continue
-        top = counts.where(F.col("order") == order).groupBy("hash").agg(F.sum("n").alias("n"), *columns).orderBy(F.desc("n"), "hash").limit(VOCABULARY).toPandas()
-        hashes = top["hash"].to_numpy(np.int64).view(np.uint64)
-        by = np.argsort(hashes)
-        seen = np.column_stack([top[f"n{i}"].to_numpy(np.float64) for i in range(len(names))])[by]
+        part = counts.where(F.col("order") == order).select("hash", "l", "n").toArrow()
+        hashes = part.column("hash").to_numpy().view(np.uint64)
+        which = part.column("l").combine_chunks().dictionary_encode() if len(part) else pa.array([], pa.string()).dictionary_encode()
+        number = np.array([names.index(x) for x in which.dictionary.to_pylist()], np.int32)
+        code, n = number[which.indices.to_numpy()], part.column("n").to_numpy()
+        by = np.argsort(hashes, kind="stable")
+        known, first = np.unique(hashes[by], return_index=True)
         size = np.array([totals.get((order, name), (0, 0))[0] for name in names], np.float64)
         kinds = max([1] + [k for (o, _), (_, k) in totals.items() if o == order])
-        tables[order] = hashes[by], np.log((seen + 0.5) / (size + 0.5 * kinds)).astype(np.float32)
-    discard(counts)
+        base = size + 0.5 * kinds
+        value = np.log((n[by] + 0.5) / base[code[by]]).astype(np.float32)
+        unseen = np.full(len(names), np.log(0.5 / base.max()), np.float32)
+        tables[order] = known, Frequencies(np.append(first, len(by)), code[by], value, unseen)
+    discard(counts, sizes)
     return LanguageModel(names, tables)
 
 
@@ -140,7 +164,8 @@ def word_scores(model: LanguageModel, hashes: np.ndarray, units: np.ndarray, sta
         at = find(known, h)
         word, at = word[at >= 0], at[at >= 0]
         n = np.bincount(word, minlength=len(left))
-        sums = np.column_stack([np.bincount(word, weights=table[at, j], minlength=len(left)) for j in range(table.shape[1])])
+        rows = table[at]
+        sums = np.column_stack([np.bincount(word, weights=rows[:, j], minlength=len(left)) for j in range(rows.shape[1])])
         scores[left[n > 0]] = (sums[n > 0] / n[n > 0, None]).astype(np.float32)
         left = left[n == 0]
     return scores
@@ -178,6 +203,6 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], n
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The rows with `lang_pred` and `lang_score`."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most VOCABULARY rows per order
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is that of the sample's vocabulary
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())]
     return with_columns(docs, text, fields, lambda: lambda texts: predict(shared.value, texts))

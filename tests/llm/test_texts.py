@@ -142,6 +142,22 @@ def test_language_edge_cases(spark):
     assert {r.lang_pred for r in language.identify(frame_of(spark, texts), none).collect()} == {"und"}
 
 
+def test_small_languages_keep_their_words(spark):
+    rng = random.Random(11)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(6))
+    rows = [(" ".join(word("abcdefghijklm") for _ in range(60)), "big") for _ in range(900)]
+    small = [word("abcdefghijklm") for _ in range(40)]
+    rows += [(" ".join(rng.sample(small, 20)), "small") for _ in range(4)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert len(model.tables[0][0]) == len({w for t, _ in rows for w in t.split()})  # tens of thousands of words
+    assert language.predict(model, [" ".join(small[:20])])[0] == ["small"]
+    sampled = language.fit(docs, rows=10)  # a language without a row by an even share
+    assert sampled.languages == ["big", "small"] and language.predict(sampled, [" ".join(small[:20])])[0] == ["small"]
+    seen = rows[0][0]
+    assert language.predict(model, [seen])[0] == ["big"]  # words seen once in a large sample, never in a small one
+
+
 def test_word_first_then_shorter_grams():
     model = language.LanguageModel(["a", "b"], {n: (np.zeros(0, np.uint64), np.zeros((0, 2), np.float32)) for n in (0, *language.ORDERS)})
     units, starts, ends, _ = language.words_of(["cat"])
