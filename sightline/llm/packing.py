@@ -20,7 +20,6 @@ import functools
 import os
 import unicodedata
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +27,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sightline.llm.blocks import code_points, find, grouped, span_hashes
+from sightline.llm.blocks import grouped
 from sightline.llm.bpe import safe_pieces
+from sightline.llm.memory import Memory, Spans, text_slices
 from sightline.session import materialize
 
 CAPACITY = 1024
-KEPT = 1_000_000  # pieces whose ids a task remembers, about 40 MB
 _OTHER, _LETTER, _NUMBER, _SPACE, _UNKNOWN, _GAP = range(6)
 _BLANKS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
@@ -76,83 +75,25 @@ def split_points(units: np.ndarray, kind: np.ndarray) -> np.ndarray:
     return start
 
 
-def _merged(a: tuple, b: tuple) -> tuple:
-    both = [np.concatenate(x) for x in zip(a, b, strict=True)]
-    by = np.argsort(both[0], kind="stable")
-    return tuple(x[by] for x in both)
-
-
 class Ids:
-    """Token ids of texts; remembers the ids of the pieces seen so far, in flat arrays of bounded size."""
+    """Token ids of texts; remembers the ids of the pieces seen so far."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._forget()
-
-    def _forget(self) -> None:
-        # sorted hashes with the place and number of their ids: one large table, and one of recent pieces
-        self.tables = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
-        self.store, self.used = np.zeros(1 << 16, np.uint32), 0
-
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        more = int(size.sum())
-        if self.used + more > len(self.store):
-            self.store = np.append(self.store[: self.used], np.zeros(self.used + 2 * more, np.uint32))
-        self.store[self.used : self.used + more] = np.fromiter(chain.from_iterable(got), np.uint32, more)
-        new = hashes, self.used + np.cumsum(size) - size, size
-        self.used += more
-        old, recent = self.tables
-        recent = _merged(recent, new)
-        if 8 * len(recent[0]) > len(old[0]) + 50_000:
-            old, recent = _merged(old, recent), tuple(x[:0] for x in recent)
-        self.tables = [old, recent]
-
-    def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start, size = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        for known, where, count in self.tables:
-            at = find(known, hashes)
-            hit = at >= 0
-            start[hit], size[hit] = where[at[hit]], count[at[hit]]
-        return start, size
-
-    def _of(self, joined: str, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the store and number of ids of distinct pieces."""
-        if len(self.tables[0][0]) > KEPT or self.used > 16 * KEPT:
-            self._forget()
-        start, size = self._places(hashes)
-        new = np.flatnonzero(start < 0)
-        if len(new):
-            self._learn(hashes[new], [joined[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
-            start[new], size[new] = self._places(hashes[new])
-        return start, size
+        self.memory = Memory(lambda pieces: [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
 
     def has_added(self, text: str) -> bool:
         return any(content in text for content in self.added)
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text, without special tokens."""
-        joined = "\x00".join(texts)
-        lengths = np.array([len(t) for t in texts], np.int64)
-        units = code_points(joined).copy()
-        units[(np.cumsum(lengths + 1) - 1)[:-1]] = 0x110000
-        kind = classes()[units]
-        firsts = np.cumsum(lengths + 1) - lengths - 1
-        start = split_points(units, kind)
-        starts = np.flatnonzero(start)
-        ends = np.append(starts[1:], len(units))
-        real = kind[starts] != _GAP
-        starts, ends = starts[real], ends[real]
-        hashes, one, number = np.unique(span_hashes(units, starts, ends), return_index=True, return_inverse=True)
-        place, size = self._of(joined, hashes, starts[one], ends[one])
-        count, base = size[number], place[number]
-        ids = self.store[np.repeat(base - (np.cumsum(count) - count), count) + np.arange(count.sum())]
-        bound = np.append(0, np.cumsum(count))[np.searchsorted(starts, np.append(firsts, len(units)))]
+        spans = Spans(texts, lambda units: split_points(units, classes()[units]))
+        ids, bound = spans.ids(self.memory)
         out = [ids[a:b] for a, b in zip(bound[:-1], bound[1:], strict=True)]
-        strange = np.unique(np.searchsorted(firsts, np.flatnonzero(kind == _UNKNOWN), "right") - 1)
+        unknown = np.flatnonzero(classes()[spans.units] == _UNKNOWN)
+        strange = np.unique(np.searchsorted(spans.firsts, unknown, "right") - 1)
         for i in {*strange.tolist(), *(i for i, t in enumerate(texts) if self.has_added(t))}:
             out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4")
         return out
@@ -174,8 +115,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, te
     def apply(batches):
         tokens = worker_ids(path)
         last = np.array([end_id], "<u4")
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+        for batch, texts in (x for whole in batches for x in text_slices(whole, 1)):
             for a, b in grouped(texts):
                 parts = [(i, p) for i in range(a, b) for p in ([texts[i]] if tokens.has_added(texts[i]) else safe_pieces(texts[i]))]
                 owner = [i for i, _ in parts]

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.catalog.registry import register
-from sightline.llm import bpe, dialogues, fingerprints, language, nearcopies, packing, personal, search, toxicity, urls
+from sightline.llm import bpe, dialogues, fingerprints, language, nearcopies, packing, personal, phrases, search, toxicity, urls
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -139,3 +139,24 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).drop("text")
+
+
+PHRASES_SQL = f"""WITH w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws
+  FROM (SELECT coalesce(lang, '{phrases.UNKNOWN}') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents) p),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) ks) t GROUP BY ALL),
+c AS (SELECT lang, k AS words, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= {phrases.LEAST}),
+x AS (SELECT lang, phrase, a, k, array_to_string(ws[:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS rest FROM c, (SELECT unnest([1, 2, 3]) AS k) ks WHERE k < words),
+y AS (SELECT x.*, u.n AS l, v.n AS r, ({phrases.SCALE}::HUGEINT * a) // (u.n::HUGEINT + v.n) AS score
+  FROM x JOIN f u ON u.lang = x.lang AND u.phrase = head JOIN f v ON v.lang = x.lang AND v.phrase = rest),
+z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+s AS (SELECT DISTINCT lang, a AS longer, array_to_string(ws[i:j], ' ') AS phrase FROM c, (SELECT unnest(range(1, 5)) AS i) i, (SELECT unnest(range(1, 5)) AS j) j WHERE i < j AND j <= words AND j - i + 1 < words),
+kept AS (SELECT z.* FROM z WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.lang = z.lang AND s.phrase = z.phrase AND 100 * longer::HUGEINT >= {phrases.SHARE} * z.a)),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN t ON t.lang = kept.lang QUALIFY rank <= 2000"""
+
+
+@register("op11_phrases", PHRASES_SQL)
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.best_collocations(table(spark, sf_dir, "documents"))
