@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.catalog.registry import register
-from sightline.llm import bpe, dialogues, fingerprints, language, nearcopies, packing, personal, phrases, search, toxicity, urls
+from sightline.llm import alignment, bpe, dialogues, fingerprints, language, nearcopies, packing, personal, phrases, search, toxicity, urls
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -160,3 +160,11 @@ FROM kept JOIN t ON t.lang = kept.lang QUALIFY rank <= 2000"""
 @register("op11_phrases", PHRASES_SQL)
 def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.best_collocations(table(spark, sf_dir, "documents"))
+
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
