@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.catalog.registry import register
-from sightline.llm import alignment, bpe, dialogues, fingerprints, language, nearcopies, packing, personal, phrases, search, toxicity, urls
+from sightline.llm import alignment, bpe, dialogues, fingerprints, language, nearcopies, packing, personal, phrases, search, toxicity, urls, windows
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -168,3 +168,11 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 @register("op12_alignment")
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
+LOWER_WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op13_windows")
+def op13_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.pack(table(spark, sf_dir, "documents"), LOWER_WORDS, END_ID)
