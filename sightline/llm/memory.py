@@ -79,18 +79,24 @@ class Memory:
 class Spans:
     """Texts as one array of code points, cut into pieces, the equal ones found.
 
-    `split` marks where pieces begin in an array of code points in which gaps stand between texts.
+    `split` marks where pieces begin in an array of code points in which gaps stand between texts. Pieces that begin with
+    one of `skip` are left out. `lower` makes A-Z lower-case, but not before a combining mark.
     """
 
-    def __init__(self, texts: list[str], split: Callable[[np.ndarray], np.ndarray]):
+    def __init__(self, texts: list[str], split: Callable[[np.ndarray], np.ndarray], skip: str = "", lower: bool = False):
         self.joined = "\x00".join(texts)
         lengths = np.array([len(t) for t in texts], np.int64)
         self.units = code_points(self.joined).copy()
+        if lower:
+            large = (self.units - np.uint32(0x41)) < 26
+            large[:-1] &= self.units[1:] < 0x300
+            self.units[large] += 32
+            self.joined = self.units.tobytes().decode("utf-32-le", "surrogatepass")
         self.units[(np.cumsum(lengths + 1) - 1)[:-1]] = GAP
         self.firsts = np.cumsum(lengths + 1) - lengths - 1
         starts = np.flatnonzero(split(self.units))
         ends = np.append(starts[1:], len(self.units))
-        real = self.units[starts] != GAP
+        real = ~np.isin(self.units[starts], [GAP, *map(ord, skip)])
         self.starts, self.ends = starts[real], ends[real]
         hashes = span_hashes(self.units, self.starts, self.ends)
         self.hashes, self.one, self.number = np.unique(hashes, return_index=True, return_inverse=True)

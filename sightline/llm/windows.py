@@ -9,8 +9,8 @@ The windows are then near-equal; as pieces may be cut, the emptiest are taken ap
 token. A group is a whole number of windows, so nothing is left, but in the last one: what is left there becomes
 sequences whose lengths are different powers of two, which need no padding.
 
-Tokens. Words are cut off before single spaces between two characters that are no white space, where no token of a
-tokenizer that splits at white space can span; each distinct word is tokenized once and remembered.
+Tokens. The tokenizer must make its words lower-case and split them at white space and at punctuation. Words without
+white space, and the punctuation after their letters, are tokenized once and remembered.
 
 Defined results: a null text is an empty one, whose only id is the closing id. Repeated rows are packed each. Other
 columns of the documents are not read.
@@ -32,12 +32,21 @@ from tokenizers import Tokenizer
 
 from sightline.llm.blocks import grouped
 from sightline.llm.bpe import safe_pieces
-from sightline.llm.memory import Memory, Spans, text_slices, word_starts
+from sightline.llm.memory import GAP, Memory, Spans, text_slices
 from sightline.session import materialize
 
 CAPACITY = 4096
 GROUP = 64  # windows that a task packs together
 
+KEPT = 500_000  # pieces that a worker remembers
+_BLANKS = " \t\n\r"
+_BLANK, _LETTER, _STOP, _GAP = 1, 2, 3, 4
+_KINDS = np.zeros(GAP + 1, np.uint8)
+_KINDS[[ord(c) for c in _BLANKS]] = _BLANK
+_KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KINDS[[ord(c) for c in ",.;:!?"]] = _STOP
+_KINDS[GAP] = _GAP
+
 Partition = list[tuple[int, object]]  # windows that hold anything, the fullest first: tokens, and what is in them
 
 
@@ -124,12 +133,22 @@ def filled(lengths: list[int], capacity: int = CAPACITY) -> list[list[tuple[int,
     return out
 
 
+def piece_starts(units: np.ndarray) -> np.ndarray:
+    """Where pieces begin: blanks, what follows them, and punctuation after a letter."""
+    kind = _KINDS[units]
+    start = kind == _GAP
+    start[:1] = True
+    before, after = kind[:-1], kind[1:]
+    start[1:] |= (before == _GAP) | ((before == _BLANK) != (after == _BLANK)) | ((before == _LETTER) & (after == _STOP))
+    return start
+
+
 @functools.cache
 def worker_words(path: str) -> tuple[Memory, str]:
     """One per Python worker, which runs many tasks; and the type that holds an id."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
     tokenizer = Tokenizer.from_file(path)
-    memory = Memory(lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+    memory = Memory(lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)], KEPT)
     return memory, "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
 
@@ -145,7 +164,9 @@ def tokenized(docs: DataFrame, path: str, end_id: int, longest: int, text: str =
         for batch, texts in (x for whole in batches for x in text_slices(whole, 1)):
             for a, b in grouped(texts):
                 cut = [list(safe_pieces(t)) for t in texts[a:b]]
-                ids, bound = Spans([p for c in cut for p in c], word_starts).ids(memory)
+                own = [p for c in cut for p in c]
+                # a special token's string is one in lower case only
+                ids, bound = Spans(own, piece_starts, skip=_BLANKS, lower=not any("<|" in t for t in own)).ids(memory)
                 ends = bound[np.cumsum([len(c) for c in cut])]
                 ids = np.insert(ids, ends, end_id).astype(width)
                 ends = ends + np.arange(1, len(ends) + 1)

@@ -240,7 +240,7 @@ def test_filled_sequences_hold_every_token_once(capacity):
 
 
 def test_windows_against_the_tokenizer(spark):
-    texts = odd_texts(400, 5, ["<|startoftext|>"]) + ["", None, " ", "word " * 9000, "x" * 5000, " " * 3000 + "b", "ab\n" * 3000]
+    texts = odd_texts(400, 5, ["<|startoftext|>"]) + odd_texts(600, 6, ["T", "̈", "AB", "x,", "I", "̇", "'", "?!"]) + ["<|ENDOFTEXT|> A", "A <|endoftext|>,b", "", None, " ", "word " * 9000, "x" * 5000, " " * 3000 + "b", "ab\n" * 3000]
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, length int").repartition(3)
     got = windows.pack(docs, LOWER_WORDS, 2, capacity=64, group=8, ids=True).collect()
     tokenizer, of, sequences = Tokenizer.from_file(LOWER_WORDS), defaultdict(list), defaultdict(list)
