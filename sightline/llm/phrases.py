@@ -10,11 +10,11 @@ right counts; a phrase without its last or without its first word meets the same
 counts. Both sides of each join are sorted streams that are read in lockstep (merge joins, no hash tables). One word
 more on either side is enough for the extensions: a longer phrase holds such an extension, which is at least as frequent.
 
-Pruning. A phrase is only as frequent as each pair of neighbours in it. A first pass therefore counts all words and
-pairs in cells of a large table (2**32 cells, cut into buckets that are added up one after the other, whatever the
-size of the corpus). Cells below the least count hold no frequent phrase; the others are marked in a bitmap of fixed
-size, and the second pass forms phrases of marked words and pairs only. Different words that share a cell or a bit cost
-work and change nothing, as the second pass counts the phrases themselves.
+Pruning. A phrase is only as frequent as each part of it. A first pass therefore counts all words and pairs in cells of
+a large table (2**32 cells, cut into buckets that are added up one after the other, whatever the size of the corpus).
+Cells below the least count hold no frequent phrase; the others are marked in a bitmap of fixed size. A second pass does
+the same for the longer phrases whose pairs are all marked, and the third counts the phrases that are marked themselves.
+Different words that share a cell or a bit cost work and change nothing, as the third pass counts the phrases themselves.
 
 Defined results: a null text is empty and a null language is `und`. A-Z are lower-cased. Repeated rows count each. A
 language without candidates has no row. Ties of scores go to the smaller k; ranks are by score and count, descending,
@@ -41,7 +41,7 @@ UNKNOWN = "und"
 BLOCK = 1 << 20  # bytes worked on at once
 BUCKET = 1 << 20  # cells of a bucket: 2**32 cells in 4,096 buckets
 MARKS = 1 << 27  # bits of the bitmap: 16 MB
-FLUSH = 1 << 22  # keys that a task holds before it sends their counts
+FLUSH = 1 << 23  # keys that a task holds before it sends their counts
 _BLANK, _STOP = 1, 2
 _KINDS = np.zeros(256, np.uint8)
 _KINDS[[0x20, 0x09]] = _BLANK
@@ -79,8 +79,6 @@ class Words:
         self.joined = np.append(piece[1:] == piece[:-1], False)  # is the next word in the same piece?
         salt = np.uint64(int.from_bytes(hashlib.blake2b(lang.encode("utf-8", "replace"), digest_size=8).digest(), "little"))
         self.keys = mix(span_hashes(units, starts, ends) + salt)
-        after = np.append(self.keys[1:], np.uint64(0)) if len(starts) else self.keys
-        self.pairs = mix(self.keys * _STEP + after)
         # the words alone, one blank after each: a phrase is a slice
         mask = kind == 0
         mask[ends] = True
@@ -89,6 +87,19 @@ class Words:
         self.starts = self.ends - (ends - starts)
         self.units[self.ends] = 0x20
 
+    def grams(self, bitmap: np.ndarray | None, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each number of words: keys of the phrases that begin at the words, and where those begin that the texts
+        own. With a bitmap, phrases of three words and more begin only where their pairs are marked."""
+        key, begins, linked = self.keys, self.own, self.joined
+        for k in range(1, longest + 1):
+            if k > 1:
+                ahead = lambda x, by: np.append(x[by:], np.zeros(min(by, len(x)), x.dtype))
+                key = mix(key * _STEP + ahead(self.keys, k - 1))
+                if k == 2 and bitmap is not None:
+                    linked = linked & _marked(bitmap, key)
+                begins = begins & ahead(linked, k - 2)
+            yield k, key, np.flatnonzero(begins)
+
     def phrases(self, at: np.ndarray, words: int) -> pa.Array:
         """The phrases of so many words that begin at the given words."""
         start = self.starts[at]
@@ -108,8 +119,8 @@ def _blocks(batches, size: int = BLOCK) -> Iterator[tuple[str, Words]]:
                 yield lang, Words(own[a:b], lang)
 
 
-def _cells(batches, least: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the cells of all words and pairs, in sorted runs: a bucket, its cells, and their counts (up to the least)."""
+def _cells(batches, least: int, shortest: int, longest: int, bitmap: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Counts of the cells of the phrases of so many words, in sorted runs: a bucket, its cells, and their counts (up to the least)."""
     held, size = [], 0
 
     def sent() -> Iterator[pa.RecordBatch]:
@@ -126,9 +137,10 @@ def _cells(batches, least: int) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "cells", "counts"])
 
     for _, words in _blocks(batches):
-        for keys in (words.keys[words.own], words.pairs[words.own & words.joined]):
-            held.append((keys >> np.uint64(32)).astype(np.uint32))
-            size += len(keys)
+        for k, keys, at in words.grams(bitmap, longest):
+            if k >= shortest:
+                held.append((keys[at] >> np.uint64(32)).astype(np.uint32))
+                size += len(at)
         if size > FLUSH:
             yield from sent()
             held, size = [], 0
@@ -166,17 +178,13 @@ def _marked(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches, bitmap: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
-    """(lang, words, phrase, n) of every block: all words (0, without a phrase), and phrases of marked words and pairs."""
+    """(lang, words, phrase, n) of every block: all words (0, without a phrase), and the marked phrases."""
     for lang, words in _blocks(batches):
         out = [(0, pa.array([""]), pa.array([int(words.own.sum())]))]
-        begins = words.own & _marked(bitmap, words.keys)
-        linked = words.joined & _marked(bitmap, words.pairs)
-        for k in range(1, longest + 1):
-            if k > 1:
-                begins = begins & np.append(linked[k - 2 :], np.zeros(min(k - 2, len(linked)), bool))
-            at = np.flatnonzero(begins)
+        for k, keys, at in words.grams(bitmap, longest):
+            at = at[_marked(bitmap, keys[at])]
             if not len(at):
-                break
+                continue
             found = pa.compute.value_counts(words.phrases(at, k))
             out.append((k, found.field("values"), found.field("counts")))
         for k, phrase, n in out:
@@ -188,16 +196,23 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, t
     """(lang, words, phrase, n): every phrase that occurs `least` times, and under 0 words the number of all words."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("t"))
-    cells = rows.mapInArrow(lambda batches: _cells(batches, least), "bucket int, cells binary, counts binary")
-    marks = cells.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda batches: _marks(batches, least), "bucket int, bits binary")
-    width = MARKS * BUCKET // (1 << 32) // 8
-    bitmap = np.zeros(MARKS // 8, np.uint8)
-    for row in marks.collect():  # at most 16 MB, whatever the corpus
-        bitmap[row.bucket * width : (row.bucket + 1) * width] = np.frombuffer(row.bits, np.uint8)
-    shared = spark.sparkContext.broadcast(bitmap)
+
+    def marked(shortest: int, longest: int, known) -> np.ndarray:
+        """The bitmap of the phrases of so many words, beside those that are known."""
+        cells = rows.mapInArrow(lambda batches: _cells(batches, least, shortest, longest, known and known.value), "bucket int, cells binary, counts binary")
+        marks = cells.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda batches: _marks(batches, least), "bucket int, bits binary")
+        width, bitmap = MARKS * BUCKET // (1 << 32) // 8, known.value.copy() if known else np.zeros(MARKS // 8, np.uint8)
+        for row in marks.collect():  # at most 16 MB, whatever the corpus
+            bitmap[row.bucket * width : (row.bucket + 1) * width] |= np.frombuffer(row.bits, np.uint8)
+        return bitmap
+
+    short = spark.sparkContext.broadcast(marked(1, min(2, longest), None))
+    shared = spark.sparkContext.broadcast(marked(3, longest, short)) if longest > 2 else short
     counted = rows.mapInArrow(lambda batches: _counted(batches, shared.value, longest), "lang string, words int, phrase string, n long")
     found = materialize(counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where((F.col("words") == 0) | (F.col("n") >= least)), "phrase-counts")
-    shared.destroy()
+    short.destroy()
+    if shared is not short:
+        shared.destroy()
     return found
 
 
