@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.catalog import fixtures as fx
@@ -12,7 +14,7 @@ from sightline.operators import detection, head, hooks, hybrid, zeroshot
 from sightline.operators.dataset import fit_label_encoder
 from sightline.session import materialize, shared_dir, spread
 from sightline.sources import sinks
-from sightline.sources.tables import read_prompt_bank
+from sightline.sources.tables import read_head, read_prompt_bank
 
 TIES = ["l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -189,8 +191,8 @@ def topk_categories(spark, d):
     "SELECT vec_id, CAST(r AS INTEGER) AS rank, CAST(category_idx AS INTEGER) AS category_idx, round(score, 6) AS score FROM fx_ranked WHERE r <= 2",
 )
 def topk_blocked(spark, d):
-    """The same result by the plan for banks too large to broadcast: blocks of 8 KiB."""
-    best = zeroshot.topk_categories(fx.embeddings(spark, d), fx.bank(spark, d), max_bank_bytes=8 << 10)
+    """The same result with a bank in slices of 8 KiB."""
+    best = zeroshot.topk_categories(fx.embeddings(spark, d), fx.bank(spark, d), slice_bytes=8 << 10)
     return best.withColumn("score", r6("score"))
 
 
@@ -229,15 +231,13 @@ def embed_batches(spark, d):
 
 @register(
     "detect_batches",
-    """SELECT image_id, CAST(i AS INTEGER) AS box_id, CAST(image_id % 97 + i AS DOUBLE) AS xmin, CAST(image_id % 53 + 2 * i AS DOUBLE) AS ymin,
-  CAST(image_id % 97 + i + 10 + i AS DOUBLE) AS xmax, CAST(image_id % 53 + 2 * i + 20 + i AS DOUBLE) AS ymax, CAST(image_id % 7 + i AS DOUBLE) / 100 AS confidence, false AS failed
-FROM (SELECT o_orderkey AS image_id, unnest(range(o_orderkey % 5)) AS i FROM orders WHERE o_orderkey % 101 <> 0) t
-UNION ALL SELECT o_orderkey, 0, NULL::DOUBLE, NULL, NULL, NULL, NULL, true FROM orders WHERE o_orderkey % 101 = 0""",
+    """SELECT doc_id AS image_id, CAST(i AS INTEGER) AS box_id, CAST(x + i AS DOUBLE) AS xmin, CAST(y + 2 * i AS DOUBLE) AS ymin,
+  CAST(x + 2 * i + w AS DOUBLE) AS xmax, CAST(y + 3 * i + h AS DOUBLE) AS ymax, CAST(c + i AS DOUBLE) / 100 AS confidence, false AS failed FROM fx_text_boxes
+UNION ALL SELECT doc_id, 0, NULL::DOUBLE, NULL, NULL, NULL, NULL, true FROM fx_letters WHERE CAST(v[1] AS BIGINT) % 101 = 0""",
 )
 def detect_batches(spark, d):
-    orders = spread(fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("image_id")))
-    images = orders.withColumn("boxes", F.col("image_id") % 5)
-    rows = hooks.detect_batches(images, fx.grid_detector, ["image_id"], batch_size=1024)
+    """Boxes by the content of each document."""
+    rows = hooks.detect_batches(document_images(spark, d), fx.text_detector, ["image_id"], batch_size=1024)
     box = [F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("xmin", "ymin", "xmax", "ymax", "confidence")]
     return rows.select("image_id", "box_id", *box, F.col("error").isNotNull().alias("failed"))
 
@@ -262,14 +262,19 @@ def build_prompt_bank(spark, d):
 
 
 def document_images(spark, d):
-    """Documents as images: their text is the picture, up to three boxes by their key."""
-    return spread(fx.table(spark, d, "documents")).select(
-        F.col("doc_id").alias("image_id"),
-        "text",
-        (F.col("doc_id") % 4).cast("int").alias("boxes"),
-        F.lit(fx.WIDTH).alias("img_w"),
-        F.lit(fx.HEIGHT).alias("img_h"),
-    )
+    """Documents as images: their text is the picture."""
+    size = [F.lit(fx.WIDTH).alias("img_w"), F.lit(fx.HEIGHT).alias("img_h")]
+    return spread(fx.table(spark, d, "documents")).select(F.col("doc_id").alias("image_id"), "text", *size)
+
+
+def type_head(spark, d) -> tuple[head.Head, DataFrame]:
+    """A stored head that scores each part type by the letters of its name, read back with its classes."""
+    names = fx.type_encoder(spark, d).withColumn("text", F.lower("label"))
+    encoded = hooks.embed_batches(names, fx.letter_encoder, normalize=True).orderBy("label_idx").select("embedding").collect()
+    weights = np.array([r["embedding"] for r in encoded], dtype=np.float64).T
+    path = shared_dir(spark, "head")
+    sinks.write_head(head.Head([weights], [np.zeros(weights.shape[1])], [], []), names, path)
+    return read_head(spark, path)
 
 
 def predicted_documents(spark, d, rows=None):
@@ -277,34 +282,27 @@ def predicted_documents(spark, d, rows=None):
     path = shared_dir(spark, "prompt_bank")
     sinks.write_prompt_bank(prompt_bank(spark, d), path)
     stored = spark.read.parquet(path)
-    names = [r["category"] for r in stored.filter("template_idx = 0").orderBy("category_idx").collect()]
-    classes = [r["label"] for r in fx.type_encoder(spark, d).orderBy("label_idx").collect()]
+    net, classes = type_head(spark, d)
     return hybrid.hybrid_predict(
         document_images(spark, d) if rows is None else rows,
-        fx.grid_detector,
+        fx.text_detector,
         fx.letter_encoder,
         zeroshot.load_bank(stored),
-        [n.lower() for n in names],
-        head.random_head(16, len(classes), seed=7),
+        stored.filter("template_idx = 0"),
+        net,
         classes,
         keep=["image_id"],
+        synonyms=fx.synonyms(spark, d),
     )
 
 
-@register(
-    "hybrid_predict",
-    """SELECT doc_id AS image_id, max(CASE WHEN r = 1 THEN lower(category) END) AS mobileclip_top1, max(CASE WHEN r = 2 THEN lower(category) END) AS mobileclip_top2,
-  doc_id % 4 > 0 AS yolo_detected, true AS has_class FROM
-(SELECT doc_id, category_idx, category, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, category_idx) AS r FROM
- (SELECT doc_id, category_idx, category, max(list_sum(list_transform(list_zip(l.v, vec), lambda p: p[1] / norm * p[2]))) AS score
-  FROM (SELECT doc_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM fx_letters) l, fx_prompt_bank
-  WHERE norm > 0 AND doc_id % 101 <> 0 GROUP BY doc_id, category_idx, category) s) t WHERE r <= 2 GROUP BY doc_id""",
-)
+HYBRID = ["image_id", "mobileclip_top1", "mobileclip_top2", "classifier_pred", "yolo_detected"]
+
+
+@register("hybrid_predict", f"SELECT {', '.join(HYBRID)} FROM fx_hybrid")
 def hybrid_predict(spark, d):
-    good = predicted_documents(spark, d).filter("error IS NULL")
-    return good.select(
-        "image_id", "mobileclip_top1", "mobileclip_top2", "yolo_detected", F.col("classifier_pred").isNotNull().alias("has_class")
-    )
+    """Detect, crop, embed, the two best categories by their dataset labels, and the head's class."""
+    return predicted_documents(spark, d).filter("error IS NULL").select(*HYBRID)
 
 
 @register("score_head")
@@ -318,3 +316,18 @@ def score_head(spark, d):
         r6(F.array_max("logits")).alias("top_logit"),
         r6(F.array_max(vectors.softmax(F.col("logits")))).alias("top_prob"),
     )
+
+
+@register(
+    "score_linear_head",
+    """SELECT vec_id, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS class_idx, round(list_max(z), 6) AS top_logit, round(list_sum(list_transform(list_zip(z, range(1, 11)), lambda p: p[1] * p[2])), 5) AS checksum
+FROM (SELECT vec_id, list_transform(range(10), lambda c: list_sum(list_transform(list_zip(v, range(len(v))), lambda p: p[1] / norm * ((p[2] * 7 + c * 3) % 11 - 5) / 10)) + (c % 3) / 8::DOUBLE) AS z FROM fx_vectors WHERE norm > 0) t""",
+)
+def score_linear_head(spark, d):
+    """A head without hidden layers, of fixed weights."""
+    rows = fx.embeddings(spark, d)
+    width = rows.agg(F.max(F.size("embedding"))).first()[0]
+    weights = ((np.arange(width)[:, None] * 7 + np.arange(10) * 3) % 11 - 5) / 10
+    scored = head.score_head(rows, head.Head([weights], [np.arange(10) % 3 / 8], [], [])).filter("logits IS NOT NULL")
+    weighed = vectors.total(F.transform("logits", lambda x, i: x * (i + 1)))
+    return scored.select("vec_id", vectors.argmax(F.col("logits")).alias("class_idx"), r6(F.array_max("logits")).alias("top_logit"), F.round(weighed, 5).alias("checksum"))

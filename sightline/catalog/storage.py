@@ -14,10 +14,10 @@ from sightline.catalog.views import POSITIONAL_ID, PREFIX
 from sightline.functions import paths, vectors
 from sightline.operators import hooks, labels, metrics
 from sightline.operators.labels import resolve_labels
-from sightline.plans.embedding import extract_embeddings
+from sightline.plans.embedding import extract_embeddings, run_manifest
 from sightline.plans.preparation import prepare
 from sightline.schemas import PREDICTION_FIELDS
-from sightline.session import shared_dir, spread
+from sightline.session import materialize, shared_dir, spread
 from sightline.sources import documents, sinks, tables
 
 DOCUMENT_ROWS = 20_000  # entries per written document
@@ -137,6 +137,22 @@ def read_images(spark, d):
     )
 
 
+@register(
+    "read_manifest_images",
+    """SELECT CAST(page_id AS VARCHAR) || '.html' AS image_path, CASE WHEN page_id % 37 <> 0 THEN strlen(html) END AS length, CASE WHEN page_id % 37 <> 0 THEN md5(html) END AS digest,
+  CASE WHEN page_id % 37 = 0 THEN 'image not found' END AS failure FROM pages WHERE html IS NOT NULL""",
+)
+def read_manifest_images(spark, d):
+    """Pages as image files named by a manifest, some of which are missing."""
+    path = shared_dir(spark, "page_files")
+    name = F.concat(F.col("page_id").cast("string"), F.lit(".html"))
+    pages = spread(fx.table(spark, d, "pages").filter("html IS NOT NULL")).select("page_id", name.alias("image_path"), F.col("html").cast("binary").alias("content"))
+    materialize(sinks.write_images(pages.filter("page_id % 37 <> 0"), path), "written_images")
+    manifest = pages.select("image_path", F.concat(F.lit(f"{path}/"), "image_path").alias("uri"))
+    images = tables.read_manifest_images(manifest, task_bytes=1 << 20)
+    return images.select("image_path", "length", F.md5("content").alias("digest"), F.regexp_extract("read_error", "^[^:]+", 0).alias("failure"))
+
+
 def document_rows(spark, d) -> DataFrame:
     """Documents as images of seven batches, some with malformed paths."""
     batch = F.concat(F.lit("D"), (F.col("doc_id") % 7).cast("string"))
@@ -167,6 +183,35 @@ def extract_embeddings_query(spark, d):
     return good.select("batch_id", "image", "objectID", "label", F.size("embedding").alias("dim"), checksum("embedding").alias("checksum"))
 
 
+CROPPED = f"""SELECT split_part(image_path, '/', -1) AS image, m.object_id AS "objectID", CASE WHEN r.object_id IS NULL THEN 'UNKNOWN' ELSE r.label END AS label,
+  list_sum(list_transform(list_zip(v, range(1, 17)), lambda p: p[1] * p[2])) AS checksum, error
+FROM (SELECT p.image_path, {POSITIONAL_ID} AS object_id, CASE WHEN {POSITIONAL_ID} IS NOT NULL AND p.doc_id % 41 <> 0 THEN s.v END AS v,
+  CASE WHEN {POSITIONAL_ID} IS NULL THEN 'Unexpected filename format' WHEN p.doc_id % 41 = 0 THEN 'image not found' WHEN s.doc_id IS NULL THEN 'ValueError' END AS error
+  FROM fx_doc_paths p LEFT JOIN fx_seen_letters s ON s.doc_id = p.doc_id) m LEFT JOIN (SELECT * FROM fx_resolved WHERE mapped) r ON r.object_id = m.object_id"""
+
+
+@register(
+    "run_manifest",
+    f"""SELECT image, "objectID", label, checksum, CAST(NULL AS VARCHAR) AS error FROM ({CROPPED}) t WHERE error IS NULL
+UNION ALL SELECT image, NULL, NULL, NULL, error FROM ({CROPPED}) t WHERE error IS NOT NULL""",
+)
+def run_manifest_query(spark, d):
+    """From a manifest and image files to records and failures: read, detect, crop, embed, label."""
+    path = shared_dir(spark, "document_files")
+    rows = document_rows(spark, d).filter("text IS NOT NULL")
+    files = rows.filter("doc_id % 41 <> 0").select("image_path", F.col("text").alias("content"))
+    materialize(sinks.write_images(files, path), "written_images")
+    manifest = rows.select(F.col("doc_id").alias("pos"), "image_path", F.concat(F.lit(f"{path}/"), "image_path").alias("uri"))
+    decode = lambda images: images.select(
+        "pos", "image_path", "read_error", F.decode("content", "UTF-8").alias("text"), F.lit(fx.WIDTH).alias("img_w"), F.lit(fx.HEIGHT).alias("img_h")
+    )
+    records, failures = run_manifest(manifest, classifier_labels(spark, d), fx.letter_encoder, fx.text_detector, prepare=decode)
+    good = records.select("image", "objectID", "label", checksum("embedding").alias("checksum"), F.lit(None).cast("string").alias("error"))
+    short = F.regexp_extract("error", r"^[^:(]+", 0)
+    bad = failures.select(F.element_at(F.split("image", "/"), -1).alias("image"), short.alias("error"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @register("write_embeddings", EMBEDDED)
 def write_embeddings(spark, d):
     """Written by batch, then read back with the batch taken from the folder name."""

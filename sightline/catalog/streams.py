@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from sightline.catalog import fixtures as fx
 from sightline.catalog.evaluation import HYBRID_RATES, hybrid_sql, rounded
 from sightline.catalog.registry import register
-from sightline.catalog.scoring import document_images, predicted_documents
+from sightline.catalog.scoring import HYBRID, document_images, predicted_documents
 from sightline.catalog.views import POSITIONAL_ID
-from sightline.functions import outcomes
 from sightline.session import shared_dir
 from sightline.streaming import jobs
 
@@ -56,10 +55,10 @@ def stream_metrics(spark, d):
     return rounded(jobs.finish_metrics(jobs.latest_state(spark, f"{base}/out")), HYBRID_RATES)
 
 
-@register("stream_predictions")
+@register("stream_predictions", f"SELECT {', '.join(HYBRID)} FROM fx_hybrid")
 def stream_predictions(spark, d):
+    """The file sink's log names the files of finished batches, so a repeated batch adds nothing twice."""
     rows, base = as_stream(spark, document_images(spark, d), "stream_predictions")
     predict = lambda stream: predicted_documents(spark, d, stream)
     finish(jobs.stream_predictions(rows, predict, f"{base}/out", f"{base}/checkpoint"))
-    good = spark.read.parquet(f"{base}/out").filter("error IS NULL")
-    return good.select("image_id", F.array_join(outcomes.hybrid_candidates(), "|").alias("candidates"), "yolo_detected")
+    return spark.read.parquet(f"{base}/out").filter("error IS NULL").select(*HYBRID)

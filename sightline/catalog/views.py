@@ -111,6 +111,24 @@ FROM lineitem WHERE l_orderkey % 19 <> 0""",
   CAST(list_transform(v, lambda x: CAST(x / sqrt(list_sum(list_transform(v, lambda y: y * y))) AS FLOAT)) AS DOUBLE[]) AS vec FROM fx_prompt_counts""",
     "fx_doc_paths": """SELECT doc_id, text, CASE WHEN doc_id % 31 = 0 THEN concat('D', CAST(doc_id % 7 AS VARCHAR), '/broken.png')
   ELSE concat('D', CAST(doc_id % 7 AS VARCHAR), '/D', CAST(doc_id % 7 AS VARCHAR), '_', CAST(doc_id % 3000 AS VARCHAR), '-B_IM', CAST(doc_id AS VARCHAR), '.png') END AS image_path FROM documents""",
+    "fx_text_boxes": f"""SELECT doc_id, text, n, unnest(range(n)) AS i, x, y, w, h, c FROM (SELECT doc_id, text, CAST(v[2] AS BIGINT) % 4 AS n, CAST(v[3] AS BIGINT) % 90 AS x, CAST(v[4] AS BIGINT) % 60 AS y,
+  10 + CAST(v[5] AS BIGINT) % 50 AS w, 20 + CAST(v[6] AS BIGINT) % 40 AS h, CAST(v[7] AS BIGINT) % 7 AS c FROM fx_letters WHERE CAST(v[1] AS BIGINT) % 101 <> 0) t""",
+    "fx_crops": """SELECT doc_id, text, b.doc_id IS NOT NULL AS detected,
+  coalesce(greatest(0, CAST(trunc((x + i) - (w + i) * 0.2::DOUBLE) AS BIGINT)), 0) AS x0, coalesce(least(200, CAST(trunc((x + i + w + i) + (w + i) * 0.2::DOUBLE) AS BIGINT)), 200) AS x1
+  FROM fx_letters l LEFT JOIN (SELECT doc_id, x, y, w, h, i FROM fx_text_boxes WHERE i = n - 1) b USING (doc_id) WHERE CAST(l.v[1] AS BIGINT) % 101 <> 0""",
+    "fx_seen": "SELECT doc_id, detected, substr(text, (length(text) * x0) // 200 + 1, (length(text) * x1) // 200 - (length(text) * x0) // 200) AS seen FROM fx_crops",
+    "fx_seen_letters": f"SELECT doc_id, detected, {letter_counts('seen')} AS v FROM fx_seen",
+    "fx_type_counts": f"SELECT label_idx, label, {letter_counts('lower(label)')} AS v FROM fx_encoder",
+    "fx_type_vectors": "SELECT label_idx, label, CAST(list_transform(v, lambda x: CAST(x / sqrt(list_sum(list_transform(v, lambda y: y * y))) AS FLOAT)) AS DOUBLE[]) AS vec FROM fx_type_counts",
+    "fx_hybrid": """SELECT z.doc_id AS image_id, mobileclip_top1, mobileclip_top2, classifier_pred, detected AS yolo_detected FROM
+ (SELECT doc_id, detected, max(CASE WHEN r = 1 THEN name END) AS mobileclip_top1, max(CASE WHEN r = 2 THEN name END) AS mobileclip_top2 FROM
+  (SELECT doc_id, detected, replace(trim(lower(coalesce(canonical, s.category))), '_', ' ') AS name, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, category_idx) AS r FROM
+   (SELECT doc_id, detected, category_idx, category, max(list_sum(list_transform(list_zip(l.v, vec), lambda p: p[1] / norm * p[2]))) AS score
+    FROM (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM fx_seen_letters) l, fx_prompt_bank WHERE norm > 0 GROUP BY ALL) s
+   LEFT JOIN fx_synonyms y ON y.category = replace(trim(lower(s.category)), '_', ' ')) t GROUP BY doc_id, detected) z JOIN
+ (SELECT doc_id, label AS classifier_pred FROM
+  (SELECT doc_id, label, row_number() OVER (PARTITION BY doc_id ORDER BY round(list_sum(list_transform(list_zip(l.v, vec), lambda p: p[1] / norm * p[2])), 9) DESC, label_idx) AS r
+   FROM (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM fx_seen_letters) l, fx_type_vectors WHERE norm > 0) t WHERE r = 1) c ON c.doc_id = z.doc_id""",
 }
 
 

@@ -106,6 +106,11 @@ def train_linear_head(df: DataFrame, weights: DataFrame, max_iter: int = 100, re
     return estimator.fit(features)
 
 
+def linear_head(model: LogisticRegressionModel) -> Head:
+    """A fitted linear model as a head without hidden layers, so that one stage scores both kinds."""
+    return Head([model.coefficientMatrix.toArray().T.copy()], [model.interceptVector.toArray().copy()], [], [])
+
+
 def score_linear_head(df: DataFrame, model: LogisticRegressionModel, vector: str = "embedding", out: str = "logits") -> DataFrame:
     vectors = df.withColumn("__features", array_to_vector(F.col(vector).cast("array<double>")))
     scored = model.setFeaturesCol("__features").setRawPredictionCol("__raw").setProbabilityCol("").setPredictionCol("")

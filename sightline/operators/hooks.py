@@ -15,7 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sightline.functions.boxes import DEFAULT_EXPANSION
+from sightline.operators import numeric
+
 BATCH_SIZE = 64
+CROP = ["crop_xmin", "crop_ymin", "crop_xmax", "crop_ymax"]
 
 Encoder = Callable[[pd.DataFrame], np.ndarray]
 Detector = Callable[[pd.DataFrame], list]
@@ -54,11 +58,42 @@ def isolate(call: Callable[[pd.DataFrame], list], batch: pd.DataFrame) -> tuple[
         return left[0] + right[0], left[1] + right[1]
 
 
-def embed_batches(df: DataFrame, factory: Callable[[], Encoder], batch_size: int = BATCH_SIZE, normalize: bool = False, drop: tuple[str, ...] = ()) -> DataFrame:
+def cropped(detector: Detector, batch: pd.DataFrame, width: str, height: str, expansion: float) -> tuple[pd.DataFrame, np.ndarray, list]:
+    """The readable rows with the region of their best box (CROP), a flag per row whether there was one, and errors.
+
+    A row without boxes keeps the whole image as its region.
+    """
+
+    def locate(part: pd.DataFrame) -> list:
+        found = [np.asarray(b, dtype=float).reshape(-1, 5) for b in detector(part)]
+        size = [part[c].to_numpy(dtype=float) for c in (width, height)]
+        return list(zip(*numeric.best_boxes(found, *size, expansion)))
+
+    located, errors = isolate(locate, batch)
+    good = np.array([e is None for e in errors], dtype=bool)
+    region = np.array([r for r, _ in (x for x in located if x is not None)], dtype=np.int32).reshape(-1, 4)
+    detected = np.array([x is not None and bool(x[1]) for x in located], dtype=bool)
+    rows = batch[good].reset_index(drop=True)
+    return pd.concat([rows, pd.DataFrame(region, columns=CROP)], axis=1), detected, errors
+
+
+def embed_batches(
+    df: DataFrame,
+    factory: Callable[[], Encoder],
+    batch_size: int = BATCH_SIZE,
+    normalize: bool = False,
+    drop: tuple[str, ...] = (),
+    detector_factory: Callable[[], Detector] | None = None,
+    width: str = "img_w",
+    height: str = "img_h",
+    expansion: float = DEFAULT_EXPANSION,
+) -> DataFrame:
     """Add ``embedding`` and ``error``; the encoder sees frames of ``batch_size`` rows.
 
-    ``normalize`` scales to unit length; a zero vector is then a failed row. Stored training
-    embeddings are usually left as they are. ``drop`` names payload columns not to carry on.
+    With a detector, the encoder sees each batch with the crop region of every row, and a row that
+    the detector cannot read is a failed row. ``normalize`` scales to unit length; a zero vector is
+    then a failed row. Stored training embeddings are usually left as they are. ``drop`` names
+    payload columns not to carry on.
     """
     kept = [f for f in df.schema.fields if f.name not in drop]
     schema = T.StructType(
@@ -68,6 +103,7 @@ def embed_batches(df: DataFrame, factory: Callable[[], Encoder], batch_size: int
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = factory()
+        detector = detector_factory and detector_factory()
 
         def call(part: pd.DataFrame) -> list:
             vectors = np.asarray(encoder(part), dtype=np.float32)
@@ -79,7 +115,14 @@ def embed_batches(df: DataFrame, factory: Callable[[], Encoder], batch_size: int
             return list(vectors)
 
         for batch in rebatch(frames, batch_size):
-            results, errors = isolate(call, batch)
+            if detector is None:
+                results, errors = isolate(call, batch)
+            else:
+                crops, _, errors = cropped(detector, batch, width, height, expansion)
+                good = [i for i, e in enumerate(errors) if e is None]
+                results = [None] * len(batch)
+                for i, result, error in zip(good, *(isolate(call, crops) if good else ([], []))):
+                    results[i], errors[i] = result, error
             out = batch[names].copy()
             out["embedding"] = pd.Series(results, index=out.index, dtype=object)
             out["error"] = pd.Series(errors, index=out.index, dtype=object)

@@ -38,11 +38,12 @@ def unit_rows(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return matrix / np.where(has_norm, norms, 1.0)[:, None], has_norm
 
 
-def to_lists(matrix: np.ndarray, usable: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """Matrix rows as a list column; unusable rows are NULL."""
+def to_lists(matrix: np.ndarray, usable: np.ndarray, kind: pa.DataType, missing: float | None = None) -> pa.Array:
+    """Matrix rows as a list column; unusable rows and cells equal to ``missing`` are NULL."""
     widths = np.where(usable, matrix.shape[1], 0)
     offsets = np.concatenate([[0], np.cumsum(widths)]).astype(np.int32)
-    values = pa.array(np.ascontiguousarray(matrix[usable]).ravel(), type=kind)
+    cells = np.ascontiguousarray(matrix[usable]).ravel()
+    values = pa.array(cells, type=kind, mask=None if missing is None else cells == missing)
     mask = pa.array(~usable)
     return pa.ListArray.from_arrays(pa.array(offsets), values, mask=mask)
 
@@ -81,6 +82,17 @@ def stable_top_k(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.take_along_axis(scores, order, axis=1)
 
 
+def merged_top(idx: np.ndarray, top: np.ndarray, more_idx: np.ndarray, more_top: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of two lists per row; a category in both counts with its better score. Equal scores go by index."""
+    both_idx, both_top = np.concatenate([idx, more_idx], axis=1), np.concatenate([top, more_top], axis=1)
+    same = idx[:, :, None] == more_idx[:, None, :]
+    worse = np.concatenate([(same & (top[:, :, None] < more_top[:, None, :])).any(axis=2), (same & (top[:, :, None] >= more_top[:, None, :])).any(axis=1)], axis=1)
+    both_top = np.where(worse, -np.inf, both_top)
+    width = min(k, both_idx.shape[1] - int(worse[:1].sum()))
+    order = np.lexsort((both_idx, -np.round(both_top, 9)), axis=1)[:, :width]
+    return np.take_along_axis(both_idx, order, axis=1), np.take_along_axis(both_top, order, axis=1)
+
+
 def best_boxes(found: list, widths: np.ndarray, heights: np.ndarray, expansion: float) -> tuple[np.ndarray, np.ndarray]:
     """Padded region of the most confident box per row and whether there was one; else the whole image.
 

@@ -1,12 +1,10 @@
 """Zero-shot classification: similarity of image vectors to a bank of prompt vectors.
 
-A bank is a table (category_idx, template_idx, vec). Its measured size decides the plan:
-
-* up to ``max_bank_bytes`` it is broadcast, and each batch of images is one matrix product - one
-  output row per image, no shuffle, no image-by-prompt rows;
-* a larger bank is cut into blocks, every image chunk meets every block, and the per-block top-k
-  are merged. A category among the k best overall is among the k best of the block that holds its
-  best prompt, so the result is the same.
+A bank is a table (category_idx, template_idx, vec) of any size. It is cut into slices of bounded size, each broadcast
+on its own. A task streams the slices past each batch of images and keeps a running maximum or a running top-k, so it
+holds one slice at a time, images stay where they are, and a batch is one matrix product per slice. A category among
+the k best overall is among the k best of the slice that holds its best prompt, so any cut gives the same result. An
+index without prompts is no category.
 """
 
 from __future__ import annotations
@@ -15,16 +13,15 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions.text import fill_template
 from sightline.operators import numeric
+from sightline.session import shared_dir
 
-MAX_BANK_BYTES = 64 << 20
-CHUNK_BYTES = 256 << 20
+SLICE_BYTES = 64 << 20
 
 
 def expand_prompts(categories: DataFrame, templates: Sequence[str]) -> DataFrame:
@@ -36,19 +33,20 @@ def expand_prompts(categories: DataFrame, templates: Sequence[str]) -> DataFrame
 
 @dataclass
 class Bank:
-    """A prompt bank small enough to hold: unit rows ordered by category."""
+    """Broadcast slices of a prompt bank: rows in the order of their categories, the categories, and each row's place
+    among those. Plain arrays, as broadcasts carry no class definitions."""
 
-    prompts: np.ndarray
-    owner: np.ndarray
+    slices: list
+    width: int
     categories: int
 
-    @property
-    def width(self) -> int:
-        return self.prompts.shape[1]
 
-    def parts(self) -> tuple:
-        """Plain arrays for a broadcast, which carries no class definitions; ``Bank(*parts)`` undoes it."""
-        return self.prompts, self.owner, self.categories
+def each_slice(slices: list) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The slices one after the other; of several, each is read anew from the executor's disk when its turn comes."""
+    for held in slices:
+        yield held.value
+        if len(slices) > 1:
+            held.__dict__.pop("_value", None)
 
 
 def bank_shape(bank: DataFrame) -> tuple[int, int, int]:
@@ -64,42 +62,63 @@ def bank_shape(bank: DataFrame) -> tuple[int, int, int]:
     return row["n"], row["hi"], row["c"]
 
 
-def load_bank(bank: DataFrame, max_bytes: int = MAX_BANK_BYTES) -> Bank:
-    """The bank as arrays; one larger than ``max_bytes`` is an error (``topk_categories`` takes any size)."""
+def load_bank(bank: DataFrame, slice_bytes: int = SLICE_BYTES) -> Bank:
+    """The bank in broadcast slices of about ``slice_bytes``. The driver holds one slice at a time."""
+    spark = bank.sparkSession
     rows, width, categories = bank_shape(bank)
-    if rows * width * 8 > max_bytes:
-        raise ValueError(f"a prompt bank of {rows * width * 8} bytes is over {max_bytes}: raise max_bytes or use topk_categories")
-    table = bank.select("category_idx", "template_idx", "vec").toArrow()
-    table = table.sort_by([("category_idx", "ascending"), ("template_idx", "ascending")])
-    prompts, usable = numeric.to_matrix(table["vec"].combine_chunks(), width)
-    if not usable.all():
-        raise ValueError("a prompt bank holds a missing value")
-    return Bank(prompts, table["category_idx"].to_numpy().astype(np.int64), int(categories))
+    count = -(-rows * width * 8 // slice_bytes)
+    if count > 1:
+        path = shared_dir(spark, "bank-slices")
+        number = F.pmod(F.xxhash64("category_idx", "template_idx"), F.lit(count)).cast("int")
+        cut = bank.select("category_idx", "template_idx", "vec", number.alias("slice")).repartition(count, "slice")
+        cut.write.partitionBy("slice").parquet(path)
+        bank = spark.read.parquet(path)
+    slices = []
+    for i in range(count):
+        part = (bank.filter(F.col("slice") == i) if count > 1 else bank).select("category_idx", "template_idx", "vec").toArrow()
+        if part.num_rows:
+            part = part.sort_by([("category_idx", "ascending"), ("template_idx", "ascending")])
+            prompts, usable = numeric.to_matrix(part["vec"].combine_chunks(), width)
+            if not usable.all():
+                raise ValueError("a prompt bank holds a missing value")
+            names, owner = np.unique(part["category_idx"].to_numpy().astype(np.int64), return_inverse=True)
+            slices.append(spark.sparkContext.broadcast((prompts, names, owner)))
+    return Bank(slices, width, int(categories))
 
 
 def score_prompts(df: DataFrame, bank: Bank, vector: str = "embedding", out: str = "scores", logit_scale: float | None = None) -> DataFrame:
-    """Add the array of best-template similarities by category; NULL for a zero or unusable vector."""
-    shared = df.sparkSession.sparkContext.broadcast(bank.parts())
+    """Add the array of best-template similarities by category index, NULL at an index without prompts.
+
+    The whole array is NULL for a zero or unusable vector.
+    """
+    slices, width, categories = bank.slices, bank.width, bank.categories
     factor = 1.0 if logit_scale is None else float(np.exp(logit_scale))
 
     @F.arrow_udf("array<double>")
     def similarity(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held = Bank(*shared.value)
         for batch in batches:
-            matrix, usable = numeric.to_matrix(batch, held.width)
+            matrix, usable = numeric.to_matrix(batch, width)
             unit, has_norm = numeric.unit_rows(matrix)
-            scores = numeric.best_prompt_scores(unit, held.prompts, held.owner, held.categories)
-            yield numeric.to_lists(scores * factor, usable & has_norm, pa.float64())
+            scores = np.full((len(unit), categories), -np.inf)
+            for prompts, names, owner in each_slice(slices):
+                scores[:, names] = np.maximum(scores[:, names], numeric.best_prompt_scores(unit, prompts, owner, len(names)))
+            yield numeric.to_lists(scores * factor, usable & has_norm, pa.float64(), missing=-np.inf)
 
     return df.withColumn(out, similarity(F.col(vector)))
 
 
-def topk_categories(df: DataFrame, bank: DataFrame, k: int = 2, key: str = "vec_id", vector: str = "embedding", max_bank_bytes: int = MAX_BANK_BYTES) -> DataFrame:
+def best_categories(unit: np.ndarray, slices: list, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and scores of the k best categories of each row, over all slices."""
+    idx, top = np.empty((len(unit), 0), np.int64), np.empty((len(unit), 0))
+    for prompts, names, owner in each_slice(slices):
+        found, scores = numeric.top_categories(unit, prompts, owner, len(names), k)
+        idx, top = numeric.merged_top(idx, top, names[found], scores, k)
+    return idx, top
+
+
+def topk_categories(df: DataFrame, bank: DataFrame, k: int = 2, key: str = "vec_id", vector: str = "embedding", slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The k best categories of each image: (key, rank, category_idx, score), ranks from 1."""
-    rows, width, _ = bank_shape(bank)
-    if rows * width * 8 > max_bank_bytes:
-        return topk_blocked(df, bank, k, key, vector, max_bank_bytes)
-    best = topk_arrays(df.select(key, vector), load_bank(bank, max_bank_bytes), k, vector)
+    best = topk_arrays(df.select(key, vector), load_bank(bank, slice_bytes), k, vector)
     ranked = best.select(key, F.posexplode("top").alias("r", "t"))
     return ranked.select(
         key, (F.col("r") + 1).alias("rank"), F.col("t.idx").alias("category_idx"), F.col("t.score").alias("score")
@@ -108,19 +127,17 @@ def topk_categories(df: DataFrame, bank: DataFrame, k: int = 2, key: str = "vec_
 
 def topk_arrays(df: DataFrame, bank: Bank, k: int = 2, vector: str = "embedding", out: str = "top") -> DataFrame:
     """Add the k best (idx, score) pairs as one array per row, computed in the same batch as the scores."""
-    shared = df.sparkSession.sparkContext.broadcast(bank.parts())
+    slices, width = bank.slices, bank.width
 
     @F.arrow_udf("struct<idx:array<int>,score:array<double>>")
     def best(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held = Bank(*shared.value)
-        names, owner = np.unique(held.owner, return_inverse=True)  # an index without prompts is no category
         for batch in batches:
-            matrix, usable = numeric.to_matrix(batch, held.width)
+            matrix, usable = numeric.to_matrix(batch, width)
             unit, has_norm = numeric.unit_rows(matrix)
-            idx, top = numeric.top_categories(unit, held.prompts, owner, len(names), k)
+            idx, top = best_categories(unit, slices, k)
             good = usable & has_norm
             yield pa.StructArray.from_arrays(
-                [numeric.to_lists(names[idx].astype(np.int32), good, pa.int32()), numeric.to_lists(top, good, pa.float64())],
+                [numeric.to_lists(idx.astype(np.int32), good, pa.int32()), numeric.to_lists(top, good, pa.float64())],
                 names=["idx", "score"],
             )
 
@@ -128,66 +145,6 @@ def topk_arrays(df: DataFrame, bank: Bank, k: int = 2, vector: str = "embedding"
     return scored.withColumn(out, F.arrays_zip(F.col("__best.idx"), F.col("__best.score"))).drop("__best")
 
 
-def topk_blocked(df: DataFrame, bank: DataFrame, k: int, key: str, vector: str, block_bytes: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """As ``topk_categories`` for a bank of any size; no broadcast.
-
-    Prompts are spread over blocks by hash, images over chunks by hash; a task holds one block and
-    one chunk, both of bounded size however few images or categories are hot. Images travel once per
-    block and prompts once per chunk. Prompts of one category may fall into several blocks, which the
-    final maximum undoes.
-    """
-    prompts, width, categories = bank_shape(bank)
-    blocks = max(1, -(-prompts * width * 8 // block_bytes))
-    images = df.select(F.col(key).alias("key"), F.col(vector).alias("img"))
-    chunks = max(1, -(-images.count() * width * 8 // chunk_bytes))
-    left = images.select(
-        "key",
-        "img",
-        F.pmod(F.xxhash64("key"), F.lit(chunks)).alias("chunk"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    )
-    right = bank.select(
-        "category_idx",
-        "vec",
-        F.pmod(F.xxhash64("category_idx", "template_idx"), F.lit(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))).alias("chunk"),
-    )
-
-    def meet(image_chunk: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"key": [], "category_idx": [], "score": []})
-        if image_chunk.empty or block.empty:
-            return empty
-        block = block.sort_values("category_idx", kind="stable")
-        matrix, usable = numeric.to_matrix(pa.array(image_chunk["img"], type=pa.list_(pa.float64())), width)
-        unit, has_norm = numeric.unit_rows(matrix)
-        names, owner = np.unique(block["category_idx"].to_numpy(), return_inverse=True)
-        bank_rows = np.stack(block["vec"].to_numpy()).astype(np.float64)
-        idx, top = numeric.top_categories(unit, bank_rows, owner, len(names), k)
-        good = usable & has_norm
-        return pd.DataFrame(
-            {
-                "key": np.repeat(image_chunk["key"].to_numpy()[good], idx.shape[1]),
-                "category_idx": names[idx[good]].ravel(),
-                "score": top[good].ravel(),
-            }
-        )
-
-    kind = images.schema["key"].dataType.simpleString()
-    partial = (
-        left.groupBy("block", "chunk")
-        .cogroup(right.groupBy("block", "chunk"))
-        .applyInPandas(meet, f"key {kind}, category_idx int, score double")
-    )
-    merged = partial.groupBy("key", "category_idx").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("key").orderBy(F.round("score", 9).desc(), "category_idx")
-    ranked = merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select(F.col("key").alias(key), "rank", "category_idx", "score")
-
-
 def best_template(scored: DataFrame, key: str = "vec_id") -> DataFrame:
     """Best score per image and category of a prompt-level score table (key, category_idx, template_idx, score)."""
     return scored.groupBy(key, "category_idx").agg(F.max("score").alias("score"))
-
-
-def category_name(idx: Column, names: Sequence[str]) -> Column:
-    return F.get(F.array(*[F.lit(n) for n in names]), idx)

@@ -6,10 +6,14 @@ one into several tasks, instead of a hash shuffle that would send it to one.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sightline.operators.head import Head, pack
 from sightline.schemas import PREDICTION_FIELDS
+from sightline.sources.tables import file_system
 
 FILE_ROWS = 1_000_000
 
@@ -59,6 +63,36 @@ def write_prepared(samples: DataFrame, weights: DataFrame, encoder: DataFrame, p
     encoder.agg(F.to_json(names).alias("value")).write.mode("overwrite").text(f"{path}/label_encoder")
 
 
+def write_head(head: Head, encoder: DataFrame, path: str) -> None:
+    """A head's weights, a row of an array per line, and the encoder (label_idx, label) of its classes."""
+    spark = encoder.sparkSession
+    rows = [(i, array.ndim, k, row.tolist()) for i, array in enumerate(pack(head)) for k, row in enumerate(np.atleast_2d(array))]
+    spark.createDataFrame(rows, "array int, dims int, row int, cells array<double>").write.mode("overwrite").parquet(f"{path}/weights")
+    encoder.select("label_idx", "label").write.mode("overwrite").parquet(f"{path}/classes")
+
+
+def write_images(images: DataFrame, path: str, name: str = "image_path", content: str = "content") -> DataFrame:
+    """Each row's bytes as a file below ``path``, written by the tasks to any file system that Arrow knows.
+
+    Returns (name, uri, length), which writes the files when it is stored. A repeated task replaces its own files.
+    """
+    kind = images.schema[name].dataType.simpleString()
+
+    def store(batches):
+        system, base = file_system(path)
+        for batch in batches:
+            names, contents = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for folder in {f"{base}/{n}".rsplit("/", 1)[0] for n in names}:
+                system.create_dir(folder)
+            for n, c in zip(names, contents):
+                with system.open_output_stream(f"{base}/{n}") as stream:
+                    stream.write(c)
+            columns = [batch.column(0), pa.array([f"{path}/{n}" for n in names]), pa.array([len(c) for c in contents], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[name, "uri", "length"])
+
+    return images.select(name, F.col(content).cast("binary")).mapInArrow(store, f"`{name}` {kind}, uri string, length long")
+
+
 def write_prompt_bank(bank: DataFrame, path: str) -> None:
     bank.write.mode("overwrite").parquet(path)
 

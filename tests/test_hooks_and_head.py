@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from sightline.functions import vectors
 from sightline.operators import head, hooks, hybrid, zeroshot
-from sightline.plans.embedding import extract_embeddings, run_extraction
+from sightline.plans.embedding import extract_embeddings, run_extraction, run_manifest
+from sightline.sources import sinks, tables
 
 
 def size_encoder(width=4):
@@ -88,23 +89,80 @@ def test_detector_rows(frame):
 
 
 def test_extraction(frame):
-    paths = ["BATCH1/BATCH1_OBJ1_IM0001.png", "BATCH1/malformed.png", "BATCH2/BATCH2_OBJ2_IM2.png", "BATCH2/BATCH2_boom_IM3.png", "BATCH2/BATCH2_NEW_IM3.png"]
-    df = frame([(p, "bytes") for p in paths], "image_path string, content string")
-    known = frame([("OBJ1", "Screw"), ("OBJ2", "Bolt")], "object_id string, label string")
+    images = ["N7/N7_cap-3_IM12.png", "N7/lid.png", "Q/Q_pin_IM0.png", "Q/Q_boom_IM1.png", "Q/Q_who_IM2.png"]
+    df = frame([(p, "bytes") for p in images], "image_path string, content string")
+    known = frame([("cap-3", "Cap"), ("pin", None)], "object_id string, label string")
     records, failures = run_extraction(df, known, size_encoder(), payload=("content",))
     got = {r.image: (r.batch_id, r.objectID, r.label) for r in records.collect()}
-    assert got == {
-        "BATCH1_OBJ1_IM0001.png": ("BATCH1", "OBJ1", "Screw"),
-        "BATCH2_OBJ2_IM2.png": ("BATCH2", "OBJ2", "Bolt"),
-        "BATCH2_NEW_IM3.png": ("BATCH2", "NEW", "UNKNOWN"),
-    }
+    assert got == {"N7_cap-3_IM12.png": ("N7", "cap-3", "Cap"), "Q_pin_IM0.png": ("Q", "pin", None), "Q_who_IM2.png": ("Q", "who", "UNKNOWN")}
     assert {r.image: r.error for r in failures.collect()} == {
-        "BATCH1/malformed.png": "Unexpected filename format: BATCH1/malformed.png",
-        "BATCH2/BATCH2_boom_IM3.png": "RuntimeError('boom')",
+        "N7/lid.png": "Unexpected filename format: N7/lid.png",
+        "Q/Q_boom_IM1.png": "RuntimeError('boom')",
     }
     assert "content" not in extract_embeddings(df, known, size_encoder(), payload=("content",)).columns
 
 
+def crop_models():
+    """A detector that knows boxed rows, and an encoder whose vector is the crop."""
+
+    def detector():
+        def detect(part):
+            if (part["name"] == "bad").any():
+                raise IOError("unreadable")
+            boxes = {"boxed": [[50, 50, 100, 100, 0.9], [0, 0, 1, 1, 0.1]], "endless": [[0, 0, np.inf, 1, 0.5]]}
+            return [np.array(boxes.get(n, [])) for n in part["name"]]
+
+        return detect
+
+    def encoder():
+        def encode(part):
+            if (part["name"] == "odd").any():
+                raise ValueError("odd")
+            return part[hooks.CROP].to_numpy(dtype=float) + [1, 0, 0, 0]
+
+        return encode
+
+    return detector, encoder
+
+
+def test_the_crop_is_embedded(frame):
+    detector, encoder = crop_models()
+    df = frame([(n, 200, 150) for n in ("boxed", "plain", "bad", "odd", "endless")], "name string, img_w int, img_h int").coalesce(1)
+    out = {r.name: r for r in hooks.embed_batches(df, encoder, drop=("img_w", "img_h"), detector_factory=detector).collect()}
+    assert out["boxed"].embedding == [41, 40, 110, 110] and out["plain"].embedding == [1, 0, 200, 150]
+    for name, error in (("bad", "unreadable"), ("odd", "odd"), ("endless", "not finite")):
+        assert out[name].embedding is None and error in out[name].error
+    assert hooks.embed_batches(df.limit(0), encoder, detector_factory=detector).count() == 0
+
+
+def test_manifest_images_and_whole_run(frame, tmp_path):
+    detector, encoder = crop_models()
+    names = ["boxed", "plain", "odd", "bad"]
+    rows = [(i, f"B/B_{n}_IM{i}.png", n.encode() * 3) for i, n in enumerate(names, 1)]
+    written = sinks.write_images(frame(rows, "pos long, image_path string, content binary"), str(tmp_path / "files"))
+    uris = {r.image_path: r.uri for r in written.collect()}
+    listed = [(i, p, uris[p]) for i, p, _ in rows] + [(5, "B/B_gone_IM5.png", str(tmp_path / "gone")), (6, "B/nothing.png", None), (7, "B/B_plain_IM7.png", f"file://{uris[rows[1][1]]}")]
+    manifest = frame(listed, "pos long, image_path string, uri string")
+    for size in (1, 1 << 20):
+        read = {r.pos: r for r in tables.read_manifest_images(manifest, task_bytes=size, batch_bytes=size).collect()}
+        assert [bytes(read[i].content) for i in (1, 2, 7)] == [b"boxed" * 3, b"plain" * 3, b"plain" * 3]
+        assert read[1].length == 15 and read[5].content is None and read[5].read_error == f"image not found: {tmp_path}/gone"
+        assert read[6].read_error.startswith("image not readable")
+    assert tables.read_manifest_images(manifest.limit(0)).count() == 0
+
+    decode = lambda images: images.select("pos", "image_path", "read_error", F.substring(F.decode("content", "UTF-8"), 1, F.length("content") / 3).alias("name"), F.lit(200).alias("img_w"), F.lit(150).alias("img_h"))
+    known = frame([("boxed", "Box")], "object_id string, label string")
+    records, failures = run_manifest(manifest, known, encoder, detector, prepare=decode)
+    assert {(r.image, r.label, tuple(r.embedding)) for r in records.collect()} == {
+        ("B_boxed_IM1.png", "Box", (41, 40, 110, 110)), ("B_plain_IM2.png", "UNKNOWN", (1, 0, 200, 150)), ("B_plain_IM7.png", "UNKNOWN", (1, 0, 200, 150)),
+    }
+    errors = {r.image: r.error for r in failures.collect()}
+    assert len(errors) == 4 and "not found" in errors["B/B_gone_IM5.png"] and "filename" in errors["B/nothing.png"] and "odd" in errors["B/B_odd_IM3.png"]
+    records, failures = run_manifest(manifest, known, encoder, detector, max_images=2, prepare=decode)
+    assert records.count() == 2 and failures.count() == 0
+    assert tables.read_manifest_images(manifest, opener=lambda uri: str(uri).encode()).filter("length > 0").count() == 7
+
+
 # --- head ---------------------------------------------------------------------------------------
 
 
@@ -156,38 +214,43 @@ def test_linear_head_learns_weighted_classes(frame):
 # --- whole pass ---------------------------------------------------------------------------------
 
 
-def test_hybrid_predict(frame):
-    bank = zeroshot.load_bank(
-        frame([(0, 0, [1.0, 0.0, 0.0, 0.0]), (1, 0, [0.0, 1.0, 0.0, 0.0]), (2, 0, [0.0, 0.0, 1.0, 0.0])], "category_idx int, template_idx int, vec array<float>")
-    )
+def test_stored_heads_score_alike(frame, tmp_path):
+    rng = np.random.default_rng(3)
+    net = head.random_head(5, 3, seed=2, hidden=(7, 6))
+    encoder = frame([(0, "b"), (1, "a"), (2, None)], "label_idx int, label string")
+    sinks.write_head(net, encoder, str(tmp_path / "deep"))
+    again, classes = tables.read_head(encoder.sparkSession, str(tmp_path / "deep"))
+    assert all(np.array_equal(x, y) for x, y in zip(head.pack(net), head.pack(again), strict=True))
+    assert sorted(map(tuple, classes.collect()), key=lambda r: r[0]) == [(0, "b"), (1, "a"), (2, None)]
+    rows = frame([(int(c), (np.eye(3)[c] * 4 + rng.normal(size=3) * 0.3).tolist()) for c in [0, 1, 2] * 30], "label_idx int, embedding array<float>")
+    model = head.train_linear_head(rows, frame([(i, 1.0) for i in range(3)], "label_idx int, weight double"), max_iter=20)
+    sinks.write_head(head.linear_head(model), encoder, str(tmp_path / "linear"))
+    stored, _ = tables.read_head(encoder.sparkSession, str(tmp_path / "linear"))
+    for r in head.score_head(head.score_linear_head(rows, model), stored, out="again", normalize=False).collect():
+        assert r.again == pytest.approx(r.logits, abs=1e-9)
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 40])
+def test_hybrid_predict(frame, slice_bytes):
+    # categories 1, 4 and 7: the indices between have no prompts
+    bank = zeroshot.load_bank(frame([(1, 0, [1.0, 0.0, 0.0, 0.0]), (4, 0, [0.0, 1.0, 0.0, 0.0]), (7, 0, [0.0, 0.0, 1.0, 0.0])], "category_idx int, template_idx int, vec array<float>"), slice_bytes)
+    categories = frame([(1, "Xenon_Lamp"), (4, "yoke"), (7, "zip")], "category_idx int, category string")
+    synonyms = frame([("xenon lamp", "Light_Bulb")], "category string, canonical string")
+    classes = frame([(0, "A"), (1, "B")], "label_idx int, label string")
     net = head.random_head(4, 2, seed=5, hidden=(6, 5))
-
-    def detector():
-        def detect(part):
-            if (part["name"] == "bad").any():
-                raise IOError("unreadable")
-            return [np.array([[50, 50, 100, 100, 0.9], [0, 0, 1, 1, 0.1]]) if n == "boxed" else [] for n in part["name"]]
-
-        return detect
-
-    def encoder():
-        def encode(part):
-            if (part["name"] == "odd").any():
-                raise ValueError("odd")
-            return part[["crop_xmin", "crop_ymin", "crop_xmax", "crop_ymax"]].to_numpy(dtype=float) + [1, 0, 0, 0]
-
-        return encode
-
-    df = frame([(n, 200, 150) for n in ("boxed", "plain", "bad", "odd")], "name string, img_w int, img_h int").coalesce(1)
-    out = {
-        r.name: r
-        for r in hybrid.hybrid_predict(df, detector, encoder, bank, ["x", "y", "z"], net, ["A", "B"], keep=["name"]).collect()
-    }
-    assert (out["boxed"].mobileclip_top1, out["boxed"].mobileclip_top2, out["boxed"].yolo_detected) == ("z", "x", True)
-    assert (out["plain"].mobileclip_top1, out["plain"].mobileclip_top2, out["plain"].yolo_detected) == ("z", "x", False)
+    detector, encoder = crop_models()
+    df = frame([(n, 200, 150) for n in ("boxed", "plain", "bad", "odd", "endless")], "name string, img_w int, img_h int").coalesce(1)
+    out = {r.name: r for r in hybrid.hybrid_predict(df, detector, encoder, bank, categories, net, classes, keep=["name"], synonyms=synonyms).collect()}
+    assert (out["boxed"].mobileclip_top1, out["boxed"].mobileclip_top2, out["boxed"].yolo_detected) == ("zip", "light bulb", True)
+    assert (out["plain"].mobileclip_top1, out["plain"].mobileclip_top2, out["plain"].yolo_detected) == ("zip", "light bulb", False)
     for name, crop in (("boxed", [41, 40, 110, 110]), ("plain", [1, 0, 200, 150])):
         unit = np.array(crop) / np.linalg.norm(crop)
         assert out[name].classifier_pred == "AB"[int(np.argmax(loop_forward(net, list(unit))))]
         assert out[name].error is None and out[name].pipeline_ms >= out[name].classifier_ms >= 0
-    assert "unreadable" in out["bad"].error and "odd" in out["odd"].error
+    assert "unreadable" in out["bad"].error and "odd" in out["odd"].error and "not finite" in out["endless"].error
     assert out["bad"].mobileclip_top1 is None and out["odd"].pipeline_ms is None
+    plain = hybrid.hybrid_predict(df, detector, encoder, bank, categories, net, classes, keep=["name"])
+    assert plain.filter("name = 'plain'").first().mobileclip_top2 == "xenon lamp"
+    one = zeroshot.load_bank(frame([(3, 0, [1.0, 0.0, 0.0, 0.0])], "category_idx int, template_idx int, vec array<float>"))
+    only = hybrid.hybrid_predict(df, detector, encoder, one, frame([(3, "q")], "category_idx int, category string"), net, classes, keep=["name"]).filter("name = 'plain'").first()
+    assert (only.mobileclip_top1, only.mobileclip_top2) == ("q", None)

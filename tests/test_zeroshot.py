@@ -39,35 +39,45 @@ def test_scores_equal_a_plain_product(data):
     assert scaled == pytest.approx(want[3] * np.exp(2.0))
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 20, 500])
-def test_top_k_broadcast_and_blocked(data, max_bytes):
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 500, 100])
+def test_top_k_of_any_slices(data, slice_bytes):
     images, prompts, df, bank = data
-    if max_bytes == 500:
-        with pytest.raises(ValueError, match="over 500"):
-            zeroshot.load_bank(bank, max_bytes)
-    out = zeroshot.topk_categories(df, bank, k=3, max_bank_bytes=max_bytes).collect()
+    assert len(zeroshot.load_bank(bank, slice_bytes).slices) == 1 or slice_bytes < 1 << 20
     want = expected_scores(images, prompts)
-    got = {(r.vec_id, r.rank): (r.category_idx, r.score) for r in out}
-    assert len(got) == 59 * 3 == len(out)
-    for i in set(range(60)) - {7}:
-        order = np.argsort(-want[i], kind="stable")[:3]
-        for rank, category in enumerate(order, 1):
-            assert got[(i, rank)] == (category, pytest.approx(want[i, category]))
+    for k in (1, 3, 20):
+        out = zeroshot.topk_categories(df, bank, k=k, slice_bytes=slice_bytes).collect()
+        got = {(r.vec_id, r.rank): (r.category_idx, r.score) for r in out}
+        assert len(got) == 59 * min(k, 9) == len(out)
+        for i in set(range(60)) - {7}:
+            for rank, category in enumerate(np.argsort(-want[i], kind="stable")[:k], 1):
+                assert got[(i, rank)] == (category, pytest.approx(want[i, category]))
 
 
-def test_blocked_with_many_chunks(data):
-    _, _, df, bank = data
-    whole = zeroshot.topk_categories(df, bank, k=2)
-    cut = zeroshot.topk_blocked(df, bank, 2, "vec_id", "embedding", block_bytes=300, chunk_bytes=1000)
-    left = {(r.vec_id, r.rank, r.category_idx, round(r.score, 9)) for r in whole.collect()}
-    assert left == {(r.vec_id, r.rank, r.category_idx, round(r.score, 9)) for r in cut.collect()}
+def test_scores_of_any_slices_and_an_index_without_prompts(data):
+    images, prompts, df, bank = data
+    want = expected_scores(images, prompts)
+    some = bank.filter("category_idx NOT IN (0, 4)")
+    for slice_bytes in (1 << 20, 300):
+        scored = zeroshot.score_prompts(df, zeroshot.load_bank(some, slice_bytes)).filter("vec_id < 7").collect()
+        for r in scored:
+            assert [x is None for x in r.scores] == [c in (0, 4) for c in range(9)]
+            assert [x for x in r.scores if x is not None] == pytest.approx([x for c, x in enumerate(want[r.vec_id]) if c not in (0, 4)])
+        best = zeroshot.topk_categories(df, some, k=9, slice_bytes=slice_bytes)
+        assert {r.category_idx for r in best.collect()} == set(range(9)) - {0, 4}
+
+
+def test_merged_top_counts_a_category_once():
+    idx, top = numeric.merged_top(np.array([[3, 1]]), np.array([[0.9, 0.5]]), np.array([[1, 2]]), np.array([[0.7, 0.7]]), 3)
+    assert idx.tolist() == [[3, 1, 2]] and top.tolist() == [[0.9, 0.7, 0.7]]
+    idx, top = numeric.merged_top(np.array([[1]]), np.array([[0.5]]), np.array([[1]]), np.array([[0.4]]), 3)
+    assert idx.tolist() == [[1]] and top.tolist() == [[0.5]]
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 20, 20])
-def test_ties_go_by_category(frame, max_bytes):
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 20])
+def test_ties_go_by_category(frame, slice_bytes):
     bank = frame([(c, 0, [1.0, 0.0]) for c in (2, 0, 1)], "category_idx int, template_idx int, vec array<float>")
     df = frame([(1, [3.0, 4.0])], "vec_id int, embedding array<float>")
-    out = zeroshot.topk_categories(df, bank, k=2, max_bank_bytes=max_bytes).orderBy("rank").collect()
+    out = zeroshot.topk_categories(df, bank, k=2, slice_bytes=slice_bytes).orderBy("rank").collect()
     assert [r.category_idx for r in out] == [0, 1]
     top = df.select(vectors.top_k(F.array(F.lit(0.1), F.lit(0.5), F.lit(0.5)), 2).alias("t")).first().t
     assert [(t.idx, t.score) for t in top] == [(1, 0.5), (2, 0.5)]
@@ -75,7 +85,7 @@ def test_ties_go_by_category(frame, max_bytes):
 
 def test_no_shuffle_of_images(data):
     _, _, df, bank = data
-    plan = zeroshot.topk_arrays(df, zeroshot.load_bank(bank))._jdf.queryExecution().executedPlan().toString()
+    plan = zeroshot.topk_arrays(df, zeroshot.load_bank(bank, 300))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "ArrowEvalPython" in plan
 
 
