@@ -2,8 +2,10 @@
 
 Spark's ``percentile`` holds every distinct value of a group in one task. Here values are first
 counted in fine cells whose order follows the value order; the cells that hold the wanted ranks are
-found on the counts alone, and only the distinct values in those few cells are ranked one by one. The
-few chosen cells are written, so the second pass over the data is a filter and no shuffle of it.
+found on the counts alone. A chosen cell that holds many rows is cut again, between its lowest and
+its highest value, until it is small or holds one value only. The values in the last few cells are
+ranked one by one. The few chosen cells are written, so each further pass over the data is a filter
+and no shuffle of it.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 from sightline.session import materialize
 
 CELLS_PER_UNIT = 20_000  # cells per factor e of the value
+SMALL = 10_000  # rows of a cell whose values one task ranks
+PARTS = 4_096  # parts of a cell that holds more; a double is used up after a few cuts
 ORIGIN = 1e6  # values below one part in a million share the cells around zero
 
 
@@ -37,6 +41,8 @@ def summarize(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[st
         *keys,
         "cell",
         "n",
+        F.col("lo").alias("least"),
+        F.col("hi").alias("most"),
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"),
         F.sum("n").over(group).alias("rows"),
         F.sum("s").over(group).alias("s"),
@@ -50,18 +56,37 @@ def summarize(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[st
     def holds(at: Column) -> Column:
         return (at >= F.col("first")) & (at < F.col("first") + F.col("n"))
 
-    wanted = F.lit(False)
-    for share in quantiles.values():
-        wanted = wanted | holds(F.floor(rank(share))) | holds(F.ceil(rank(share)))
     totals = ["rows", "s", "lo", "hi"]
-    chosen = placed.filter(wanted).select(*keys, "cell", F.col("first").alias("cell_first"), *totals)
-    chosen = materialize(chosen, "quantile_cells")
+
+    def wanted(counted: DataFrame) -> DataFrame:
+        """The cells that hold a rank, of (keys, cell, first, n, least, most, totals)."""
+        held = F.lit(False)
+        for share in quantiles.values():
+            held = held | holds(F.floor(rank(share))) | holds(F.ceil(rank(share)))
+        return counted.filter(held).select(*keys, "cell", "first", "n", "least", "most", *totals)
+
+    def inside(cells: DataFrame) -> DataFrame:
+        """The values in the given cells, with the cells' columns."""
+        return data.join(cells, [*keys, "cell"]).filter(F.col("v").between(F.col("least"), F.col("most")))
+
+    chosen = materialize(wanted(placed), "quantile_cells")
+    crowded = (F.col("n") > SMALL) & (F.col("least") < F.col("most"))
+    while not chosen.filter(crowded).isEmpty():
+        share = (F.col("v") - F.col("least")) / (F.col("most") - F.col("least"))
+        part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1))
+        parts = inside(chosen.filter(crowded)).groupBy(*keys, "cell", "least", "first", *totals, part.alias("part"))
+        parts = parts.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        lower = Window.partitionBy(*keys, "cell", "least").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.withColumn("first", F.col("first") + F.coalesce(F.sum("n").over(lower), F.lit(0)))
+        finer = parts.select(*keys, "cell", "first", "n", F.col("low").alias("least"), F.col("high").alias("most"), *totals)
+        chosen = materialize(chosen.filter(~crowded).unionByName(wanted(finer)), "quantile_cells")
+
     values = (
-        data.join(chosen, [*keys, "cell"])
-        .groupBy(*keys, "cell", "v")
-        .agg(F.count(F.lit(1)).alias("n"), F.first("cell_first").alias("cell_first"), *[F.first(c).alias(c) for c in totals])
+        inside(chosen)
+        .groupBy(*keys, "cell", "least", "v")
+        .agg(F.count(F.lit(1)).alias("n"), F.first("first").alias("cell_first"), *[F.first(c).alias(c) for c in totals])
     )
-    lower = Window.partitionBy(*keys, "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    lower = Window.partitionBy(*keys, "cell", "least").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = values.withColumn("first", F.col("cell_first") + F.coalesce(F.sum("n").over(lower), F.lit(0)))
 
     picks = []

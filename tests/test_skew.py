@@ -1,9 +1,12 @@
 """A key that holds a third of all rows or more must not end up in one task."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sightline.operators import dataset, labels
+from sightline.operators import dataset, labels, quantiles
+from sightline.session import materialize
 from sightline.sources import sinks
 
 
@@ -55,3 +58,23 @@ def test_split_counts_with_a_hot_class(spark, tmp_path):
     got = {r.label: (r.n, r.val) for r in out.groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "val").alias("val")).collect()}
     assert got[0] == (20_000, 2_000) and sum(v for _, v in got.values()) == 6_000
     assert all(abs(v - n * 0.1) < 1 for n, v in got.values())
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_quantiles_of_crowded_values(spark, monkeypatch, keys):
+    """200,000 distinct values within 0.02 ms fall into few first cells; they are cut until each is small."""
+    rng = np.random.default_rng(4)
+    crowd = 50 + rng.random(200_000) * 0.02
+    parts = {0: crowd, 1: np.concatenate([crowd, [np.nextafter(7, 8), 7.0] * 40_000, [-1e300, 1e300, 0.0]])}
+    rows = [spark.createDataFrame(pd.DataFrame({"k": k, "ms": v})) for k, v in parts.items()]
+    df = rows[0].union(rows[1])
+    seen = []
+    monkeypatch.setattr(quantiles, "materialize", lambda table, name: seen.append(name) or materialize(table, name))
+    got = quantiles.summarize(df, keys, "ms", {"a": 0.001, "q": 0.2, "m": 0.5, "p": 0.95}).collect()
+    assert len(seen) > 1  # at least one crowded cell was cut
+    assert len(got) == (2 if keys else 1)
+    for r in got:
+        values = parts[r.k] if keys else np.concatenate(list(parts.values()))
+        assert r.n == len(values) and (r.lowest, r.highest) == (values.min(), values.max())
+        for name, share in (("a", 0.001), ("q", 0.2), ("m", 0.5), ("p", 0.95)):
+            assert r[name] == pytest.approx(np.quantile(values, share), rel=1e-14)
