@@ -16,7 +16,8 @@ only the links that join components.
 
 Defined results: words are runs without ASCII white space, A-Z lower-cased. A document with fewer words than a
 shingle has its whole sequence as its one shingle; a null or wordless text has no shingle and no link. Rows that
-share a key are one document: linked to whatever one of its texts links to. A null key has no component.
+share a key are one document, linked to whatever one of its texts links to, and have one component. A row without a
+key has no component (null) and joins no others.
 """
 
 from __future__ import annotations
@@ -181,8 +182,11 @@ def _sets(docs: DataFrame, nodes: DataFrame, text: str, key: str, words: int) ->
     return materialize(with_columns(rows, "t", [T.StructField("items", T.BinaryType())], make).select("node", "items"), "sets")
 
 
-def _verified(pairs: DataFrame, light: DataFrame, sets_of, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets link: those whose sketches allow it, tested on their whole sets."""
+_SIDE = lambda df, key, *names: df.select(F.col("node").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in names])
+
+
+def _allowed(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sketches allow a link."""
 
     def allowed(batches):
         for batch in batches:
@@ -195,16 +199,49 @@ def _verified(pairs: DataFrame, light: DataFrame, sets_of, percent: int) -> Data
                 keep[i] = _distance(a, b) <= most[i]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep))
 
+    both = pairs.join(_SIDE(light, "u", "n", "sketch"), "u").join(_SIDE(light, "v", "n", "sketch"), "v")
+    return both.select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(allowed, "u long, v long")
+
+
+def _bucket_pairs(few: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) of small buckets (sig, node, mark) with different marks whose sketches allow a link.
+
+    Near copies share many blocks, so equal lists of members are taken once. A list's sketches are compared in one
+    task, which gives only the pairs that pass; no other pair becomes a row.
+    """
+    lists = few.groupBy("sig").agg(F.array_sort(F.collect_list("node")).alias("nodes")).select("nodes").distinct()
+    lists = materialize(lists.withColumn("list", F.monotonically_increasing_id()), "lists")
+    marks = few.select("node", "mark").distinct()
+    members = lists.select("list", F.explode("nodes").alias("node")).join(marks, "node").join(light.select("node", "n", "sketch"), "node")
+    members = members.groupBy("list").agg(F.collect_list(F.struct("node", "mark", "n", "sketch")).alias("members"))
+
+    def compare(batches):
+        for batch in batches:
+            column = batch.column(0)
+            flat, ends = column.flatten(), np.append(0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)))
+            node, mark, n = (flat.field(i).to_numpy() for i in range(3))
+            sketches = [np.frombuffer(x.as_buffer(), np.uint64) for x in flat.field(3)]
+            out = [(np.zeros(0, np.int64),) * 2]
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                own = slice(a, b)
+                for i, near in _near(sketches[own], n[own], mark[own], None, percent):
+                    out.append((np.minimum(node[a + i], node[a + near]), np.maximum(node[a + i], node[a + near])))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["u", "v"])
+
+    return members.select("members").mapInArrow(compare, "u long, v long").distinct()
+
+
+def _verified(near: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Of pairs whose sketches allow a link those whose whole sets link."""
+
     def linked(batches):
         for batch in batches:
             keep = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    side = lambda df, key, *names: df.select(F.col("node").alias(key), *[F.col(c).alias(f"{c}_{key}") for c in names])
-    both = pairs.join(side(light, "u", "n", "sketch"), "u").join(side(light, "v", "n", "sketch"), "v")
-    near = materialize(both.select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(allowed, "u long, v long"), "allowed")
+    near = materialize(near, "allowed")
     sets = sets_of(near.select(F.col("u").alias("node")).union(near.select("v")).distinct())
-    return near.join(side(sets, "u", "items"), "u").join(side(sets, "v", "items"), "v").select("u", "v", "items_u", "items_v").mapInArrow(linked, "u long, v long")
+    return near.join(_SIDE(sets, "u", "items"), "u").join(_SIDE(sets, "v", "items"), "v").select("u", "v", "items_u", "items_v").mapInArrow(linked, "u long, v long")
 
 
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -372,16 +409,15 @@ def linked(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     discard(whole, shared)
     sets_of = lambda asked: _sets(docs, asked, text, key, words)
 
-    found = materialize(_verified(first, light, sets_of, percent), "found")
+    found = materialize(_verified(_allowed(first, light, percent), sets_of, percent), "found")
     labels = components(found)
     # a bucket is settled if its leader has met everyone; else several components may be left in it
     name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l_{c}"))
     apart = first.join(name("u"), "u", "left").join(name("v"), "v", "left").where(~F.coalesce("l_u", "u").eqNullSafe(F.coalesce("l_v", "v")))
     open_ = buckets.where("m > 2").join(apart.select(F.col("u").alias("node"), F.col("v").alias("leader")), ["node", "leader"], "left_semi").select("sig").distinct()
     state = _unsettled(buckets.where("m > 2").join(open_, "sig", "left_semi").select("sig", "node"), labels)
-    few = state.where(F.col("m") <= SMALL).select("sig", F.col("node").alias("u"), F.col("label").alias("l"))
-    pairs = few.join(few.select("sig", F.col("u").alias("v"), F.col("l").alias("k")), "sig").where("u < v and l <> k").select("u", "v").distinct()
-    found = materialize(found.union(_verified(pairs, light, sets_of, percent)), "found")
+    few = state.where(F.col("m") <= SMALL).select("sig", "node", F.col("label").alias("mark"))
+    found = materialize(found.union(_verified(_bucket_pairs(few, light, percent), sets_of, percent)), "found")
     labels = components(found)
     many = _unsettled(state.where(F.col("m") > SMALL).select("sig", "node"), labels)
     if not many.isEmpty():
@@ -389,8 +425,16 @@ def linked(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
         labels = components(found)
 
     same = rows.where("n > 0 and node is not null").groupBy("n", "d1", "d2").agg(F.min("node").alias("rep"))
-    joined = rows.select("node", "n", "d1", "d2").join(same, ["n", "d1", "d2"], "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    return joined.select(F.col("node").alias(key), F.col("n").alias("n_shingles"), F.coalesce("label", "rep", "node").alias("component_id"))
+    keyed = rows.where("node is not null").join(same, ["n", "d1", "d2"], "left").select("node", "n", F.coalesce("rep", "node").alias("rep"))
+    keyed = materialize(keyed, "classes")
+    # rows that share a key are one document, so their classes belong together
+    several = keyed.groupBy("node").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v < most").select("node", "v")
+    several = materialize(keyed.join(several, "node").where("rep > v").select(F.col("rep").alias("u"), "v").distinct(), "several")
+    if not several.isEmpty():
+        labels = components(found.select("u", "v").union(several))
+    joined = keyed.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    alone = rows.where("node is null").select(F.col("node").alias(key), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    return joined.select(F.col("node").alias(key), F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id")).union(alone)
 
 
 def _class_sets(docs: DataFrame, classes: DataFrame, asked: DataFrame, text: str, key: str, words: int) -> DataFrame:
@@ -511,12 +555,10 @@ def link_counts(docs: DataFrame, text: str = "text", key: str = "doc_id", words:
     star = large.join(large.groupBy("sig").agg(F.min("node").alias("v")), "sig").select(F.col("node").alias("u"), "v").distinct()
     families = components(star).withColumnRenamed("label", "family")
     sets_of = lambda asked: _class_sets(docs, classes, asked, text, key, words)
-    few = members.where(F.col("m") <= SMALL).select("sig", "node").join(families, "node", "left").select("sig", F.col("node").alias("u"), F.col("family").alias("f"))
-    both = few.join(few.select("sig", F.col("u").alias("v"), F.col("f").alias("g")), "sig")
-    pairs = materialize(both.where("u < v and coalesce(f <> g, true)").select("u", "v").distinct(), "pairs")
-    ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    light = materialize(classes.select("node", "n", "sketch").join(ends, "node", "left_semi"), "sketches")
-    found = materialize(_verified(pairs, light, sets_of, percent), "found")
+    mark = F.coalesce("family", -1 - F.col("node")).alias("mark")  # a node without a family may link to any other
+    few = materialize(members.where(F.col("m") <= SMALL).select("sig", "node").join(families, "node", "left").select("sig", "node", mark), "few")
+    light = materialize(classes.select("node", "n", "sketch").join(few.select("node").distinct(), "node", "left_semi"), "sketches")
+    found = materialize(_verified(_bucket_pairs(few, light, percent), sets_of, percent), "found")
     copies = classes.select(F.col("node").alias("v"), F.col("copies").alias("k"))
     counts = found.union(found.select("v", "u")).toDF("u", "v").join(copies, "v").select(F.col("u").alias("node"), "k")
     if not families.isEmpty():
@@ -531,8 +573,32 @@ def link_counts(docs: DataFrame, text: str = "text", key: str = "doc_id", words:
 
 
 def first_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents without near copies: of each component the row with the smallest key stays."""
-    heads = linked(docs, text, key, words, percent).where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
+    """The documents without near copies: of each component one row with the smallest key stays.
+
+    A row without a key stays if no row with a key has the same set of shingles; of equal ones among such rows one
+    stays, and those without words all do.
+    """
+    found = materialize(linked(docs, text, key, words, percent).where(F.col(key).isNotNull()), "components")
+    heads = found.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("_first_key")).agg(F.count("*").alias("_first_rows"))
     heads = materialize(heads, "kept")
-    kept = docs.join(heads, F.col(key) == F.col("_kept"), "left_semi")
-    return kept.unionByName(docs.where(F.col(key).isNull()))
+    single, repeated = heads.where("_first_rows = 1"), heads.where("_first_rows > 1")
+    kept = docs.join(single, F.col(key) == F.col("_first_key"), "left_semi")
+    again = docs.join(repeated, F.col(key) == F.col("_first_key"), "left_semi").dropDuplicates([key])
+    nameless = docs.where(F.col(key).isNull())
+    if nameless.isEmpty():
+        return kept.unionByName(again)
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    rows = nameless.select(F.col(text).alias("t"), whole.alias("row"))
+    halves = ["n", "d1", "d2"]
+
+    def make():
+        def work(texts):
+            values, sizes = shingle_sets([t or "" for t in texts], words)
+            return [sizes, *_digests(values, sizes)]
+
+        return work
+
+    marked = with_columns(rows, "t", [T.StructField(c, T.LongType()) for c in halves], make)
+    classes = signed(docs.where(F.col(key).isNotNull()), text, key, words, percent).where("n > 0").select(*halves).distinct()
+    new = marked.where("n > 0").join(classes, halves, "left_anti").dropDuplicates(halves).select("row.*")
+    return kept.unionByName(again).unionByName(new).unionByName(marked.where("n = 0").select("row.*"))

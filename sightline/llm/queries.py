@@ -38,16 +38,18 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINKED_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
-s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+# rows that share a key are one document: their texts are linked to each other
+LINKED_SQL = f"""WITH RECURSIVE w AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT id, doc_id, sh FROM (SELECT id, doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
   WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w) t),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-l AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * i >= 85 * (x.n + y.n - i)),
-r AS (SELECT u AS doc_id, u AS far FROM l UNION SELECT r.doc_id, l.v FROM r JOIN l ON l.u = r.far),
-c AS (SELECT doc_id, min(far) AS component_id FROM r GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
-FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id"""
+n AS (SELECT id, doc_id, count(*) AS n FROM s GROUP BY id, doc_id),
+p AS (SELECT a.id AS u, b.id AS v, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.id <> b.id WHERE a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL GROUP BY 1, 2),
+l AS (SELECT u, v FROM p JOIN n x ON x.id = u JOIN n y ON y.id = v WHERE 100 * i >= 85 * (x.n + y.n - i)),
+k AS (SELECT u, v FROM l UNION SELECT a.id, b.id FROM w a JOIN w b ON a.doc_id = b.doc_id AND a.id <> b.id),
+r AS (SELECT u AS id, u AS far FROM k UNION SELECT r.id, k.v FROM r JOIN k ON k.u = r.far),
+c AS (SELECT r.id, min(w.doc_id) AS component_id FROM r JOIN w ON w.id = r.far GROUP BY r.id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.id = w.id LEFT JOIN c ON c.id = w.id"""
 
 
 @register("op3_near_copies", LINKED_SQL)
@@ -55,11 +57,11 @@ def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.linked(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
-LINKS_SQL = f"""{LINKED_SQL[: LINKED_SQL.index("r AS (SELECT")]}
+LINKS_SQL = f"""{LINKED_SQL[: LINKED_SQL.index("k AS (SELECT")]}
 k AS (SELECT u, count(*) AS n_links FROM l GROUP BY u),
-e AS (SELECT u, min(v) AS least FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE i = x.n AND i = y.n GROUP BY u)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(e.least, d.doc_id)) AS class_id, coalesce(k.n_links, 0) AS n_links
-FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN k ON k.u = d.doc_id LEFT JOIN e ON e.u = d.doc_id"""
+e AS (SELECT u, min(y.doc_id) AS least FROM p JOIN n x ON x.id = u JOIN n y ON y.id = v WHERE i = x.n AND i = y.n GROUP BY u)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(e.least, w.doc_id)) AS class_id, CASE WHEN w.doc_id IS NOT NULL THEN coalesce(k.n_links, 0) END AS n_links
+FROM w LEFT JOIN n ON n.id = w.id LEFT JOIN k ON k.u = w.id LEFT JOIN e ON e.u = w.id"""
 
 
 @register("op3_near_copy_links", LINKS_SQL)

@@ -131,6 +131,21 @@ def test_repeated_and_null_keys(spark):
     assert nearcopies.linked(docs.limit(0)).count() == 0 and nearcopies.first_of_each(docs.limit(0)).count() == 0
 
 
+def test_a_key_whose_texts_lie_in_two_classes_joins_them(spark):
+    one, two = "a b c d e f", "x y z u v w"
+    docs = spark.createDataFrame([(3, one, 1), (5, one, 2), (5, two, 3), (4, two, 4), (None, one, 5), (7, "k l m n o p", 6)], "doc_id long, text string, _kept int")
+    got = Counter((r.doc_id, r.component_id) for r in nearcopies.linked(docs).collect())
+    assert got == Counter([(3, 3), (5, 3), (5, 3), (4, 3), (None, None), (7, 7)])
+    assert sorted((r.doc_id, r._kept) for r in nearcopies.first_of_each(docs).collect()) == [(3, 1), (7, 6)]
+
+
+def test_one_row_of_repeated_rows_and_of_rows_without_a_key_stays(spark):
+    one, two = "a b c d e f", "x y z u v w"
+    docs = spark.createDataFrame([(1, one), (1, one), (2, one), (None, one), (None, two), (None, two), (None, None), (8, "")], "doc_id long, text string")
+    kept = Counter((r.doc_id, r.text) for r in nearcopies.first_of_each(docs).collect())
+    assert kept == Counter([(1, one), (None, two), (None, None), (8, "")])
+
+
 @pytest.mark.parametrize("percent", [85, 80])
 def test_linked_sets_share_a_kept_signature(percent):
     rng = np.random.default_rng(3)
