@@ -374,18 +374,41 @@ def _forest(sets: list[np.ndarray], labels: np.ndarray, split: int | None, perce
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node that each node of the edges reaches. Labels halve their paths each round."""
-    both = materialize(edges.select("u", "v").union(edges.select("v", "u")).distinct(), "links")
-    labels = materialize(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("label")), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
-        jump = labels.select(F.col("node").alias("low"), F.col("label").alias("lower"))
-        after = materialize(step.join(jump, "low", "left").select("node", F.col("label").alias("was"), F.least("low", "lower").alias("label")), "labels")
-        changed = after.where(F.col("was") != F.col("label")).limit(1).count()
-        labels = after.select("node", "label")
-        if not changed:
-            return labels
+    """(node, label): the smallest node that each node of the edges reaches.
+
+    Every node joins the smallest of its neighbours, and the edges are lifted to what their ends joined; those within
+    one and repeated ones go, so only the first round sees all edges.
+    """
+    edges = materialize(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct(), "edges")
+    labels = None
+    while not edges.isEmpty():
+        both = edges.union(edges.select("v", "u")).toDF("node", "far")
+        near = both.groupBy("node").agg(F.least(F.min("far"), F.first("node")).alias("low"))
+        joined = materialize(near, "joined")
+        after = joined.select(F.col("node").alias("low"), F.col("low").alias("lower"))
+        joined = materialize(joined.join(after, "low").select("node", F.col("lower").alias("low")), "joined")
+        if labels is None:
+            labels = joined.toDF("node", "label")
+        else:
+            moved = labels.join(joined.toDF("label", "low"), "label", "left")
+            labels = materialize(moved.select("node", F.coalesce("low", "label").alias("label")), "labels")
+        lifted = edges.join(joined.toDF("u", "low_u"), "u").join(joined.toDF("v", "low_v"), "v")
+        edges = materialize(lifted.select(F.least("low_u", "low_v").alias("u"), F.greatest("low_u", "low_v").alias("v")).where("u < v").distinct(), "edges")
+    return edges.toDF("node", "label") if labels is None else labels
+
+
+def _lifted(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links with the labels of their ends: l_u and l_v; a node without a label is its own."""
+    name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"_{c}"))
+    named = links.join(name("u"), "u", "left").join(name("v"), "v", "left")
+    return named.select("u", "v", F.coalesce("_u", "u").alias("l_u"), F.coalesce("_v", "v").alias("l_v"))
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links: components of the labels that those join."""
+    over = components(_lifted(links, labels).select(F.col("l_u").alias("u"), F.col("l_v").alias("v")))
+    moved = labels.join(over.toDF("label", "low"), "label", "left").select("node", F.coalesce("low", "label").alias("label"))
+    return materialize(moved.union(over.join(labels.select("node"), "node", "left_anti")), "labels")
 
 
 def linked(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -409,20 +432,21 @@ def linked(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     discard(whole, shared)
     sets_of = lambda asked: _sets(docs, asked, text, key, words)
 
-    found = materialize(_verified(_allowed(first, light, percent), sets_of, percent), "found")
-    labels = components(found)
+    # each node meets its smallest leader first, and the others only while they lie in another component
+    least = materialize(first.groupBy("u").agg(F.min("v").alias("v")), "least")
+    labels = components(_verified(_allowed(least, light, percent), sets_of, percent))
+    others = first.join(least.toDF("u", "least"), "u").where("v <> least").select("u", "v")
+    others = materialize(_lifted(others, labels).where("l_u <> l_v").select("u", "v"), "others")
+    labels = extended(labels, _verified(_allowed(others, light, percent), sets_of, percent))
     # a bucket is settled if its leader has met everyone; else several components may be left in it
-    name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l_{c}"))
-    apart = first.join(name("u"), "u", "left").join(name("v"), "v", "left").where(~F.coalesce("l_u", "u").eqNullSafe(F.coalesce("l_v", "v")))
+    apart = _lifted(first, labels).where("l_u <> l_v")
     open_ = buckets.where("m > 2").join(apart.select(F.col("u").alias("node"), F.col("v").alias("leader")), ["node", "leader"], "left_semi").select("sig").distinct()
     state = _unsettled(buckets.where("m > 2").join(open_, "sig", "left_semi").select("sig", "node"), labels)
     few = state.where(F.col("m") <= SMALL).select("sig", "node", F.col("label").alias("mark"))
-    found = materialize(found.union(_verified(_bucket_pairs(few, light, percent), sets_of, percent)), "found")
-    labels = components(found)
+    labels = extended(labels, _verified(_bucket_pairs(few, light, percent), sets_of, percent))
     many = _unsettled(state.where(F.col("m") > SMALL).select("sig", "node"), labels)
     if not many.isEmpty():
-        found = materialize(found.union(_settled(many, light, sets_of, percent)), "found")
-        labels = components(found)
+        labels = extended(labels, materialize(_settled(many, light, sets_of, percent), "settled"))
 
     same = rows.where("n > 0 and node is not null").groupBy("n", "d1", "d2").agg(F.min("node").alias("rep"))
     keyed = rows.where("node is not null").join(same, ["n", "d1", "d2"], "left").select("node", "n", F.coalesce("rep", "node").alias("rep"))
@@ -431,7 +455,7 @@ def linked(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     several = keyed.groupBy("node").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v < most").select("node", "v")
     several = materialize(keyed.join(several, "node").where("rep > v").select(F.col("rep").alias("u"), "v").distinct(), "several")
     if not several.isEmpty():
-        labels = components(found.select("u", "v").union(several))
+        labels = extended(labels, several)
     joined = keyed.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     alone = rows.where("node is null").select(F.col("node").alias(key), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return joined.select(F.col("node").alias(key), F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id")).union(alone)
