@@ -95,26 +95,33 @@ def _kept(k: Kind, order: int) -> Column:
     )
 
 
-def find_spans(docs: DataFrame, text: str = "text", kinds: list[Kind] = KINDS) -> DataFrame:
-    """The rows with `spans`: an array of (start, end, kind, score), sorted. A column of that name is replaced."""
-    own = docs.drop("spans")
-    df = _proposals(own.withColumn("_t", F.coalesce(F.col(text), F.lit(""))), kinds)
+def _found(docs: DataFrame, text: str, kinds: list[Kind]) -> DataFrame:
+    """_row (the row in a struct, so that no column of it meets the names used here), _t (its text) and spans."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    df = _proposals(docs.select(row.alias("_row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_t")), kinds)
     df = df.withColumns({f"_k_{k.name}": _kept(k, i) for i, k in enumerate(kinds)})
     base, more = ([f"_k_{k.name}" for k in kinds if k.base == b] for b in (True, False))
     empty = "cast(array() AS array<struct<start:int,order:int,kind:string,end:int,score:double,kept:boolean>>)"
     df = df.withColumn("_base", F.expr(f"concat({', '.join([*base, empty])})")).withColumn("_more", F.expr(f"concat({', '.join([*more, empty])})"))
     free = "filter(_more, x -> NOT exists(_base, y -> y.start <= x.start AND x.end <= y.end))"
     spans = F.expr(f"transform(array_sort(concat(_base, {free})), x -> named_struct('start', x.start, 'end', x.end, 'kind', x.kind, 'score', x.score))")
-    return df.select(*[F.col(f"`{c}`") for c in own.columns], spans.alias("spans"))
+    return df.select("_row", "_t", spans.alias("spans"))
+
+
+def find_spans(docs: DataFrame, text: str = "text", kinds: list[Kind] = KINDS) -> DataFrame:
+    """The rows with `spans`: an array of (start, end, kind, score), sorted. A column of that name is replaced, the
+    others come back as they are, whatever their names."""
+    own = docs.drop("spans")
+    return _found(own, text, kinds).select(*[F.col(f"_row.`{c}`") for c in own.columns], "spans")
 
 
 def redact(docs: DataFrame, text: str = "text", kinds: list[Kind] = KINDS) -> DataFrame:
-    """The rows with every span of the text replaced by its kind in brackets; overlapping spans become one."""
-    df = find_spans(docs.withColumn("_text", F.col(text)), "_text", kinds)
+    """The rows with every span of the text replaced by its kind in brackets; overlapping spans become one. The other
+    columns come back as they are; no working column keeps the text."""
     step = """aggregate(spans, named_struct('out', cast(array() AS array<string>), 'at', 0), (a, x) -> CASE
       WHEN x.end <= a.at THEN a
       WHEN x.start < a.at THEN named_struct('out', a.out, 'at', x.end)
-      ELSE named_struct('out', concat(a.out, array(substr(_text, a.at + 1, x.start - a.at), concat('[', upper(x.kind), ']'))), 'at', x.end) END,
-      a -> concat(array_join(a.out, ''), substr(_text, a.at + 1)))"""
-    changed = F.expr(f"CASE WHEN size(spans) > 0 THEN {step} ELSE _text END")
-    return df.select(*[changed.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+      ELSE named_struct('out', concat(a.out, array(substr(_t, a.at + 1, x.start - a.at), concat('[', upper(x.kind), ']'))), 'at', x.end) END,
+      a -> concat(array_join(a.out, ''), substr(_t, a.at + 1)))"""
+    changed = F.when(F.size("spans") > 0, F.expr(step)).otherwise(F.col(f"_row.`{text}`"))
+    return _found(docs, text, kinds).select(*[changed.alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns])

@@ -208,6 +208,16 @@ def test_checksums_context_and_redaction(spark):
     assert done[0] == "pay [IBAN] now" and done[3] == "call [PHONE_GROUP] [CARD_GROUP] ok" and done[6] == texts[6] and done[7] is None
 
 
+def test_columns_with_working_names_come_back_unchanged(spark):
+    names = ["_t", "_text", "_base", "_more", "_row", "_k_email", "_h_email", "_m_email", "a.b", "spans"]
+    raw = "mail bob@example.com now"
+    docs = spark.createDataFrame([(1, raw, *(f"own {c}" for c in names))], ["doc_id", "text", *names])
+    row = personal.redact(docs).first()
+    assert row.text == "mail [EMAIL] now" and [row[c] for c in names] == [f"own {c}" for c in names]
+    found = personal.find_spans(docs).first()
+    assert [s.kind for s in found.spans] == ["email"] and [found[c] for c in names[:-1]] == [f"own {c}" for c in names[:-1]]
+
+
 # dialogues
 
 
