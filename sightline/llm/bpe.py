@@ -1,7 +1,8 @@
 """Byte-level BPE with the tiktoken library and a local rank file.
 
 Texts are encoded without special tokens. A long text is first cut at safe boundaries, places where no match of
-the splitting pattern can span: before a single space between two characters that are no white space. Decoding
+the splitting pattern can span: before a single space between two characters that are no white space. Long runs of
+white space are cut out too, as they are matches of their own. Decoding
 joins the raw bytes of the ids, so ids that end inside a character lose nothing.
 
 Defined results: a null text is encoded as the empty text: no ids. Code points that UTF-8 cannot hold (lone
@@ -24,6 +25,8 @@ from pyspark.sql import types as T
 from sightline.llm.blocks import BLOCK, with_columns
 
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+_RUN = 4096  # white space from which a run is cut out, as the library's pattern fails on runs of a million
+_BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def safe_pieces(text: str, size: int = BLOCK) -> Iterator[str]:
@@ -47,6 +50,20 @@ def encoding(path: str, pattern: str) -> tiktoken.Encoding:
 
 
 def encode_text(enc: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids of a text. A long run of white space is one match of the pattern, which the library's call for single
+    matches encodes: the whole run at the end of the text, else all but its last character, which may join what follows."""
+    if len(text) <= _RUN:
+        return enc.encode_ordinary(text)
+    ids, first = [], 0
+    for run in re.finditer(f"{_BLANK}{{{_RUN},}}", text):
+        last = run.end() - (run.end() < len(text))
+        ids += _encode_plain(enc, text[first : run.start()])
+        ids += enc._encode_single_piece(text[run.start() : last])
+        first = last
+    return ids + _encode_plain(enc, text[first:])
+
+
+def _encode_plain(enc: tiktoken.Encoding, text: str) -> list[int]:
     if len(text) <= BLOCK:
         return enc.encode_ordinary(text)
     return [x for piece in safe_pieces(text) for x in enc.encode_ordinary(piece)]

@@ -238,3 +238,16 @@ def test_bpe_equals_the_library_and_round_trips(spark, monkeypatch):
         parts = list(bpe.safe_pieces(t or "", 50))
         assert "".join(parts) == (t or "") and [x for p in parts for x in enc.encode_ordinary(p)] == enc.encode_ordinary(t or "")
     assert bpe.round_trip(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_long_runs_of_white_space(monkeypatch):
+    enc = bpe.encoding(RANKS, public_tokenizers.PATTERN)
+    for run in (" " * 2_000_000, "\n" * 2_000_000, "\t " * 1_000_000):
+        for text in (run, run + "a", "a" + run + " b"):
+            ids = bpe.encode_text(enc, text)
+            assert enc.decode_bytes(ids) == text.encode()
+    monkeypatch.setattr(bpe, "_RUN", 3)
+    rnd = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rnd.choice([" ", "  ", "\n", "\t", "\xa0", "\u3000", "\x1c", "\x85", "a", "1", "!", "'s", "é"]) for _ in range(rnd.randint(0, 25)))
+        assert bpe.encode_text(enc, text) == enc.encode_ordinary(text), repr(text)
