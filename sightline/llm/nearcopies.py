@@ -216,8 +216,7 @@ def _bucket_pairs(few: DataFrame, light: DataFrame, percent: int) -> DataFrame:
     members = members.groupBy("list").agg(F.collect_list(F.struct("node", "mark", "n", "sketch")).alias("members"))
 
     def compare(batches):
-        for batch in batches:
-            column = batch.column(0)
+        for column in (batch.column(0).slice(first, 512) for batch in batches for first in range(0, len(batch), 512)):
             flat, ends = column.flatten(), np.append(0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)))
             node, mark, n = (flat.field(i).to_numpy() for i in range(3))
             sketches = [np.frombuffer(x.as_buffer(), np.uint64) for x in flat.field(3)]
