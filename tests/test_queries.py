@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 PYTHON_STAGES = {  # queries whose operator applies a model or a matrix product in Python workers
     "score_prompts", "topk_categories", "topk_blocked", "zero_shot_accuracy", "embed_batches", "detect_batches", "score_head",
     "extract_embeddings",  # and those that only read what such a stage wrote have no Python in their own plan
-    "hybrid_predict",
+    "hybrid_predict", "score_linear_head", "train_head",
 }
 
 
