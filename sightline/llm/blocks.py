@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -92,6 +93,22 @@ def find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(table[at] == values, at, -1)
 
 
+def tidy(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """The task function, which at its end gives freed memory back to the system.
+
+    Python workers live on between tasks and stages, and would otherwise keep the most that any of them has needed.
+    """
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim:
+            trim(0)
+
+    return run
+
+
 def with_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Callable[[], Callable]) -> DataFrame:
     """The rows with computed columns, one Arrow batch at a time.
 
@@ -109,4 +126,4 @@ def with_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Ca
             arrays += [pa.array(c, t) for c, t in zip(columns, added, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
-    return df.mapInArrow(apply, schema)
+    return df.mapInArrow(tidy(apply), schema)

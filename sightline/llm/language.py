@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sightline.llm.blocks import code_points, cuts, find, grouped, letter_table, runs, span_hashes, with_columns
+from sightline.llm.blocks import code_points, cuts, find, grouped, letter_table, runs, span_hashes, tidy, with_columns
 from sightline.session import discard, materialize
 
 UNKNOWN = "und"
@@ -125,7 +125,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
                             names=["order", "hash", "l", "n"],
                         )
 
-    counts = materialize(sample.mapInArrow(count, "order int, hash long, l string, n long").groupBy("order", "hash", "l").agg(F.sum("n").alias("n")), "language-counts")
+    counts = materialize(sample.mapInArrow(tidy(count), "order int, hash long, l string, n long").groupBy("order", "hash", "l").agg(F.sum("n").alias("n")), "language-counts")
     names = sorted(r.l for r in counts.where("order = 0").select("l").distinct().collect())
     totals = {(r.order, r.l): (r.n, r.kinds) for r in counts.groupBy("order", "l").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
     tables = {}

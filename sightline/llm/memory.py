@@ -7,6 +7,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from sightline.llm.blocks import code_points, find, span_hashes
 
@@ -126,7 +127,7 @@ def word_starts(units: np.ndarray) -> np.ndarray:
 
 def text_slices(batch: pa.RecordBatch, column: int, rows: int = 512, size: int = 1 << 22) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of a batch with their texts (null as empty), so that only few texts are Python objects at once."""
-    sizes = np.array(pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+    sizes = np.array(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
     first, held = 0, 0
     for i in range(len(batch) + 1):
         if i == len(batch) or i - first >= rows or (held and held + sizes[i] > size):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sightline.llm.blocks import cuts, find, grouped, mix, runs, span_hashes, with_columns
+from sightline.llm.blocks import cuts, find, grouped, mix, runs, span_hashes, tidy, with_columns
 from sightline.session import discard, materialize
 
 WORDS, PERCENT = 5, 80  # shingle length and similarity, unless a caller says otherwise
@@ -159,7 +159,7 @@ def signed(docs: DataFrame, text: str, key: str, words: int, percent: int) -> Da
                 )
 
     rows = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("t"))
-    return rows.mapInArrow(apply, "node long, n long, d1 long, d2 long, sigs array<long>, tags array<int>, sketch binary")
+    return rows.mapInArrow(tidy(apply), "node long, n long, d1 long, d2 long, sigs array<long>, tags array<int>, sketch binary")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, text: str, key: str, words: int) -> DataFrame:
@@ -200,7 +200,7 @@ def _allowed(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(keep))
 
     both = pairs.join(_SIDE(light, "u", "n", "sketch"), "u").join(_SIDE(light, "v", "n", "sketch"), "v")
-    return both.select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(allowed, "u long, v long")
+    return both.select("u", "v", "n_u", "n_v", "sketch_u", "sketch_v").mapInArrow(tidy(allowed), "u long, v long")
 
 
 def _bucket_pairs(few: DataFrame, light: DataFrame, percent: int) -> DataFrame:
@@ -227,7 +227,7 @@ def _bucket_pairs(few: DataFrame, light: DataFrame, percent: int) -> DataFrame:
                     out.append((np.minimum(node[a + i], node[a + near]), np.maximum(node[a + i], node[a + near])))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["u", "v"])
 
-    return members.select("members").mapInArrow(compare, "u long, v long").distinct()
+    return members.select("members").mapInArrow(tidy(compare), "u long, v long").distinct()
 
 
 def _verified(near: DataFrame, sets_of, percent: int) -> DataFrame:
@@ -240,7 +240,7 @@ def _verified(near: DataFrame, sets_of, percent: int) -> DataFrame:
 
     near = materialize(near, "allowed")
     sets = sets_of(near.select(F.col("u").alias("node")).union(near.select("v")).distinct())
-    return near.join(_SIDE(sets, "u", "items"), "u").join(_SIDE(sets, "v", "items"), "v").select("u", "v", "items_u", "items_v").mapInArrow(linked, "u long, v long")
+    return near.join(_SIDE(sets, "u", "items"), "u").join(_SIDE(sets, "v", "items"), "v").select("u", "v", "items_u", "items_v").mapInArrow(tidy(linked), "u long, v long")
 
 
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:

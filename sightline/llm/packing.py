@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sightline.llm.blocks import grouped
+from sightline.llm.blocks import grouped, tidy
 from sightline.llm.bpe import safe_pieces
 from sightline.llm.memory import Memory, Spans, text_slices
 from sightline.session import materialize
@@ -137,7 +137,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, te
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = dict(rows.dtypes)[key]
-    return rows.mapInArrow(apply, f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids)
+    return rows.mapInArrow(tidy(apply), f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids)
 
 
 def _take(left: np.ndarray, combination: list[int]) -> int:
@@ -254,7 +254,7 @@ def pack(table: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> Dat
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(bases[k] + rank), pa.array(at[k])], names=[*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in table.dtypes)
-    return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    return ranked.mapInArrow(tidy(place), f"{schema}, sequence_id long, offset long")
 
 
 def packed(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, text: str = "text", key: str = "doc_id", ids: bool = False) -> DataFrame:

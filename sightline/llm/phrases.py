@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,7 +186,7 @@ def _counted(batches, bitmap: np.ndarray, longest: int) -> Iterator[pa.RecordBat
             at = at[_marked(bitmap, keys[at])]
             if not len(at):
                 continue
-            found = pa.compute.value_counts(words.phrases(at, k))
+            found = pc.value_counts(words.phrases(at, k))
             out.append((k, found.field("values"), found.field("counts")))
         for k, phrase, n in out:
             size = len(phrase)

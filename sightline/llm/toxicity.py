@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sightline.llm.blocks import code_points, cuts, find, grouped, letter_table, runs, span_hashes, with_columns
+from sightline.llm.blocks import code_points, cuts, find, grouped, letter_table, runs, span_hashes, tidy, with_columns
 from sightline.session import discard, materialize
 
 TRAIN_ROWS = 20_000  # labelled documents that the model is fitted on, by hash of their id
@@ -113,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         return empty
     share = F.lit(size.bad / size.n)
     gain = (F.col("bad") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1)
-    words = sample.mapInArrow(count, "word long, n long, bad long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    words = sample.mapInArrow(tidy(count), "word long, n long, bad long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     top = words.where(gain >= LEAST_GAIN).orderBy(gain.desc(), "word").limit(FEATURES).select("word").toPandas()["word"].to_numpy(np.int64)
     table = np.sort(top.view(np.uint64))
 
@@ -131,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
                 cut = lambda x: [x[i:j].astype(np.int32).tobytes() for i, j in zip(order[:-1], order[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(marks[a:b], pa.int32()), pa.array(n.astype(np.int64)), pa.array(cut(hit)), pa.array(cut(where))], names=["y", "n", "words", "places"])
 
-    held = sample.mapInArrow(occurrences, "y int, n long, words binary, places binary").toPandas()
+    held = sample.mapInArrow(tidy(occurrences), "y int, n long, words binary, places binary").toPandas()
     discard(sample)
     return _solve(table, held["y"].to_numpy(np.float64), held["n"].to_numpy(np.float64), [np.frombuffer(x, np.int32) for x in held["words"]], [np.frombuffer(x, np.int32) for x in held["places"]])
 
