@@ -6,8 +6,12 @@ through that noisy-or, after which the sentence probabilities tell where the off
 
 Words are runs of letters and digits, lower-cased; sentences end at `.`, `!`, `?` or a line end. A word's
 features are the word and its first letters (`STEMS`), so inflected forms of an insult are known by their stem;
-each counts once per occurrence. Defined results: a null text, or one without words, has the probability of one
-wordless sentence. Repeated sentences count each time. Without labels of both kinds every weight is 0.
+each counts once per occurrence. Every feature of the labelled sample is kept, whichever way it points; a penalty
+and a pace by evidence (`_trust`) hold those that say little near 0. The sample takes up to half its rows from either label, and a row
+weighs as many as it stands for, so the scores keep the share of toxic documents.
+
+Defined results: a null text, or one without words, has the probability of one wordless sentence. Repeated sentences
+count each time. Without labels of both kinds there are no features.
 """
 
 from __future__ import annotations
@@ -23,11 +27,12 @@ from pyspark.sql import types as T
 from sightline.llm.blocks import code_points, cuts, find, grouped, letter_table, runs, span_hashes, tidy, with_columns
 from sightline.session import discard, materialize
 
-TRAIN_ROWS = 20_000  # labelled documents that the model is fitted on, by hash of their id
-FEATURES = 2_048  # words and stems that the model keeps: its size bound
+TRAIN_ROWS = 6_000  # labelled documents that the model is fitted on, half of either label, by hash of their id
 STEMS = (4, 5)  # lengths of the word beginnings that are features
-LEAST_GAIN = 4.0  # how far a feature must exceed the share of toxic documents, in standard errors
-STEPS = 300
+STEPS = 150
+PENALTY = 1e-4
+SURE = 4.0  # standard errors from which a weight moves freely
+POWER = 2
 THRESHOLD = 0.7
 _TABLE: list[np.ndarray] = []
 _ENDS = ".!?\n"
@@ -76,90 +81,88 @@ def sentences_of(texts: list[str]) -> tuple[np.ndarray, ...]:
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, rows: int) -> DataFrame:
-    marked = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
+    """y, t and w, the labelled documents that a row of the sample stands for."""
+    marked = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
+    marked = marked.select(F.col(key).alias("k"), (F.col(label) > 0).cast("int").alias("y"))
     one = marked.groupBy("k").agg(F.max("y").alias("y"))  # a row labelled twice is toxic if one label says so
-    total = one.count()
-    share = int(1_000_000 * min(1, rows / max(total, 1)))
-    one = one.where(F.pmod(F.xxhash64(F.col("k").cast("string")), F.lit(1_000_000)) < share)
-    return docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(one, "k").select("y", "t")
+    totals = {r.y: r["count"] for r in one.groupBy("y").count().collect()}
+    part = {y: min(1.0, rows / 2 / n) for y, n in totals.items()}
+    share = F.when(F.col("y") == 1, part.get(1, 1.0)).otherwise(part.get(0, 1.0))
+    place = F.shiftrightunsigned(F.xxhash64(F.col("k").cast("string")), 11) / float(1 << 53)
+    one = one.where(place < share).withColumn("w", 1 / share)
+    return docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(one, "k").select("y", "t", "w")
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", rows: int = TRAIN_ROWS) -> ToxicityModel:
-    """Learns from labelled documents: all of them up to `rows`, beyond that a sample by hash of the key.
+    """Learns from labelled documents: of either label all up to half of `rows`, beyond that a sample by hash of the key.
 
-    Words are counted by Spark; the `FEATURES` words that tell the classes apart best are kept. The driver
-    fits their weights on where these words occur in the sample, which `rows` bounds.
+    Tasks cut the texts into sentences and features; the driver fits the weights on the sample, which `rows` bounds.
     """
     sample = materialize(_sampled(docs, labels, text, key, label, rows), "toxicity-sample")
-
-    def count(batches):
-        for batch in batches:
-            marks, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in grouped(texts):
-                hashes, sentence, owner, *_ = sentences_of(texts[a:b])
-                if not len(hashes):
-                    continue
-                pairs = np.unique(np.column_stack([hashes, owner[sentence].astype(np.uint64)]), axis=0)
-                words, number = np.unique(pairs[:, 0], return_inverse=True)
-                toxic = np.array(marks[a:b], np.float64)[pairs[:, 1].astype(np.int64)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(words.view(np.int64)), pa.array(np.bincount(number).astype(np.int64)), pa.array(np.bincount(number, weights=toxic).astype(np.int64))],
-                    names=["word", "n", "bad"],
-                )
-
-    size = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("bad")).first()
-    empty = ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -6.0)
-    if not 0 < size.bad < size.n:
-        return empty
-    share = F.lit(size.bad / size.n)
-    gain = (F.col("bad") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1)
-    words = sample.mapInArrow(tidy(count), "word long, n long, bad long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    top = words.where(gain >= LEAST_GAIN).orderBy(gain.desc(), "word").limit(FEATURES).select("word").toPandas()["word"].to_numpy(np.int64)
-    table = np.sort(top.view(np.uint64))
+    if len(sample.select("y").distinct().collect()) < 2:
+        discard(sample)
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -6.0)
 
     def occurrences(batches):
         for batch in batches:
-            marks, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            marks, texts, shares = (batch.column(i).to_pylist() for i in range(3))
             for a, b in grouped(texts):
                 hashes, sentence, owner, *_ = sentences_of(texts[a:b])
-                at = find(table, hashes)
                 n = np.bincount(owner, minlength=b - a)
-                hit, where = at[at >= 0].astype(np.int32), sentence[at >= 0]
-                by = np.argsort(where, kind="stable")
-                hit, where = hit[by], where[by]
+                by = np.argsort(sentence, kind="stable")
+                words, where = hashes[by], sentence[by].astype(np.int32)
                 order = np.searchsorted(owner[where], np.arange(b - a + 1)) if len(where) else np.zeros(b - a + 1, int)
-                cut = lambda x: [x[i:j].astype(np.int32).tobytes() for i, j in zip(order[:-1], order[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(marks[a:b], pa.int32()), pa.array(n.astype(np.int64)), pa.array(cut(hit)), pa.array(cut(where))], names=["y", "n", "words", "places"])
+                pieces = lambda x: [x[i:j].tobytes() for i, j in zip(order[:-1], order[1:], strict=True)]
+                columns = [pa.array(marks[a:b], pa.int32()), pa.array(shares[a:b], pa.float64()), pa.array(n.astype(np.int64)), pa.array(pieces(words)), pa.array(pieces(where))]
+                yield pa.RecordBatch.from_arrays(columns, names=["y", "w", "n", "words", "places"])
 
-    held = sample.mapInArrow(tidy(occurrences), "y int, n long, words binary, places binary").toPandas()
+    held = sample.mapInArrow(tidy(occurrences), "y int, w double, n long, words binary, places binary").toPandas()
     discard(sample)
-    return _solve(table, held["y"].to_numpy(np.float64), held["n"].to_numpy(np.float64), [np.frombuffer(x, np.int32) for x in held["words"]], [np.frombuffer(x, np.int32) for x in held["places"]])
-
-
-def _solve(table: np.ndarray, y: np.ndarray, n: np.ndarray, words: list[np.ndarray], places: list[np.ndarray]) -> ToxicityModel:
-    """Maximum likelihood of the document labels under the noisy-or, with a small penalty, by adaptive steps."""
+    words = [np.frombuffer(x, np.uint64) for x in held["words"]]
+    table, numbers = np.unique(np.concatenate(words), return_inverse=True)
+    cut = np.cumsum([len(w) for w in words])[:-1]
+    y, w, n = (held[c].to_numpy(np.float64) for c in ("y", "w", "n"))
+    return _solve(table, y, n, np.split(numbers.astype(np.int32), cut), [np.frombuffer(x, np.int32) for x in held["places"]], w)
+
+
+def _trust(table: np.ndarray, doc: np.ndarray, word: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How freely each feature's weight may move, 0 to 1: by how many standard errors the toxic share of its documents
+    is off the sample's. Thousands of words occur in one toxic document by chance; few do so in many of them."""
+    pairs = np.unique(doc.astype(np.int64) * len(table) + word)
+    place = pairs % len(table)
+    n = np.bincount(place, minlength=len(table))
+    bad = np.bincount(place, weights=y[pairs // len(table)], minlength=len(table))
+    part = y.mean()
+    gain = (bad - n * part) / np.sqrt(n * part * (1 - part) + 1)
+    return np.minimum(1, np.abs(gain) / SURE) ** POWER
+
+
+def _solve(table: np.ndarray, y: np.ndarray, n: np.ndarray, words: list[np.ndarray], places: list[np.ndarray], weights: np.ndarray) -> ToxicityModel:
+    """Weighted maximum likelihood of the document labels under the noisy-or, with a small penalty, by adaptive steps."""
     doc = np.repeat(np.arange(len(y)), [len(w) for w in words])
-    word, place = np.concatenate(words).astype(np.int64), np.concatenate(places).astype(np.int64)
+    word, place = np.concatenate(words), np.concatenate(places).astype(np.int64)
     pair, sentence = np.unique(doc * (place.max(initial=0) + 1) + place, return_inverse=True)
     owner = pair // (place.max(initial=0) + 1)
-    plain = np.maximum(n, 1) - np.bincount(owner, minlength=len(y))  # sentences without any kept word
+    share = weights / weights.sum()
+    trust = _trust(table, doc, word, y)
+    plain = np.maximum(n, 1) - np.bincount(owner, minlength=len(y))  # sentences without any word
     theta, m, v = np.zeros(len(table) + 1), np.zeros(len(table) + 1), np.zeros(len(table) + 1)
     theta[-1] = -6.0
     rate = 0.1
     for step in range(1, STEPS + 1):
-        w, b = theta[:-1], theta[-1]
+        w, b = theta[:-1] * trust, theta[-1]
         z = b + np.bincount(sentence, weights=w[word], minlength=len(pair))
         p, p0 = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-b))
         calm = np.bincount(owner, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(y)) + plain * np.log1p(-p0)
         noisy = np.clip(-np.expm1(calm), 1e-9, 1.0)
-        pull = np.where(y > 0, (1 - noisy) / noisy, -1.0)  # d log likelihood / d (-calm)
+        pull = np.where(y > 0, (1 - noisy) / noisy, -1.0) * share  # d log likelihood / d (-calm)
         force = pull[owner] * p
-        gradient = np.append(np.bincount(word, weights=force[sentence], minlength=len(table)), force.sum() + (pull * plain).sum() * p0) / len(y)
-        gradient[:-1] -= 3e-4 * w
+        gradient = np.append(np.bincount(word, weights=force[sentence], minlength=len(table)), force.sum() + (pull * plain).sum() * p0)
+        gradient[:-1] = gradient[:-1] * trust - PENALTY * theta[:-1]
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         theta[-1] = min(theta[-1], -4.0)
-    return ToxicityModel(table, theta[:-1], float(theta[-1]))
+    return ToxicityModel(table, theta[:-1] * trust, float(theta[-1]))
 
 
 def judge(model: ToxicityModel, texts: list[str | None]) -> tuple[np.ndarray, list[list[dict]]]:
@@ -194,7 +197,7 @@ def judge(model: ToxicityModel, texts: list[str | None]) -> tuple[np.ndarray, li
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """The rows with `toxicity` (0 to 1) and `offending`, the sentences that are more likely toxic than not."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES words
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the features of at most TRAIN_ROWS documents
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType())])
     fields = [T.StructField("toxicity", T.DoubleType()), T.StructField("offending", T.ArrayType(span))]
     return with_columns(docs, text, fields, lambda: lambda texts: judge(shared.value, texts))

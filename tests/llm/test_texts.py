@@ -216,6 +216,59 @@ def test_toxicity_score_is_the_noisy_or(spark):
     assert [(s["start"], s["end"]) for s in spans[0]] == [(0, 3), (16, 23)]
 
 
+def test_toxicity_fit_is_a_maximum(spark, monkeypatch):
+    """The fitted weights against the likelihood by loops: no single weight can be moved to a better place."""
+    monkeypatch.setattr(toxicity, "STEPS", 4_000)
+    texts = ["bad day. fine day", "bad bad word here", "good day. kind word", "kind day", "fine word", "bad kind day", "so so", ""]
+    y = [1, 1, 0, 0, 0, 1, 0, 0]
+    w = [1.0, 1.0, 2.0, 2.0, 2.0, 1.0, 2.0, 2.0]
+    seen = []
+    for text in texts:
+        sentences = [s.split() for s in text.replace(".", "\n").split("\n")]
+        seen.append([[word for word in s] + [word[:4] + "~" for word in s if len(word) > 4] for s in sentences])
+    names = sorted({f for doc in seen for s in doc for f in s})
+    at = {f: i for i, f in enumerate(names)}
+    words = [np.array([at[f] for s in doc for f in s], np.int32) for doc in seen]
+    places = [np.array([j for j, s in enumerate(doc) for _ in s], np.int32) for doc in seen]
+    places = [p + 10 * i for i, p in enumerate(places)]  # numbered over all texts
+    n = np.array([sum(bool(s) for s in doc) for doc in seen], float)
+    model = toxicity._solve(np.arange(len(names)).astype(np.uint64), np.array(y, float), n, words, places, np.array(w))
+
+    part = sum(y) / len(y)
+    trust = []
+    for f in names:
+        have = [i for i, doc in enumerate(seen) if any(f in s for s in doc)]
+        gain = (sum(y[i] for i in have) - len(have) * part) / (len(have) * part * (1 - part) + 1) ** 0.5
+        trust.append(min(1, abs(gain) / toxicity.SURE) ** toxicity.POWER)
+
+    def value(theta):
+        total = -toxicity.PENALTY / 2 * sum(t * t for t in theta[:-1])
+        for doc, mark, share in zip(seen, y, w, strict=True):
+            calm = 1.0
+            for s in [s for s in doc if s] or [[]]:
+                calm *= 1 - 1 / (1 + np.exp(-theta[-1] - sum(trust[at[f]] * theta[at[f]] for f in s)))
+            total += share / sum(w) * np.log(1 - calm if mark else calm)
+        return total
+
+    theta = np.array([*(model.weights / np.array(trust)), model.bias])
+    best = value(theta)
+    for i in range(len(theta)):
+        for step in (-0.5, 0.5):
+            moved = theta.copy()
+            moved[i] += step
+            if moved[-1] <= -4:
+                assert value(moved) < best + 1e-6
+    assert (model.weights < 0).any() and (model.weights > 0).any()
+
+
+def test_toxicity_sample_takes_both_labels(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 100 == 0).cast("int").alias("toxic"))
+    rows = toxicity._sampled(docs, labels, "text", "doc_id", "toxic", 400).groupBy("y").agg(F.count("*").alias("n"), F.sum("w").alias("w")).collect()
+    found = {r.y: (r.n, r.w) for r in rows}
+    assert found[1] == (40, 40.0) and 150 < found[0][0] < 250 and 3000 < found[0][1] < 5000
+
+
 # byte-level BPE
 
 
