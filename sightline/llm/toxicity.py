@@ -7,8 +7,8 @@ through that noisy-or, after which the sentence probabilities tell where the off
 Words are runs of letters and digits, lower-cased; sentences end at `.`, `!`, `?` or a line end. A word's
 features are the word and its first letters (`STEMS`), so inflected forms of an insult are known by their stem;
 each counts once per occurrence. Every feature of the labelled sample is kept, whichever way it points; a penalty
-and a pace by evidence (`_trust`) hold those that say little near 0. The sample takes up to half its rows from either label, and a row
-weighs as many as it stands for, so the scores keep the share of toxic documents.
+and a pace by evidence (`_trust`) hold those that say little near 0. The sample takes up to half its rows from
+either label, and a row weighs as many as it stands for, so the scores keep the share of toxic documents.
 
 Defined results: a null text, or one without words, has the probability of one wordless sentence. Repeated sentences
 count each time. Without labels of both kinds there are no features.
@@ -108,56 +108,62 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
             marks, texts, shares = (batch.column(i).to_pylist() for i in range(3))
             for a, b in grouped(texts):
                 hashes, sentence, owner, *_ = sentences_of(texts[a:b])
-                n = np.bincount(owner, minlength=b - a)
-                by = np.argsort(sentence, kind="stable")
-                words, where = hashes[by], sentence[by].astype(np.int32)
-                order = np.searchsorted(owner[where], np.arange(b - a + 1)) if len(where) else np.zeros(b - a + 1, int)
-                pieces = lambda x: [x[i:j].tobytes() for i, j in zip(order[:-1], order[1:], strict=True)]
-                columns = [pa.array(marks[a:b], pa.int32()), pa.array(shares[a:b], pa.float64()), pa.array(n.astype(np.int64)), pa.array(pieces(words)), pa.array(pieces(where))]
-                yield pa.RecordBatch.from_arrays(columns, names=["y", "w", "n", "words", "places"])
-
-    held = sample.mapInArrow(tidy(occurrences), "y int, w double, n long, words binary, places binary").toPandas()
+                words = hashes[np.argsort(sentence, kind="stable")]
+                sizes = np.bincount(sentence, minlength=len(owner))
+                first = np.searchsorted(owner, np.arange(b - a + 1))
+                ends = np.append(0, np.cumsum(sizes))[first]
+                pieces = lambda x, at: [x[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
+                columns = [pa.array(marks[a:b], pa.int32()), pa.array(shares[a:b], pa.float64()), pa.array(np.diff(first).astype(np.int64))]
+                columns += [pa.array(pieces(words, ends), pa.binary()), pa.array(pieces(sizes.astype(np.int32), first), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["y", "w", "n", "words", "sizes"])
+
+    held = sample.mapInArrow(tidy(occurrences), "y int, w double, n long, words binary, sizes binary").toArrow()
     discard(sample)
-    words = [np.frombuffer(x, np.uint64) for x in held["words"]]
-    table, numbers = np.unique(np.concatenate(words), return_inverse=True)
-    cut = np.cumsum([len(w) for w in words])[:-1]
-    y, w, n = (held[c].to_numpy(np.float64) for c in ("y", "w", "n"))
-    return _solve(table, y, n, np.split(numbers.astype(np.int32), cut), [np.frombuffer(x, np.int32) for x in held["places"]], w)
+    y, w, n = (held[c].to_numpy().astype(np.float64) for c in ("y", "w", "n"))
+    sizes = np.frombuffer(b"".join(held["sizes"].to_pylist()), np.int32)
+    hashes = np.frombuffer(b"".join(held["words"].to_pylist()), np.uint64)
+    del held
+    table = np.unique(hashes)
+    return _solve(table, y, n.astype(np.int64), np.searchsorted(table, hashes).astype(np.int32), sizes, w)
 
 
-def _trust(table: np.ndarray, doc: np.ndarray, word: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _trust(table: np.ndarray, word: np.ndarray, ends: np.ndarray, y: np.ndarray) -> np.ndarray:
     """How freely each feature's weight may move, 0 to 1: by how many standard errors the toxic share of its documents
     is off the sample's. Thousands of words occur in one toxic document by chance; few do so in many of them."""
-    pairs = np.unique(doc.astype(np.int64) * len(table) + word)
-    place = pairs % len(table)
-    n = np.bincount(place, minlength=len(table))
-    bad = np.bincount(place, weights=y[pairs // len(table)], minlength=len(table))
+    n, bad = np.zeros(len(table)), np.zeros(len(table))
+    for first, last, mark in zip(np.append(0, ends[:-1]), ends, y, strict=True):
+        found = np.unique(word[first:last])
+        n[found] += 1
+        bad[found] += mark
     part = y.mean()
     gain = (bad - n * part) / np.sqrt(n * part * (1 - part) + 1)
     return np.minimum(1, np.abs(gain) / SURE) ** POWER
 
 
-def _solve(table: np.ndarray, y: np.ndarray, n: np.ndarray, words: list[np.ndarray], places: list[np.ndarray], weights: np.ndarray) -> ToxicityModel:
-    """Weighted maximum likelihood of the document labels under the noisy-or, with a small penalty, by adaptive steps."""
-    doc = np.repeat(np.arange(len(y)), [len(w) for w in words])
-    word, place = np.concatenate(words), np.concatenate(places).astype(np.int64)
-    pair, sentence = np.unique(doc * (place.max(initial=0) + 1) + place, return_inverse=True)
-    owner = pair // (place.max(initial=0) + 1)
+def _solve(table: np.ndarray, y: np.ndarray, n: np.ndarray, word: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> ToxicityModel:
+    """Weighted maximum likelihood of the document labels under the noisy-or, with a small penalty, by adaptive steps.
+
+    Documents have `n` sentences each, sentences `sizes` features, and `word` says which. All are in order, so sums over
+    a sentence are sums over a slice.
+    """
+    owner = np.repeat(np.arange(len(y)), n)
+    firsts = np.append(0, np.cumsum(sizes)[:-1])[: len(sizes)]
     share = weights / weights.sum()
-    trust = _trust(table, doc, word, y)
-    plain = np.maximum(n, 1) - np.bincount(owner, minlength=len(y))  # sentences without any word
+    ends = np.append(0, np.cumsum(sizes))[np.cumsum(n)]
+    trust = _trust(table, word, ends, y)
+    plain = (n == 0).astype(np.float64)  # a document without words counts as one wordless sentence
     theta, m, v = np.zeros(len(table) + 1), np.zeros(len(table) + 1), np.zeros(len(table) + 1)
     theta[-1] = -6.0
     rate = 0.1
     for step in range(1, STEPS + 1):
         w, b = theta[:-1] * trust, theta[-1]
-        z = b + np.bincount(sentence, weights=w[word], minlength=len(pair))
+        z = b + (np.add.reduceat(w[word], firsts) if len(word) else np.zeros(0))
         p, p0 = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-b))
         calm = np.bincount(owner, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(y)) + plain * np.log1p(-p0)
         noisy = np.clip(-np.expm1(calm), 1e-9, 1.0)
         pull = np.where(y > 0, (1 - noisy) / noisy, -1.0) * share  # d log likelihood / d (-calm)
         force = pull[owner] * p
-        gradient = np.append(np.bincount(word, weights=force[sentence], minlength=len(table)), force.sum() + (pull * plain).sum() * p0)
+        gradient = np.append(np.bincount(word, weights=np.repeat(force, sizes), minlength=len(table)), force.sum() + (pull * plain).sum() * p0)
         gradient[:-1] = gradient[:-1] * trust - PENALTY * theta[:-1]
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)

@@ -228,11 +228,11 @@ def test_toxicity_fit_is_a_maximum(spark, monkeypatch):
         seen.append([[word for word in s] + [word[:4] + "~" for word in s if len(word) > 4] for s in sentences])
     names = sorted({f for doc in seen for s in doc for f in s})
     at = {f: i for i, f in enumerate(names)}
-    words = [np.array([at[f] for s in doc for f in s], np.int32) for doc in seen]
-    places = [np.array([j for j, s in enumerate(doc) for _ in s], np.int32) for doc in seen]
-    places = [p + 10 * i for i, p in enumerate(places)]  # numbered over all texts
-    n = np.array([sum(bool(s) for s in doc) for doc in seen], float)
-    model = toxicity._solve(np.arange(len(names)).astype(np.uint64), np.array(y, float), n, words, places, np.array(w))
+    spoken = [[s for s in doc if s] for doc in seen]
+    word = np.array([at[f] for doc in spoken for s in doc for f in s], np.int32)
+    sizes = np.array([len(s) for doc in spoken for s in doc], np.int32)
+    n = np.array([len(doc) for doc in spoken])
+    model = toxicity._solve(np.arange(len(names)).astype(np.uint64), np.array(y, float), n, word, sizes, np.array(w))
 
     part = sum(y) / len(y)
     trust = []
