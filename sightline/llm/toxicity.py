@@ -11,7 +11,8 @@ and a pace by evidence (`_trust`) hold those that say little near 0. The sample
 either label, and a row weighs as many as it stands for, so the scores keep the share of toxic documents.
 
 Defined results: a null text, or one without words, has the probability of one wordless sentence. Repeated sentences
-count each time. Without labels of both kinds there are no features.
+count each time. Documents that share a key are one to the fit, with the first of their texts in order. Without labels
+of both kinds there are no features.
 """
 
 from __future__ import annotations
@@ -80,8 +81,8 @@ def sentences_of(texts: list[str]) -> tuple[np.ndarray, ...]:
     return np.concatenate(features), np.concatenate(places), text, starts[new] - firsts[text], ends[last] - firsts[text]
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, rows: int) -> DataFrame:
-    """y, t and w, the labelled documents that a row of the sample stands for."""
+def _chosen(labels: DataFrame, key: str, label: str, rows: int) -> DataFrame:
+    """k, y and w, the labelled documents that a row of the sample stands for: about `rows` keys."""
     marked = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
     marked = marked.select(F.col(key).alias("k"), (F.col(label) > 0).cast("int").alias("y"))
     one = marked.groupBy("k").agg(F.max("y").alias("y"))  # a row labelled twice is toxic if one label says so
@@ -89,8 +90,17 @@ def _sampled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str
     part = {y: min(1.0, rows / 2 / n) for y, n in totals.items()}
     share = F.when(F.col("y") == 1, part.get(1, 1.0)).otherwise(part.get(0, 1.0))
     place = F.shiftrightunsigned(F.xxhash64(F.col("k").cast("string")), 11) / float(1 << 53)
-    one = one.where(place < share).withColumn("w", 1 / share)
-    return docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(one, "k").select("y", "t", "w")
+    return one.where(place < share).withColumn("w", 1 / share)
+
+
+def _sampled(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, rows: int) -> DataFrame:
+    """y, t and w of the chosen keys, stored. Texts meet the stored keys where they are read, so only the sample's move."""
+    chosen = materialize(_chosen(labels, key, label, rows), "toxicity-keys")
+    texts = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    one = texts.join(chosen, "k").groupBy("k", "y", "w").agg(F.min("t").alias("t"))
+    sample = materialize(one.select("y", "t", "w"), "toxicity-sample")
+    discard(chosen)
+    return sample
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", rows: int = TRAIN_ROWS) -> ToxicityModel:
@@ -98,7 +108,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
     Tasks cut the texts into sentences and features; the driver fits the weights on the sample, which `rows` bounds.
     """
-    sample = materialize(_sampled(docs, labels, text, key, label, rows), "toxicity-sample")
+    sample = _sampled(docs, labels, text, key, label, rows)
     if len(sample.select("y").distinct().collect()) < 2:
         discard(sample)
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -6.0)
