@@ -177,10 +177,11 @@ def dual_truth_join(spark, d):
 
 @register(
     "group_by_label",
-    "SELECT label, ('0x' || substr(md5(object_id), 1, 4))::BIGINT % 16 AS piece, string_agg(object_id, ',' ORDER BY object_id) AS object_ids FROM fx_names GROUP BY 1, 2",
+    """SELECT label, (place - 1) // 100 AS piece, string_agg(object_id, ',' ORDER BY place) AS object_ids
+FROM (SELECT label, object_id, row_number() OVER (PARTITION BY label ORDER BY object_id) AS place FROM fx_names) t GROUP BY 1, 2""",
 )
 def group_by_label(spark, d):
-    grouped = labels.group_by_label(fx.database(spark, d))
+    grouped = labels.group_by_label(fx.database(spark, d), size=100)
     return grouped.select("label", "piece", F.array_join("object_ids", ",").alias("object_ids"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.functions import paths
@@ -87,15 +87,30 @@ def unmapped_sample(unmapped: DataFrame, sample: int = 10) -> DataFrame:
     return unmapped.orderBy("object_id").limit(sample).select("object_id", total.alias("total_unmapped"))
 
 
-def group_by_label(labels: DataFrame, pieces: int = 16) -> DataFrame:
-    """Sorted ID lists per label, in pieces: (label, piece, object_ids).
+def group_by_label(labels: DataFrame, size: int = 10_000) -> DataFrame:
+    """Each label's IDs as one sorted list in pieces of ``size``: (label, piece, object_ids).
 
-    Every label is spread over the same ``pieces`` by a hash of the ID, whatever its size; choose so many that a
-    piece of the largest label fits a task. The union of a label's pieces is its whole list.
+    Pieces are numbered from 0 in ID order, so a label's pieces one after the other are its whole list.
+    The rows are sorted over all tasks by label and ID and written; a row's rank is its place in its
+    range plus the label's rows in the ranges before, so a hot label fills many ranges and many pieces.
+    Rows without an ID are left out, a repeated ID is listed each time, and a NULL label is a label.
     """
-    byte = F.conv(F.substring(F.md5("object_id"), 1, 4), 16, 10).cast("bigint")
+    rows = labels.filter("object_id IS NOT NULL").select("label", "object_id", F.monotonically_increasing_id().alias("__row"))
+    order = ["label", "object_id", "__row"]  # the row number lets a range end within a repeated ID
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "label", "object_id", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__at")
+    )
+    stored = materialize(ranges, "label_ranges")
+    sizes = stored.groupBy("label", "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    before = Window.partitionBy("label").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        F.col("label").alias("__label"), F.col("__part").alias("__p"), (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift")
+    )
+    known = materialize(offsets, "label_offsets")  # a row per label and range, so the planner knows its size
+    ranked = stored.join(known, (F.col("__part") == F.col("__p")) & F.col("label").eqNullSafe(F.col("__label")))
+    piece = F.floor((F.col("__at") + F.col("__shift")) / size)
     return (
-        labels.withColumn("piece", byte % pieces)
+        ranked.withColumn("piece", piece)
         .groupBy("label", "piece")
         .agg(F.array_sort(F.collect_list("object_id")).alias("object_ids"))
     )
