@@ -82,14 +82,7 @@ MOBILECLIP = """round(avg(CASE WHEN top1_correct THEN 1.0::DOUBLE ELSE 0 END), 6
     f"SELECT false AS fallback, {MOBILECLIP.format(hit='strict_hit')} FROM fx_flags UNION ALL SELECT true, {MOBILECLIP.format(hit='loose_hit')} FROM fx_flags",
 )
 def mobileclip_metrics(spark, d):
-    both = [
-        metrics.mobileclip_metrics(fx.predictions(spark, d), flag).select(
-            F.lit(flag).alias("fallback"), r6("top1_accuracy").alias("top1_accuracy"), r6("top2_accuracy").alias("top2_accuracy"),
-            "num_images", r6("average_inference_ms").alias("average_inference_ms"),
-        )
-        for flag in (False, True)
-    ]
-    return both[0].unionByName(both[1])
+    return rounded(metrics.mobileclip_metrics_by_fallback(fx.predictions(spark, d)), ["top1_accuracy", "top2_accuracy", "average_inference_ms"])
 
 
 def hybrid_sql(hit: str, prefix: str = "") -> str:
@@ -113,11 +106,7 @@ def rounded(df, names):
     f"SELECT false AS fallback, {hybrid_sql('strict_hit')} FROM fx_flags UNION ALL SELECT true, {hybrid_sql('loose_hit')} FROM fx_flags",
 )
 def hybrid_metrics(spark, d):
-    both = [
-        rounded(metrics.hybrid_metrics(fx.predictions(spark, d), flag), HYBRID_RATES).select(F.lit(flag).alias("fallback"), "*")
-        for flag in (False, True)
-    ]
-    return both[0].unionByName(both[1])
+    return rounded(metrics.hybrid_metrics_by_fallback(fx.predictions(spark, d)), HYBRID_RATES)
 
 
 @register(
@@ -203,13 +192,13 @@ def classification_metrics(spark, d):
     return rounded(metrics.classification_metrics(known_counts(spark, d)), SCORE_NAMES)
 
 
-@register(
-    "classification_report",
-    """SELECT label, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1_score, support FROM fx_rates
+REPORT_ROWS = """SELECT label, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1_score, support FROM fx_rates
 UNION ALL SELECT 'accuracy', round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM fx_rates
 UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(sum(support) AS BIGINT) FROM fx_rates
-UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM fx_rates""",
-)
+UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM fx_rates"""
+
+
+@register("classification_report", REPORT_ROWS)
 def classification_report(spark, d):
     report = metrics.classification_report(known_counts(spark, d), fx.type_encoder(spark, d))
     return rounded(report, ["precision", "recall", "f1_score"])
@@ -240,6 +229,30 @@ def metrics_report(spark, d):
     return flat_report(metrics.metrics_report(fx.predictions(spark, d), fx.type_encoder(spark, d), failures))
 
 
+def long_sql(section: str, names: list[str], sql: str, label: str = "NULL::VARCHAR", predicted: str = "NULL::VARCHAR") -> str:
+    """The named columns of a statement as rows of the long report."""
+    listed, values = ", ".join(f"'{n}'" for n in names), ", ".join(f'"{n}"::DOUBLE' for n in names)
+    return f"SELECT '{section}' AS section, {label} AS label, {predicted} AS predicted, unnest([{listed}]) AS metric, round(unnest([{values}]), 6) AS value FROM ({sql}) t"
+
+
+REPORT_TABLE = " UNION ALL ".join(
+    [
+        long_sql("mobileclip", ["top1_accuracy", "top2_accuracy", "num_images", "average_inference_ms"], f"SELECT {MOBILECLIP.format(hit='strict_hit')} FROM fx_flags"),
+        long_sql("hybrid", ["num_images", *SOURCES, *HYBRID_RATES], f"SELECT {hybrid_sql('strict_hit')} FROM fx_flags"),
+        long_sql("classifier", [*SCORE_NAMES, "num_samples"], f"SELECT {CLASS_SCORES} FROM fx_rates"),
+        long_sql("per_category", ["precision", "recall", "f1_score", "support"], REPORT_ROWS, "label"),
+        long_sql("confusion_matrix", ["n"], "SELECT * FROM fx_pairs", "y", "y_pred"),
+        long_sql("run", ["num_images", "num_failures"], "SELECT (SELECT count(*) FROM fx_predictions) AS num_images, (SELECT count(*) FROM fx_manifest WHERE image_path LIKE '%malformed%') AS num_failures"),
+    ]
+)
+
+
+@register("report_table", REPORT_TABLE)
+def report_table(spark, d):
+    failures = fx.manifest(spark, d).filter(F.contains("image_path", F.lit("malformed")))
+    return rounded(metrics.report_table(fx.predictions(spark, d), fx.type_encoder(spark, d), failures), ["value"])
+
+
 def saved_predictions(spark, d, fallback=False):
     """The prediction records, written by the sink; returns the folder."""
     path = shared_dir(spark, "predictions")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sightline.functions import outcomes
 from sightline.schemas import SOURCES
+from sightline.session import materialize
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -89,6 +90,21 @@ def hybrid_metrics(df: DataFrame, fallback: bool = False) -> DataFrame:
     return df.groupBy("classifier_gt").agg(*outcome_sums(fallback)).agg(*hybrid_columns())
 
 
+def sums_by_fallback(df: DataFrame, *keys: str) -> DataFrame:
+    """Outcome sums without and with the fallback from one scan: two rows per key, told apart by ``fallback``."""
+    sums = [F.struct(F.lit(flag).alias("fallback"), *outcome_sums(flag)) for flag in (False, True)]
+    return df.groupBy(*keys).agg(F.array(*sums).alias("sums")).select(*keys, F.inline("sums"))
+
+
+def mobileclip_metrics_by_fallback(df: DataFrame) -> DataFrame:
+    return sums_by_fallback(df).groupBy("fallback").agg(*mobileclip_columns())
+
+
+def hybrid_metrics_by_fallback(df: DataFrame) -> DataFrame:
+    """One row per setting, none without records."""
+    return sums_by_fallback(df, "classifier_gt").groupBy("fallback").agg(*hybrid_columns())
+
+
 def hybrid_class_counts(df: DataFrame, fallback: bool = False) -> DataFrame:
     """Rows and hits per truth-B class."""
     return df.groupBy("classifier_gt").agg(
@@ -375,3 +391,45 @@ def _classifier_section(report: DataFrame) -> DataFrame:
             F.concat(F.transform("listed", lambda x: x["row"]), F.array("acc", "macro", "weighted")).alias("per_category"),
         ).alias("classifier"),
     )
+
+
+def _long(df: DataFrame, section: str, *keys: str) -> DataFrame:
+    """(section, label, predicted, metric, value): one row per column of ``df`` that is no key."""
+    entries = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in df.columns if c not in keys]
+    named = [(F.col(c) if c in keys else F.lit(None)).cast("string").alias(c) for c in ("label", "predicted")]
+    return df.select(F.lit(section).alias("section"), *named, F.inline(F.array(*entries)))
+
+
+def report_table(df: DataFrame, encoder: DataFrame | None = None, failures: DataFrame | None = None, fallback: bool = False) -> DataFrame:
+    """The figures of `metrics_report` as one long table (section, label, predicted, metric, value).
+
+    No row grows with the class list: ``per_category`` has rows per class and for the three averages,
+    ``confusion_matrix`` a row per cell above zero. The records are read once; their sums per (truth,
+    prediction) are written, and every section is made of them. Without an encoder the three sections
+    of the head are left out, without records all but ``run``. A prediction outside the encoder for a
+    truth inside it is an error.
+    """
+    pairs = materialize(df.groupBy("classifier_gt", "classifier_pred").agg(*outcome_sums(fallback)), "report_pairs")
+    per_truth = pairs.groupBy("classifier_gt").agg(*[F.sum(c).alias(c) for c in SUMMED])
+    sections = [_long(pairs.agg(*mobileclip_columns()), "mobileclip"), _long(per_truth.agg(*hybrid_columns()), "hybrid")]
+    if encoder is not None:
+        truth = encoder.select(F.col("label").alias("y"))
+        guess = encoder.select(F.col("label").alias("__known"))
+        counts = pairs.select(F.col("classifier_gt").alias("y"), F.col("classifier_pred").alias("y_pred"), "n").join(truth, "y", "left_semi")
+        problem = F.concat(F.lit("prediction outside the label encoder: "), F.coalesce("y_pred", F.lit("NULL")))
+        checked = F.when(F.col("__known").isNull(), F.raise_error(problem).cast("string")).otherwise(F.col("y_pred"))
+        counts = counts.join(guess, F.col("y_pred") == F.col("__known"), "left").select("y", checked.alias("y_pred"), "n")
+        sums = class_sums(counts, encoder)
+        sections += [
+            _long(sums.agg(*_classification_columns()), "classifier"),
+            _long(sums.select(_per_class().alias("c")).select("c.*"), "per_category", "label"),
+            _long(sums.agg(F.array(*_summary_rows()).alias("rows")).select(F.inline("rows")), "per_category", "label"),
+            _long(counts.select(F.col("y").alias("label"), F.col("y_pred").alias("predicted"), "n"), "confusion_matrix", "label", "predicted"),
+        ]
+    table = sections[0]
+    for section in sections[1:]:
+        table = table.unionByName(section)
+    images = F.coalesce(pairs.agg(F.sum("n").alias("n")).scalar(), F.lit(0))
+    failed = F.lit(0).cast("bigint") if failures is None else failures.agg(F.count(F.lit(1)).alias("n")).scalar()
+    run = df.sparkSession.range(1).select(images.alias("num_images"), failed.alias("num_failures"))
+    return table.filter(images > 0).unionByName(_long(run, "run"))

@@ -11,9 +11,9 @@ from sightline.operators import detection, numeric
 @pytest.mark.parametrize(
     "box, size, expansion, expected",
     [
-        ((50, 50, 100, 100), (200, 200), 0.2, (40, 40, 110, 110)),
-        ((0, 0, 90, 90), (100, 100), 0.2, (0, 0, 100, 100)),
-        ((50, 50, 100, 100), (200, 200), 0.0, (50, 50, 100, 100)),
+        ((30, 12, 70, 92), (160, 120), 0.5, (10, 0, 90, 120)),
+        ((4, 60, 44, 76), (48, 80), 0.25, (0, 56, 48, 80)),
+        ((7, 9, 31, 25), (64, 64), 0.0, (7, 9, 31, 25)),
         ((10.9, 3.2, 20.1, 8.7), (64, 64), 0.1, (9, 2, 21, 9)),
         ((-0.5, -3.0, 1.0, 1.0), (64, 64), 0.0, (0, 0, 1, 1)),
     ],

@@ -228,3 +228,42 @@ def test_balanced_accuracy_by_loop(frame):
         hits[r[3]].append(r[0] in (r[1], r[2]) or r[3] == r[4])
     want = sum(sum(v) / len(v) for v in hits.values()) / len(hits)
     assert metrics.hybrid_balanced_accuracy(records(frame, rows)).first().hybrid_balanced_accuracy == pytest.approx(want)
+
+
+@pytest.mark.parametrize("fallback", [False, True])
+def test_long_report_equals_the_nested_one(frame, fallback):
+    df = records(frame, random_rows(seed=11))
+    encoder = frame(list(enumerate(ENCODER)), "label_idx int, label string")
+    failures = frame([("x", "e")], "image string, error string")
+    nested = metrics.metrics_report(df, encoder, failures, fallback).first()
+    got = {tuple(r)[:4]: r.value for r in metrics.report_table(df, encoder, failures, fallback).collect()}
+    want = {("run", None, None, "num_images"): nested.hybrid.num_images, ("run", None, None, "num_failures"): 1}
+    section = nested.classifier.asDict()
+    matrix, per_category = section.pop("confusion_matrix"), section.pop("per_category")
+    for name, figures in (("mobileclip", nested.mobileclip.asDict()), ("hybrid", nested.hybrid.asDict()), ("classifier", section)):
+        want |= {(name, None, None, metric): value for metric, value in figures.items()}
+    for row in per_category:
+        want |= {("per_category", row.label, None, m): row[m] for m in ("precision", "recall", "f1_score", "support")}
+    cells = {(ENCODER[i], ENCODER[j]): n for i, line in enumerate(matrix) for j, n in enumerate(line) if n}
+    want |= {("confusion_matrix", y, p, "n"): n for (y, p), n in cells.items()}
+    assert got == pytest.approx(want)
+
+
+def test_long_report_without_records_or_encoder(frame):
+    encoder = frame([(0, "Fastener")], "label_idx int, label string")
+    empty = metrics.report_table(records(frame, [BOTH]).limit(0), encoder).collect()
+    assert sorted(tuple(r) for r in empty) == [("run", None, None, "num_failures", 0.0), ("run", None, None, "num_images", 0.0)]
+    assert {r.section for r in metrics.report_table(records(frame, [BOTH])).collect()} == {"mobileclip", "hybrid", "run"}
+    with pytest.raises(Exception, match="prediction outside the label encoder: Nut"):
+        metrics.report_table(records(frame, [NEITHER]), encoder).collect()
+
+
+def test_both_settings_from_one_scan(frame, spark, tmp_path):
+    records(frame, random_rows(seed=12)).write.parquet(str(tmp_path / "r"))
+    stored = spark.read.parquet(str(tmp_path / "r"))
+    for both, one in ((metrics.mobileclip_metrics_by_fallback, metrics.mobileclip_metrics), (metrics.hybrid_metrics_by_fallback, metrics.hybrid_metrics)):
+        out = both(stored)
+        assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+        got = {r.fallback: r.asDict() for r in out.collect()}
+        for flag in (False, True):
+            assert got[flag] == pytest.approx({"fallback": flag, **one(stored, flag).first().asDict()})
