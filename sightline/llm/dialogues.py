@@ -4,10 +4,13 @@ For a participant, its own turns are rendered as the assistant's, turns of the o
 turns of context roles (`system`) as they are. The masks are the spans that the participant wrote, end mark included;
 loss is taken there.
 
-A dialogue is one rendering per participant. Only one of more than `PART` code points, which would make too large a
-row, is split: a turn belongs to the part that its place in the whole dialogue falls into, a part repeats the context
-turns that the dialogue begins with, and a participant has rows for the parts it speaks in. Dialogues of any length are
-placed by range partitions and sums over these, so no task holds one.
+A dialogue of any length is one rendering per participant, in one row, whose limit is that of a Spark string (2 GB).
+A caller who needs smaller rows names a size, and every dialogue is then cut by one rule: a turn belongs to the part that
+its place in the whole dialogue falls into, a part after the first repeats the context turns that the dialogue begins
+with, and a participant has rows for the parts it speaks in.
+
+Turns of dialogues of more than `PART` code points are sorted and placed by range partitions and sums over these, those
+of others within their dialogue, which gives the same rows; a task then holds what it renders, a dialogue or a part.
 
 Turns are in order of their number, then role, then the MD5 digest of the text; turns equal in all of them are
 interchangeable. Turn numbers need not be dense.
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sightline.session import discard, materialize
 
-PART = 1_000_000  # code points of a rendering that one row holds, besides the last turn
+PART = 1_000_000  # code points of a dialogue whose turns one task may sort
 CONTEXT = ("system",)
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 ORDER = ("turn", "role", "mark")
@@ -43,15 +46,15 @@ def _parts(placed: DataFrame) -> DataFrame:
 
 
 def _whole(rows: DataFrame) -> DataFrame:
-    """Dialogues of at most one part, placed within themselves."""
+    """Shorter dialogues, placed within themselves; each is one part."""
     order = Window.partitionBy("key").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.withColumn("at", F.sum("size").over(order) - F.col("size"))
     placed = placed.withColumn("own", F.row_number().over(Window.partitionBy("key", "role").orderBy("at")) - F.lit(1).cast("long"))
     return _parts(placed.withColumn("part", F.lit(0).cast("long"))).withColumn("lead", F.lit(""))
 
 
-def _split(rows: DataFrame, context: tuple[str, ...], part: int) -> DataFrame:
-    """Parts of longer dialogues. `at` and `own`, the code points and the speaker's turns before a turn, are those within
+def _spread(rows: DataFrame, context: tuple[str, ...], part: int | None) -> DataFrame:
+    """Longer dialogues, whole or in parts. `at` and `own`, the code points and the speaker's turns before a turn, are those within
     its range partition and the sums of the partitions before; a dialogue has one sum per partition and role."""
     stored = materialize(rows, "long-turns")
     # a number from the stored files spreads equal turns over partitions, the same way whenever a task is repeated
@@ -71,28 +74,32 @@ def _split(rows: DataFrame, context: tuple[str, ...], part: int) -> DataFrame:
     same = lambda a, b, *names: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in names]
     placed = p.join(s, same("p", "s", "range", "key")).join(r, same("p", "r", "range", "key", "role"))
     at = F.col("at") + F.col("points")
-    placed = placed.select("p.key", at.alias("at"), (F.col("own") + F.col("turns")).alias("own"), "p.role", "p.body", F.floor(at / part).alias("part"))
-    parts = materialize(_parts(placed), "dialogue-parts")
-    discard(stored, dealt, roles)
-
-    spoken = F.array_position(F.transform("said", lambda t: F.coalesce(t["role"].isin(*context), F.lit(False))), F.lit(False)).cast("int")
-    first = F.slice("said", F.lit(1), F.when(spoken == 0, F.size("said")).otherwise(spoken - 1))
-    leads = parts.where("part = 0").select(F.col("key").alias("of"), F.array_join(F.transform(first, lambda t: _turn(t["role"], t["body"])), "").alias("begin"))
-    return parts.join(leads, F.col("key").eqNullSafe(F.col("of")), "left").select("key", "part", "said", F.when(F.col("part") > 0, F.coalesce("begin", F.lit(""))).otherwise("").alias("lead"))
-
-
-def perspectives(turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", context: tuple[str, ...] = CONTEXT, part: int = PART) -> DataFrame:
-    """key, speaker, part, start (code points of the speaker's whole rendering before the part), lead (code points that
+    number = F.lit(0).cast("long") if part is None else F.floor(at / part)
+    placed = placed.select("p.key", at.alias("at"), (F.col("own") + F.col("turns")).alias("own"), "p.role", "p.body", number.alias("part"))
+    discard(stored)
+    if part is None:
+        return _parts(placed).withColumn("lead", F.lit(""))
+
+    spoken = F.min(F.when(~F.coalesce(F.col("role").isin(*context), F.lit(False)), F.col("at")))
+    spoken = placed.where("part = 0").groupBy("key").agg(spoken.alias("spoken")).select(F.col("key").alias("of"), F.coalesce("spoken", F.lit(part)).alias("spoken"))
+    opening = placed.where("part = 0").join(spoken, (F.col("key").eqNullSafe(F.col("of"))) & (F.col("at") < F.col("spoken")))
+    said = F.sort_array(F.collect_list(F.struct("at", "role", "body")))
+    leads = opening.groupBy("of").agg(F.array_join(F.transform(said, lambda t: _turn(t["role"], t["body"])), "").alias("begin"))
+    return _parts(placed).join(leads, F.col("key").eqNullSafe(F.col("of")), "left").select("key", "part", "said", F.when(F.col("part") > 0, F.coalesce("begin", F.lit(""))).otherwise("").alias("lead"))
+
+
+def perspectives(turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", context: tuple[str, ...] = CONTEXT, part: int | None = None) -> DataFrame:
+    """Whole dialogues, or their parts of about `part` code points: key, speaker, part, start (code points of the speaker's whole rendering before the part), lead (code points that
     repeat the dialogue's first context turns), n_turns (without these), rendered, masks (start and end in code points
     of this row's text; `start - lead` more in the whole rendering)."""
     body = F.coalesce(F.col(text), F.lit(""))
     rows = turns.select(F.col(key).alias("key"), F.col(turn).alias("turn"), F.col(role).alias("role"), body.alias("body"))
     rows = rows.withColumns({"mark": F.md5("body"), "size": F.length(_turn(_name(F.col("role"), context), F.col("body"))).cast("long")})
-    long = materialize(rows.groupBy("key").agg(F.sum("size").alias("w")).where(F.col("w") > part).select(F.col("key").alias("of")), "long-dialogues")
+    long = materialize(rows.groupBy("key").agg(F.sum("size").alias("w")).where(F.col("w") > (PART if part is None else min(part, PART))).select(F.col("key").alias("of")), "long-dialogues")
     known = F.col("key").eqNullSafe(F.col("of"))
     parts = _whole(rows.join(long, known, "left_anti"))
     if not long.isEmpty():
-        parts = parts.unionByName(_split(rows.join(long, known, "left_semi"), context, part))
+        parts = parts.unionByName(_spread(rows.join(long, known, "left_semi"), context, part))
 
     speakers = F.filter(F.array_distinct(F.transform("said", lambda t: t["role"])), lambda r: r.isNotNull() & ~r.isin(*context))
     each = parts.withColumn("speaker", F.explode(speakers))

@@ -81,7 +81,7 @@ def op4_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in personal.BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
-# whole dialogues: those of the test tables stay far below the size from which the operator splits one
+# whole dialogues of any length
 PERSPECTIVES_SQL = """WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 g AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, md5(text)) AS said FROM t GROUP BY conv_id),
 p AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),

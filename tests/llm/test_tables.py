@@ -290,6 +290,25 @@ def test_parts_of_a_hot_dialogue(spark):
     assert got == plain_perspectives(leads, 500) and {v[1] > 0 for k, v in got.items() if k[2]} == {True}
 
 
+def test_the_longest_dialogue_is_one_row_as_in_the_sql(spark, tmp_path):
+    rows = [(1, i, ("system", "ann", "bob", None)[min(i, 1 + i % 3)], f"{i} " + "é-" * 3000) for i in range(250)] + [(2, 0, "ann", "short")]
+    spark.createDataFrame(rows, TURNS).repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    df = queries()["op5_perspectives"](spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    cursor = db.execute(oracle_sql()["op5_perspectives"])
+    got = df.collect()
+    assert rows_of(df.columns, got) == rows_of([c[0] for c in cursor.description], cursor.fetchall())
+    assert max(len(r.rendered) for r in got) > dialogues.PART and [r.part for r in got] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("most", [0, 100, 10**9])
+def test_whole_dialogues_are_the_same_however_they_are_placed(spark, monkeypatch, most):
+    monkeypatch.setattr(dialogues, "PART", most)
+    assert perspectives_of(spark, ODD_TURNS, None) == plain_perspectives(ODD_TURNS, 10**9)
+    assert perspectives_of(spark, ODD_TURNS, 60) == plain_perspectives(ODD_TURNS, 60)
+
+
 # search
 
 
