@@ -8,7 +8,7 @@ that each rank gets; documents find theirs by their rank among the pieces of the
 through the driver and a length that a third of all pieces share is ranked in many tasks.
 
 Tokens. The text is split as the tokenizer splits it, by array operations, and each distinct piece of a block is
-tokenized once; texts with code points unknown here, or with an added token of the tokenizer (`<|endoftext|>`), which
+tokenized once, by the tokenizer's model alone where nothing else would change it; texts with code points unknown here, or with an added token of the tokenizer (`<|endoftext|>`), which
 it takes out before it splits, go to the tokenizer whole.
 
 Defined results: a null text is an empty one, whose only id is the closing id. Repeated rows are packed each.
@@ -17,6 +17,7 @@ Defined results: a null text is an empty one, whose only id is the closing id. R
 from __future__ import annotations
 
 import functools
+import json
 import os
 import unicodedata
 import zlib
@@ -49,6 +50,14 @@ def classes() -> np.ndarray:
     return table
 
 
+@functools.cache
+def byte_letters() -> dict[int, str]:
+    """The letter by which byte-level tokenizers write each byte: itself if it can be seen, else the next from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
 def split_points(units: np.ndarray, kind: np.ndarray) -> np.ndarray:
     """Where the splitting pattern's matches begin; texts are separated by single gaps."""
     n = len(units)
@@ -82,7 +91,20 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memory = Memory(lambda pieces: [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+        self.memory = Memory(self._by_model if self._only_bytes() else self._by_tokenizer)
+
+    def _only_bytes(self) -> bool:
+        """Whether all that the tokenizer does to a piece before its model is to write its bytes as letters."""
+        steps = json.loads(self.tokenizer.to_str())
+        split = steps["pre_tokenizer"] or {}
+        return not steps["normalizer"] and split.get("type") == "ByteLevel" and not split["add_prefix_space"] and split["use_regex"]
+
+    def _by_tokenizer(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _by_model(self, pieces: list[str]) -> list[list[int]]:
+        tokenize, letters = self.tokenizer.model.tokenize, byte_letters()
+        return [[t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
 
     def has_added(self, text: str) -> bool:
         return any(content in text for content in self.added)

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import random
 import re
 import zlib
@@ -351,6 +352,26 @@ def test_split_and_ids_equal_the_tokenizer():
             assert got.tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_pieces_go_to_the_model_alone_and_equal_the_tokenizer():
+    tokenizer, ids = Tokenizer.from_file(TOKENIZER), packing.Ids(TOKENIZER)
+    known = "".join(chr(c) for c in np.flatnonzero(packing.classes()[:0x110000] != packing._UNKNOWN) if not 0xD800 <= c < 0xE000)
+    seen = []
+    ids.tokenizer = type("Watched", (), {"model": tokenizer.model, "encode_batch_fast": lambda self, x, **_: seen.append(x)})()
+    for first in range(0, len(known), 4096):  # one sets a class apart from the other two by its neighbours
+        text = "".join(f"a{c}1{c}!{c}" for c in known[first : first + 4096])
+        assert ids.of([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert not seen
+
+
+@pytest.mark.parametrize("change", [{"add_prefix_space": True}, {"use_regex": False}])
+def test_other_tokenizers_encode_the_pieces_themselves(tmp_path, change):
+    steps = json.loads(Tokenizer.from_file(TOKENIZER).to_str())
+    steps["pre_tokenizer"] |= change
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(steps))
+    assert not packing.Ids(str(path))._only_bytes() and packing.Ids(TOKENIZER)._only_bytes()
+
+
 def test_added_tokens_equal_the_tokenizer(spark):
     tokenizer, ids = Tokenizer.from_file(TOKENIZER), packing.Ids(TOKENIZER)
     rng = random.Random(5)
